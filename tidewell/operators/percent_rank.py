@@ -25,7 +25,7 @@ def percent_rank_over(df: DataFrame, value: str, out: str, low: float, high: flo
     """
     width = (high - low) / slices
     position = F.floor((F.col(value) - F.lit(float(low))) / F.lit(width))
-    slice_no = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(slices), position)), F.lit(-1)).cast("int")
+    slice_no = F.when(position.isNull(), -1).otherwise(F.greatest(F.lit(0), F.least(F.lit(slices), position))).cast("int")
 
     sizes = df.groupBy(value).agg(F.count("*").alias("_rows")).withColumn("_slice", slice_no)
     totals = sizes.groupBy("_slice").agg(F.sum("_rows").alias("_in_slice"))

@@ -281,7 +281,7 @@ REC_COLS = (
     "user_id, date, recovery_score, recovery_state, hrv_component, rhr_component, sleep_component, spo2_component, "
     "hrv_rmssd, hrv_baseline, rhr_baseline, sleep_performance, needs_more_baseline"
 )
-MIDWAY = "(select cast(min(cast(ts as date)) + (max(cast(ts as date)) - min(cast(ts as date))) // 2 as date) from events)"
+MIDWAY = "(select min(cast(ts as date)) + cast((max(cast(ts as date)) - min(cast(ts as date))) // 2 as int) from events)"
 
 
 def _shares(table: str, label: str) -> str:

@@ -152,9 +152,8 @@ def table_create_replace(spark: SparkSession, sf: str) -> DataFrame:
     rows = _clean(silver.ACTIVITY, spark, sf)
     database = f"tidewell_{uuid.uuid4().hex}"
     table = MergedTable(spark, new_workspace(spark, "activity"), rows.schema, silver.USER_DAY)
+    table.create_if_absent().upsert(rows)
     table.declare(database, "activity_clean")
-    table.upsert(rows)
-    spark.catalog.refreshTable(f"{database}.activity_clean")
     return spark.table(f"{database}.activity_clean").select(*ACTIVITY_COLUMNS, "total_zone_minutes")
 
 
@@ -185,7 +184,7 @@ def snapshot_retention(spark: SparkSession, sf: str) -> DataFrame:
         .agg(F.max("ts").alias("committed_at"), F.count("*").alias("row_count"))
     )
     log = per_day.select(
-        F.row_number().over(Window.orderBy("d")).alias("version"),
+        F.row_number().over(Window.orderBy("d")).cast("long").alias("version"),
         "committed_at",
         F.lit("replace").alias("operation"),
         "row_count",

@@ -23,7 +23,7 @@ _TAIL = {
     "_ingestion_run_id": "'run-1'",
     "_ingest_timestamp": "ts",
 }
-_HOURS = "(case when event_id % 149 = 0 then 15.5e0 else 4.0e0 + ((event_id * 37 + user_id * 11) % 650) / 100.0e0 end)"
+_HOURS = "(case when event_id % 149 = 0 then 15.5e0 else (400 + (event_id * 37 + user_id * 11) % 650) / 100.0e0 end)"
 
 
 def _stage(percent: str) -> str:
