@@ -1 +1,6 @@
-"""Column functions: everything here maps Columns to Columns and stays inside code generation."""
+"""Scoring and validation formulas as Spark SQL expressions.
+
+A formula takes column names (or expressions) and returns expression text for ``selectExpr``,
+``F.expr`` or SQL.  Everything is built-in functions, so it stays inside code generation, and a long
+formula reaches the JVM in one call.
+"""

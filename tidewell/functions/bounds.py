@@ -1,12 +1,8 @@
-"""Physiological limits of the readings, and the Columns that apply them."""
+"""Physiological limits of the readings, and the expressions that apply them."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 # Inclusive limits per column.  How a limit is written (5 or 5.0) is how it is
 # printed in a rejection reason.
@@ -57,25 +53,24 @@ def present(bounds: Bounds, columns: Sequence[str]) -> dict[str, tuple[float, fl
     return {name: limits for name, limits in bounds.items() if name in columns}
 
 
-def within(name: str, low: float, high: float) -> Column:
+def within(name: str, low: float, high: float) -> str:
     """Inside the closed range; no reading is not a bad reading."""
-    return F.col(name).isNull() | F.col(name).between(low, high)
+    return f"({name} is null or {name} between {low} and {high})"
 
 
-def all_within(bounds: Bounds) -> Column:
-    return reduce(lambda a, b: a & b, (within(name, *limits) for name, limits in bounds.items()), F.lit(True))
+def all_within(bounds: Bounds) -> str:
+    return " and ".join(within(name, *limits) for name, limits in bounds.items()) or "true"
 
 
-def breach_text(bounds: Bounds) -> Column:
+def breach_text(bounds: Bounds) -> str:
     """Every broken limit of a row in one text; empty when nothing is broken."""
     parts = [
-        F.when(~within(name, low, high), F.concat(F.lit(f"{name} out of range [{low},{high}]: "), F.col(name).cast("string")))
+        f"if(not {within(name, low, high)}, concat('{name} out of range [{low},{high}]: ', string({name})), null)"
         for name, (low, high) in bounds.items()
     ]
-    return F.concat_ws("; ", *parts) if parts else F.lit("")
+    return f"concat_ws('; ', {', '.join(parts)})" if parts else "''"
 
 
-def side_reason(name: str, low: float, high: float) -> Column:
+def side_reason(name: str, low: float, high: float) -> str:
     below, above = BOUND_REASONS.get(name, ("", ""))
-    value = F.col(name)
-    return F.when(value < low, F.lit(below)).when(value > high, F.lit(above))
+    return f"case when {name} < {low} then '{below}' when {name} > {high} then '{above}' end"

@@ -1,66 +1,63 @@
-"""Numeric Column helpers shared by the scores and the reports."""
+"""Numeric building blocks of the formulas."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Window and partial sums add doubles in no fixed order.  Cutting at nine decimals first takes that
 # noise away, so a rounded result does not depend on how the rows were split over tasks.
 NOISE_DECIMALS = 9
 
 
-def settle(x: Column) -> Column:
-    return F.round(x, NOISE_DECIMALS)
+def number(x: float) -> str:
+    """A double literal: a bare 0.25 would be a decimal."""
+    return f"{float(x)!r}D"
+
+
+def settle(x: str) -> str:
+    return f"round({x}, {NOISE_DECIMALS})"
 
 
-def half_up(x: Column, decimals: int) -> Column:
-    return F.round(settle(x), decimals)
+def half_up(x: str, decimals: int) -> str:
+    return f"round({settle(x)}, {decimals})"
 
 
-def half_even(x: Column, decimals: int) -> Column:
-    return F.bround(settle(x), decimals)
+def half_even(x: str, decimals: int) -> str:
+    return f"bround({settle(x)}, {decimals})"
 
 
-def clip(x: Column, low: float | None = None, high: float | None = None) -> Column:
+def clip(x: str, low: float | None = None, high: float | None = None) -> str:
     """Limit to [low, high]; NULL stays NULL (plain least/greatest would turn it into a bound)."""
     limited = x
     if low is not None:
-        limited = F.greatest(limited, F.lit(float(low)))
+        limited = f"greatest({limited}, {number(low)})"
     if high is not None:
-        limited = F.least(limited, F.lit(float(high)))
-    return F.when(x.isNotNull(), limited)
-
-
-def nan_to_null(x: Column) -> Column:
-    return F.when(~F.isnan(x), x)
+        limited = f"least({limited}, {number(high)})"
+    return f"if(({x}) is null, null, {limited})"
 
 
-def ratio(a: Column, b: Column) -> Column:
+def ratio(a: str, b: str) -> str:
     """a / b, NULL when b is zero (the session may run in ANSI mode)."""
-    return F.try_divide(a, b)
+    return f"try_divide({a}, {b})"
 
 
-def line_through(x: Column, anchors: Sequence[tuple[float, float]], tail_slope: float = 0.0) -> Column:
+def line_through(x: str, anchors: Sequence[tuple[float, float]], tail_slope: float = 0.0) -> str:
     """Continuous broken line: first y left of the first anchor, ``tail_slope`` right of the last one."""
     (x0, y0), (xn, yn) = anchors[0], anchors[-1]
-    curve = F.when(x < F.lit(float(x0)), F.lit(float(y0)))
+    pieces = [f"when {x} < {number(x0)} then {number(y0)}"]
     for (xa, ya), (xb, yb) in zip(anchors, anchors[1:]):
         slope = (yb - ya) / (xb - xa)
-        curve = curve.when(x < F.lit(float(xb)), F.lit(float(ya)) + (x - F.lit(float(xa))) * F.lit(slope))
-    return curve.when(x.isNotNull(), F.lit(float(yn)) + (x - F.lit(float(xn))) * F.lit(float(tail_slope)))
+        pieces.append(f"when {x} < {number(xb)} then {number(ya)} + ({x} - {number(xa)}) * {number(slope)}")
+    pieces.append(f"when {x} is not null then {number(yn)} + ({x} - {number(xn)}) * {number(tail_slope)}")
+    return f"case {' '.join(pieces)} end"
 
 
-def band(x: Column, upper_limits: Sequence[tuple[float, str]], last: str) -> Column:
+def band(x: str, upper_limits: Sequence[tuple[float, str]], last: str) -> str:
     """Label of the first band whose exclusive upper limit lies above x; NULL for NULL."""
-    labels = F.when(x.isNull(), F.lit(None).cast("string"))
-    for limit, label in upper_limits:
-        labels = labels.when(x < F.lit(limit), F.lit(label))
-    return labels.otherwise(F.lit(last))
+    pieces = [f"when {x} < {limit} then '{label}'" for limit, label in upper_limits]
+    return f"case {' '.join(pieces)} when {x} is not null then '{last}' end"
 
 
-def position_in(x: Column, ordered_labels: Sequence[str]) -> Column:
+def position_in(x: str, ordered_labels: Sequence[str]) -> str:
     """1-based place of a label in a fixed order, for sorting by it."""
-    return F.array_position(F.array(*[F.lit(label) for label in ordered_labels]), x).cast("int")
+    return f"int(array_position(array({', '.join(repr(label) for label in ordered_labels)}), {x}))"

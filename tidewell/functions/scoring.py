@@ -1,14 +1,11 @@
-"""Recovery, strain and sleep scores as Column expressions."""
+"""Recovery, strain and sleep scores."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tidewell.functions.numeric import band, clip, half_even, line_through, ratio
+from tidewell.functions.numeric import band, clip, half_even, line_through, number, ratio
 
 # These decide the published scores.
 RECOVERY_WEIGHTS = {"hrv": 0.40, "rhr": 0.25, "sleep": 0.25, "spo2": 0.10}
@@ -38,113 +35,110 @@ ZONE_FLOORS = [0.50, 0.60, 0.70, 0.80, 0.90, 0.95]
 ZONE_SHARES = {"main": 0.45, "below": 0.30, "above": 0.15, "peak": 0.10}
 
 
-def usable_deviation(deviation: Column, baseline: Column) -> Column:
+def usable_deviation(deviation: str, baseline: str) -> str:
     """A spread below one (or unknown) says nothing; ten percent of the baseline stands in."""
-    return F.when(deviation >= 1, deviation).otherwise(baseline * 0.10)
+    return f"if({deviation} >= 1, {deviation}, {baseline} * 0.1D)"
 
 
-def hrv_score(today: Column, baseline: Column, deviation: Column) -> Column:
-    z = ratio(today - baseline, usable_deviation(deviation, baseline))
-    return clip(F.lit(50.0) + F.tanh(z * 0.75) * 45.0, SCORE_FLOOR, SCORE_CEILING)
+def hrv_score(today: str, baseline: str, deviation: str) -> str:
+    z = ratio(f"{today} - {baseline}", usable_deviation(deviation, baseline))
+    return clip(f"50D + 45D * tanh(0.75D * {z})", SCORE_FLOOR, SCORE_CEILING)
 
 
-def rhr_score(today: Column, baseline: Column) -> Column:
-    return clip(F.lit(75.0) - (today - baseline) * 5.0, SCORE_FLOOR, SCORE_CEILING)
+def rhr_score(today: str, baseline: str) -> str:
+    return clip(f"75D - 5D * ({today} - {baseline})", SCORE_FLOOR, SCORE_CEILING)
 
 
-def _stage_share(minutes: Column, hours: Column) -> Column:
-    return F.when(hours > 0, minutes / (hours * 60.0) * 100.0).when(hours.isNotNull(), F.lit(0.0))
+def _stage_share(minutes: str, hours: str) -> str:
+    return f"case when {hours} > 0 then {minutes} / ({hours} * 60D) * 100D when {hours} is not null then 0D end"
 
 
-def sleep_score(hours: Column, efficiency: Column, rem: Column, deep: Column) -> Column:
+def sleep_score(hours: str, efficiency: str, rem: str, deep: str) -> str:
     duration = line_through(hours, SLEEP_HOURS_CURVE, OVERSLEEP_SLOPE)
-    rem_fit = F.lit(100.0) - F.abs(_stage_share(rem, hours) - 22.5) * 4.0
-    deep_fit = F.lit(100.0) - F.abs(_stage_share(deep, hours) - 17.5) * 5.0
-    stages = clip((rem_fit + deep_fit) / 2.0, 0, 100)
-    in_bed = clip((efficiency - 70.0) / 25.0 * 100.0, 0, 100)
-    return clip(duration * 0.50 + stages * 0.30 + in_bed * 0.20, 0, 100)
+    rem_fit = f"100D - 4D * abs({_stage_share(rem, hours)} - 22.5D)"
+    deep_fit = f"100D - 5D * abs({_stage_share(deep, hours)} - 17.5D)"
+    stages = clip(f"(({rem_fit}) + ({deep_fit})) / 2D", 0, 100)
+    in_bed = clip(f"({efficiency} - 70D) / 25D * 100D", 0, 100)
+    return clip(f"({duration}) * 0.5D + ({stages}) * 0.3D + ({in_bed}) * 0.2D", 0, 100)
 
 
-def spo2_score(saturation: Column) -> Column:
+def spo2_score(saturation: str) -> str:
     """No reading counts as no points, unlike the other components."""
-    return F.coalesce(line_through(saturation, SPO2_CURVE), F.lit(0.0))
+    return f"coalesce({line_through(saturation, SPO2_CURVE)}, 0D)"
 
 
-def recovery_score(hrv: Column, rhr: Column, sleep: Column, spo2: Column) -> Column:
+def recovery_score(hrv: str, rhr: str, sleep: str, spo2: str) -> str:
     parts = {"hrv": hrv, "rhr": rhr, "sleep": sleep, "spo2": spo2}
-    total = sum((parts[name] * weight for name, weight in RECOVERY_WEIGHTS.items()), F.lit(0.0))
-    return clip(half_even(total, 0), 0, 100).cast("int")
+    total = " + ".join(f"{parts[name]} * {number(weight)}" for name, weight in RECOVERY_WEIGHTS.items())
+    return f"int({clip(half_even(total, 0), 0, 100)})"
 
 
-def recovery_state(score: Column) -> Column:
+def recovery_state(score: str) -> str:
     return band(score, RECOVERY_STATES, RECOVERY_TOP_STATE)
 
 
-def strain_raw(zone_minutes: Sequence[Column]) -> Column:
+def strain_raw(zone_minutes: Sequence[str]) -> str:
     """Strain on 0..21, not rounded.  The load is linear in minutes, the score logarithmic in load."""
-    load = sum((m * w for m, w in zip(zone_minutes, ZONE_WEIGHTS)), F.lit(0.0))
+    load = " + ".join(f"{m} * {number(w)}" for m, w in zip(zone_minutes, ZONE_WEIGHTS))
     per_unit = MAX_STRAIN / math.log1p(ALL_OUT_LOAD / LOAD_KNEE)
-    return clip(F.log1p(load / LOAD_KNEE) * per_unit, 0, MAX_STRAIN)
+    return clip(f"log1p(({load}) / {number(LOAD_KNEE)}) * {number(per_unit)}", 0, MAX_STRAIN)
 
 
-def strain_category(raw_score: Column) -> Column:
+def strain_category(raw_score: str) -> str:
     return band(raw_score, STRAIN_CATEGORIES, STRAIN_TOP_CATEGORY)
 
 
-def dominant_zone(zone_minutes: Sequence[Column]) -> Column:
+def dominant_zone(zone_minutes: Sequence[str]) -> str:
     """The lowest zone holding the most minutes, 1-based."""
-    minutes = F.array(*zone_minutes)
-    return F.array_position(minutes, F.array_max(minutes)).cast("int")
+    minutes = f"array({', '.join(zone_minutes)})"
+    return f"int(array_position({minutes}, array_max({minutes})))"
 
 
-def peak_share(peak_hr: Column, max_hr: Column) -> Column:
-    return F.when(max_hr > 0, half_even(peak_hr / max_hr * 100.0, 1)).otherwise(F.lit(0.0))
+def peak_share(peak_hr: str, max_hr: str) -> str:
+    return f"if({max_hr} > 0, {half_even(f'{ratio(peak_hr, max_hr)} * 100D', 1)}, 0D)"
 
 
-def sleep_consistency(deviation: Column) -> Column:
-    return half_even(clip((F.lit(1.0) - deviation / 2.0) * 100.0, 0, 100), 1)
+def sleep_consistency(deviation: str) -> str:
+    return half_even(clip(f"(1D - {deviation} / 2D) * 100D", 0, 100), 1)
 
 
-def sleep_tier(hours: Column, efficiency: Column, rem_pct: Column, deep_pct: Column) -> Column:
+def sleep_tier(hours: str, efficiency: str, rem_pct: str, deep_pct: str) -> str:
     points = (
-        F.when(hours.between(7, 9), 3).when(hours.between(6, 10), 1).otherwise(0)
-        + F.when(efficiency >= 90, 2).when(efficiency >= 80, 1).otherwise(0)
-        + F.when(rem_pct.between(18, 26), 1).otherwise(0)
-        + F.when(deep_pct.between(15, 25), 1).otherwise(0)
+        f"(case when {hours} between 7 and 9 then 3 when {hours} between 6 and 10 then 1 else 0 end"
+        f" + case when {efficiency} >= 90 then 2 when {efficiency} >= 80 then 1 else 0 end"
+        f" + if({rem_pct} between 18 and 26, 1, 0) + if({deep_pct} between 15 and 25, 1, 0))"
     )
     return band(points, SLEEP_TIERS, SLEEP_TOP_TIER)
 
 
-def performance_tier(percentile: Column) -> Column:
+def performance_tier(percentile: str) -> str:
     return band(percentile, PERFORMANCE_TIERS, PERFORMANCE_TOP_TIER)
 
 
-def zone_of(heart_rate: Column, max_hr: Column) -> Column:
+def zone_of(heart_rate: str, max_hr: str) -> str:
     """Highest zone whose floor the heart rate reaches; below every floor it is zone 1."""
-    zone = F.lit(1)
-    for number, floor in enumerate(ZONE_FLOORS[1:], start=2):
-        zone = F.when(heart_rate >= max_hr * F.lit(floor), number).otherwise(zone)
-    return zone
+    floors = list(enumerate(ZONE_FLOORS, start=1))[:0:-1]
+    pieces = [f"when {heart_rate} >= {max_hr} * {number(floor)} then {zone}" for zone, floor in floors]
+    return f"case {' '.join(pieces)} else 1 end"
 
 
-def allocated_zones(avg_hr: Column, peak_hr: Column, duration: Column, max_hr: Column) -> list[Column]:
-    """Minutes per zone for a session that reports only average and peak heart rate.
+def allocated_zones(main: str, peak: str, duration: str) -> list[str]:
+    """Minutes per zone for a session known only by the zones of its average and its peak.
 
     Fixed shares of the session go to the zone of the average, its neighbours and the zone of the
     peak; whole minutes lost to truncation are given back by one common factor.
     """
-    main, peak = zone_of(avg_hr, max_hr), zone_of(peak_hr, max_hr)
-    share = {name: (duration * F.lit(part)).cast("int") for name, part in ZONE_SHARES.items()}
-    targets = {
+    share = {name: f"int({duration} * {number(part)})" for name, part in ZONE_SHARES.items()}
+    target = {
         "main": main,
-        "below": F.greatest(main - 1, F.lit(1)),
-        "above": F.least(main + 1, F.lit(6)),
-        "peak": F.greatest(peak, main),
+        "below": f"greatest({main} - 1, 1)",
+        "above": f"least({main} + 1, 6)",
+        "peak": f"greatest({peak}, {main})",
     }
-    given = sum(share.values(), F.lit(0))
-    factor = ratio(duration.cast("double"), given.cast("double"))
+    given = f"({' + '.join(share.values())})"
+    factor = ratio(f"double({duration})", f"double({given})")
     zones = []
-    for number in range(1, 7):
-        minutes = sum((F.when(targets[n] == number, share[n]).otherwise(0) for n in share), F.lit(0))
-        zones.append(F.when(given > 0, (minutes * factor).cast("int")).otherwise(0))
+    for number_ in range(1, 7):
+        minutes = " + ".join(f"if({target[name]} = {number_}, {share[name]}, 0)" for name in share)
+        zones.append(f"if({given} > 0, int(({minutes}) * {factor}), 0)")
     return zones

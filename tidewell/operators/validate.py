@@ -16,7 +16,7 @@ REASON = "_rejection_reason"
 def with_rejection_reason(df: DataFrame, bounds: Bounds) -> DataFrame:
     """Adds the reasons as one text column, NULL for a valid row."""
     limits = present(bounds, df.columns)
-    return df.withColumn(REASON, F.when(~all_within(limits), breach_text(limits)))
+    return df.withColumn(REASON, F.expr(f"if({all_within(limits)}, null, {breach_text(limits)})"))
 
 
 def valid_rows(judged: DataFrame) -> DataFrame:
@@ -53,33 +53,23 @@ def rejection_rate(judged: DataFrame, source_table: str) -> DataFrame:
         F.lit(source_table).alias("source_table"),
         "valid_count",
         "invalid_count",
-        F.round(
-            ratio(F.col("invalid_count") * 100.0, (F.col("valid_count") + F.col("invalid_count")).cast("double")), 1
-        ).alias("rejection_pct"),
+        F.expr(f"round({ratio('invalid_count * 100D', 'double(valid_count + invalid_count)')}, 1)").alias("rejection_pct"),
     )
 
 
 def rule_violations(df: DataFrame, bounds: Bounds, id_column: str, source_table: str) -> DataFrame:
     """One row per broken rule: which record, which rule, what value, on which side and why."""
-    limits = present(bounds, df.columns)
     checks = [
-        F.when(
-            ~within(name, low, high),
-            F.struct(
-                F.lit(name).alias("column"),
-                F.lit(f"{name} ∈ [{low}, {high}]").alias("failed_rule"),
-                half_even(F.col(name).cast("double"), 1).alias("value"),
-                F.when(F.col(name) < low, "low").otherwise("high").alias("side"),
-                side_reason(name, low, high).alias("why_it_fails"),
-            ),
-        )
-        for name, (low, high) in limits.items()
+        f"if(not {within(name, low, high)}, named_struct("
+        f"'failed_rule', '{name} ∈ [{low}, {high}]', 'value', {half_even(f'double({name})', 1)}, "
+        f"'side', if({name} < {low}, 'low', 'high'), 'why_it_fails', {side_reason(name, low, high)}), null)"
+        for name, (low, high) in present(bounds, df.columns).items()
     ]
-    return df.select(
-        F.lit(source_table).alias("source_table"),
-        F.col(id_column).alias("record_id"),
-        F.explode(F.array_compact(F.array(*checks))).alias("_v"),
-    ).select("source_table", "record_id", "_v.failed_rule", "_v.value", "_v.side", "_v.why_it_fails")
+    return df.selectExpr(
+        f"'{source_table}' as source_table",
+        f"{id_column} as record_id",
+        f"inline(array_compact(array({', '.join(checks)})))",
+    )
 
 
 def rule_counts(violations: DataFrame) -> DataFrame:
@@ -103,7 +93,7 @@ def pass_rate(tables: list[tuple[DataFrame, Bounds, str]]) -> DataFrame:
     Records are counted once however often they break rules or appear.
     """
     per_row = [
-        df.select(F.when(~all_within(present(bounds, df.columns)), F.col(key)).alias("bad_record"), F.lit(1).alias("one"))
+        df.selectExpr(f"if({all_within(present(bounds, df.columns))}, null, {key}) as bad_record", "1 as one")
         for df, bounds, key in tables
     ]
     rules = sum(len(present(bounds, df.columns)) for df, bounds, _ in tables)

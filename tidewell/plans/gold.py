@@ -6,7 +6,7 @@ at most as many rows as there are days, however many readings a user sends.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import scoring as S
@@ -14,6 +14,7 @@ from tidewell.functions.numeric import clip, half_even, half_up, ratio
 from tidewell.operators.percent_rank import percent_rank_over
 from tidewell.plans.silver import USER_DAY
 from tidewell.schemas import ZONES
+from tidewell.session import shared_root
 
 SLEEP_INPUTS = [
     "total_sleep_hours",
@@ -25,10 +26,6 @@ SLEEP_INPUTS = [
 ]
 
 
-def user_days() -> Window:
-    return Window.partitionBy("user_id").orderBy("date")
-
-
 def recovery_inputs(hrv: DataFrame, sleep: DataFrame, colocate: bool = False) -> DataFrame:
     """HRV and sleep of the same user-day.
 
@@ -50,66 +47,59 @@ def with_baselines(joined: DataFrame) -> DataFrame:
     The seven rows before a day count once three of them hold a reading; before that the user's
     whole history stands in, for both measures together.
     """
-    before = user_days().rowsBetween(-S.BASELINE_ROWS, -1)
-    history = Window.partitionBy("user_id").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    hrv, rhr = F.col("hrv_rmssd_ms"), F.col("resting_hr_bpm")
-
-    def enough(measure: Column, value: Column) -> Column:
-        return F.when(F.count(measure).over(before) >= S.BASELINE_MIN_ROWS, value)
-
-    measured = joined.withColumns(
-        {
-            "_recent": enough(hrv, F.avg(hrv).over(before)),
-            "_recent_spread": enough(hrv, F.stddev_samp(hrv).over(before)),
-            "_recent_rhr": enough(rhr, F.avg(rhr).over(before)),
-            "_all": F.avg(hrv).over(history),
-            "_all_spread": F.stddev_samp(hrv).over(history),
-            "_all_rhr": F.avg(rhr).over(history),
-        }
+    days = "partition by user_id order by date"
+    before = f"over ({days} rows between {S.BASELINE_ROWS} preceding and 1 preceding)"
+    history = f"over ({days} rows between unbounded preceding and unbounded following)"
+
+    def recent(measure: str, statistic: str) -> str:
+        return f"if(count({measure}) {before} >= {S.BASELINE_MIN_ROWS}, {statistic}({measure}) {before}, null)"
+
+    measured = joined.selectExpr(
+        "*",
+        f"{recent('hrv_rmssd_ms', 'avg')} as _recent",
+        f"{recent('hrv_rmssd_ms', 'stddev_samp')} as _recent_spread",
+        f"{recent('resting_hr_bpm', 'avg')} as _recent_rhr",
+        f"avg(hrv_rmssd_ms) {history} as _all",
+        f"stddev_samp(hrv_rmssd_ms) {history} as _all_spread",
+        f"avg(resting_hr_bpm) {history} as _all_rhr",
     )
-    unsettled = F.col("_recent").isNull()
-    return measured.select(
+    return measured.selectExpr(
         *joined.columns,
-        F.when(unsettled, F.col("_all")).otherwise(F.col("_recent")).alias("_base"),
-        F.when(unsettled, F.col("_all_spread")).otherwise(F.col("_recent_spread")).alias("_spread"),
-        F.when(unsettled, F.col("_all_rhr")).otherwise(F.col("_recent_rhr")).alias("_rhr_base"),
-        unsettled.alias("needs_more_baseline"),
+        "if(_recent is null, _all, _recent) as _base",
+        "if(_recent is null, _all_spread, _recent_spread) as _spread",
+        "if(_recent is null, _all_rhr, _recent_rhr) as _rhr_base",
+        "_recent is null as needs_more_baseline",
     )
 
 
 def with_components(based: DataFrame) -> DataFrame:
-    return based.withColumns(
-        {
-            "_hrv": S.hrv_score(F.col("hrv_rmssd_ms"), F.col("_base"), F.col("_spread")),
-            "_rhr": S.rhr_score(F.col("resting_hr_bpm"), F.col("_rhr_base")),
-            "_sleep": S.sleep_score(
-                F.col("total_sleep_hours"),
-                F.col("sleep_efficiency_pct"),
-                F.col("rem_sleep_minutes"),
-                F.col("deep_sleep_minutes"),
-            ),
-            "_spo2": S.spo2_score(F.col("spo2_avg_pct")),
-        }
+    sleep = S.sleep_score("total_sleep_hours", "sleep_efficiency_pct", "rem_sleep_minutes", "deep_sleep_minutes")
+    return based.selectExpr(
+        "*",
+        f"{S.hrv_score('hrv_rmssd_ms', '_base', '_spread')} as _hrv",
+        f"{S.rhr_score('resting_hr_bpm', '_rhr_base')} as _rhr",
+        f"{sleep} as _sleep",
+        f"{S.spo2_score('spo2_avg_pct')} as _spo2",
     )
 
 
 def daily_recovery(hrv: DataFrame, sleep: DataFrame, colocate: bool = False) -> DataFrame:
     """Recovery score, state and components per user and day; one row per joined input row."""
     parts = with_components(with_baselines(recovery_inputs(hrv, sleep, colocate)))
-    scored = parts.withColumn("recovery_score", S.recovery_score(*[F.col(c) for c in ("_hrv", "_rhr", "_sleep", "_spo2")]))
-    return scored.select(
+    scored = parts.selectExpr("*", f"{S.recovery_score('_hrv', '_rhr', '_sleep', '_spo2')} as recovery_score")
+    return scored.selectExpr(
         "user_id",
         "date",
         "recovery_score",
-        S.recovery_state(F.col("recovery_score")).alias("recovery_state"),
-        half_even(F.col("_hrv"), 2).alias("hrv_component"),
-        half_even(F.col("_rhr"), 2).alias("rhr_component"),
-        half_even(F.col("_sleep"), 2).alias("sleep_component"),
-        half_even(F.col("_spo2"), 2).alias("spo2_component"),
-        F.col("hrv_rmssd_ms").alias("hrv_rmssd"),
-        half_even(F.col("_base"), 2).alias("hrv_baseline"),
-        half_even(F.col("_rhr_base"), 2).alias("rhr_baseline"),
-        half_even(F.col("_sleep"), 2).alias("sleep_performance"),
+        f"{S.recovery_state('recovery_score')} as recovery_state",
+        f"{half_even('_hrv', 2)} as hrv_component",
+        f"{half_even('_rhr', 2)} as rhr_component",
+        f"{half_even('_sleep', 2)} as sleep_component",
+        f"{half_even('_spo2', 2)} as spo2_component",
+        "hrv_rmssd_ms as hrv_rmssd",
+        f"{half_even('_base', 2)} as hrv_baseline",
+        f"{half_even('_rhr_base', 2)} as rhr_baseline",
+        f"{half_even('_sleep', 2)} as sleep_performance",
         "needs_more_baseline",
     )
 
@@ -128,71 +118,73 @@ def with_max_hr(activity: DataFrame, users: DataFrame) -> DataFrame:
 
 def strain_scores(activity: DataFrame, users: DataFrame) -> DataFrame:
     """Strain 0..21 per activity row, from the minutes in each heart-rate zone."""
-    minutes = [F.coalesce(F.col(z), F.lit(0)).cast("double") for z in ZONES]
-    scored = with_max_hr(activity, users).withColumn("_strain", S.strain_raw(minutes))
-    return scored.select(
+    minutes = [f"coalesce(double({z}), 0D)" for z in ZONES]
+    scored = with_max_hr(activity, users).selectExpr("*", f"{S.strain_raw(minutes)} as _strain")
+    return scored.selectExpr(
         "user_id",
         "date",
-        half_even(F.col("_strain"), 2).alias("strain_score"),
-        S.strain_category(F.col("_strain")).alias("strain_category"),
-        sum(minutes, F.lit(0.0)).cast("int").alias("total_active_minutes"),
-        S.peak_share(F.col("peak_hr_bpm"), F.col("max_hr")).alias("peak_hr_pct_max"),
-        S.dominant_zone(minutes).alias("dominant_zone"),
-        *[m.alias(z) for m, z in zip(minutes, ZONES)],
+        f"{half_even('_strain', 2)} as strain_score",
+        f"{S.strain_category('_strain')} as strain_category",
+        f"int({' + '.join(minutes)}) as total_active_minutes",
+        f"{S.peak_share('peak_hr_bpm', 'max_hr')} as peak_hr_pct_max",
+        f"{S.dominant_zone(minutes)} as dominant_zone",
+        *[f"{m} as {z}" for m, z in zip(minutes, ZONES)],
     )
 
 
 def sleep_metrics(sleep: DataFrame) -> DataFrame:
     """The sleep rows with debt, consistency, rolling efficiency, stage shares and tier."""
-    nights = user_days()
-    debt = nights.rowsBetween(1 - S.DEBT_ROWS, 0)
-    week = nights.rowsBetween(1 - S.CONSISTENCY_ROWS, 0)
-    hours = F.col("total_sleep_hours")
-    rolled = sleep.withColumn("nightly_deficit", S.IDEAL_SLEEP_HOURS - hours).withColumns(
-        {
-            "sleep_debt_hours": half_even(clip(F.sum("nightly_deficit").over(debt), low=0), 2),
-            "duration_7d_std": F.coalesce(F.stddev_samp(hours).over(week), F.lit(0.0)),
-            "efficiency_7d_avg": half_even(F.avg("sleep_efficiency_pct").over(week), 1),
-            "rem_pct": half_even(ratio(F.col("rem_sleep_minutes"), hours * 60) * 100, 1),
-            "deep_pct": half_even(ratio(F.col("deep_sleep_minutes"), hours * 60) * 100, 1),
-        }
+    nights = "partition by user_id order by date"
+    debt = f"over ({nights} rows between {S.DEBT_ROWS - 1} preceding and current row)"
+    week = f"over ({nights} rows between {S.CONSISTENCY_ROWS - 1} preceding and current row)"
+    share = {stage: f"{ratio(f'{stage}_sleep_minutes', 'total_sleep_hours * 60')} * 100" for stage in ("rem", "deep")}
+    deficit = f"{S.IDEAL_SLEEP_HOURS}D - total_sleep_hours"
+    rolled = sleep.drop("rem_pct", "deep_pct").selectExpr(
+        "*",
+        f"{deficit} as nightly_deficit",
+        f"{half_even(clip(f'sum({deficit}) {debt}', low=0), 2)} as sleep_debt_hours",
+        f"coalesce(stddev_samp(total_sleep_hours) {week}, 0D) as duration_7d_std",
+        f"{half_even(f'avg(sleep_efficiency_pct) {week}', 1)} as efficiency_7d_avg",
+        f"{half_even(share['rem'], 1)} as rem_pct",
+        f"{half_even(share['deep'], 1)} as deep_pct",
     )
-    return rolled.withColumns(
-        {
-            "sleep_consistency_score": S.sleep_consistency(F.col("duration_7d_std")),
-            "sleep_quality_tier": S.sleep_tier(hours, F.col("sleep_efficiency_pct"), F.col("rem_pct"), F.col("deep_pct")),
-        }
+    return rolled.selectExpr(
+        "*",
+        f"{S.sleep_consistency('duration_7d_std')} as sleep_consistency_score",
+        f"{S.sleep_tier('total_sleep_hours', 'sleep_efficiency_pct', 'rem_pct', 'deep_pct')} as sleep_quality_tier",
     )
 
 
 def sleep_debt_report(metrics: DataFrame) -> DataFrame:
     """Sleep analytics rolled up per user."""
-    def mean(c: str) -> Column:
-        return half_even(F.avg(c), 2)
-
+    figures = {
+        "avg_sleep_hours": "avg(total_sleep_hours)",
+        "avg_sleep_efficiency": "avg(sleep_efficiency_pct)",
+        "avg_rem_pct": "avg(rem_pct)",
+        "avg_deep_pct": "avg(deep_pct)",
+        "max_sleep_debt": "max(sleep_debt_hours)",
+        "avg_consistency_score": "avg(sleep_consistency_score)",
+    }
     return metrics.groupBy("user_id").agg(
-        mean("total_sleep_hours").alias("avg_sleep_hours"),
-        mean("sleep_efficiency_pct").alias("avg_sleep_efficiency"),
-        mean("rem_pct").alias("avg_rem_pct"),
-        mean("deep_pct").alias("avg_deep_pct"),
-        half_even(F.max("sleep_debt_hours"), 2).alias("max_sleep_debt"),
-        mean("sleep_consistency_score").alias("avg_consistency_score"),
-        F.count_if(F.col("sleep_quality_tier") == "Excellent").alias("excellent_nights"),
-        F.count_if(F.col("sleep_quality_tier") == "Poor").alias("poor_nights"),
+        *[F.expr(half_even(figure, 2)).alias(name) for name, figure in figures.items()],
+        F.expr("count_if(sleep_quality_tier = 'Excellent')").alias("excellent_nights"),
+        F.expr("count_if(sleep_quality_tier = 'Poor')").alias("poor_nights"),
         F.count("total_sleep_hours").alias("total_nights"),
     )
 
 
 def cohort_benchmarks(recovery: DataFrame) -> DataFrame:
     """Averages per user and where the average recovery stands among all users, in percent."""
+    shared_root(recovery.sparkSession)
     per_user = recovery.groupBy("user_id").agg(
         F.avg("recovery_score").alias("avg_recovery"),
         F.avg("hrv_rmssd").alias("avg_hrv"),
         F.avg("hrv_baseline").alias("avg_hrv_baseline"),
         F.count("*").alias("days_tracked"),
     )
-    ranked = percent_rank_over(per_user, "avg_recovery", "_share", low=0, high=100)
-    return ranked.withColumn("recovery_percentile", half_up(F.col("_share") * 100, 1)).drop("_share")
+    # the ranking reads these rows several times: written once, one row per user
+    ranked = percent_rank_over(per_user.checkpoint(), "avg_recovery", "_share", low=0, high=100)
+    return ranked.withColumn("recovery_percentile", F.expr(half_up("_share * 100", 1))).drop("_share")
 
 
 def stamped(df: DataFrame) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Questions asked of the Gold tables: the analytics queries, the dashboard panels, the findings."""
+"""Questions asked of the Gold tables: the analytics queries, the dashboard panels, the findings.
+
+Short results come sorted.  Results with a row per user or user-day do not, because a stored table has
+no order; a reader who wants one adds ``orderBy`` at the end.
+"""
 
 from __future__ import annotations
 
@@ -40,10 +44,9 @@ def recovery_last_days(recovery: DataFrame, days: int = 30, as_of: Column | None
             "hrv_component",
             "sleep_component",
             "rhr_component",
-            half_up(F.col("hrv_rmssd"), 1).alias("hrv_rmssd_ms"),
-            half_up(F.col("hrv_baseline"), 1).alias("hrv_7d_baseline_ms"),
+            F.expr(half_up("hrv_rmssd", 1)).alias("hrv_rmssd_ms"),
+            F.expr(half_up("hrv_baseline", 1)).alias("hrv_7d_baseline_ms"),
         )
-        .orderBy("user_id", F.col("date").desc())
     )
 
 
@@ -68,7 +71,6 @@ def strain_vs_next_day(strain: DataFrame, recovery: DataFrame) -> DataFrame:
             F.col("recovery_state").alias("next_day_state"),
             (F.col("recovery_score") - F.lag("recovery_score", 1).over(matched)).alias("recovery_delta"),
         )
-        .orderBy("user_id", "strain_date")
     )
 
 
@@ -79,12 +81,10 @@ def weekday_pattern(recovery: DataFrame) -> DataFrame:
             F.date_format(day, "EEEE").alias("day_of_week"), (F.dayofweek(day) - 1).alias("dow_num")
         )
         .agg(
-            half_up(F.avg("recovery_score"), 1).alias("avg_recovery"),
-            half_up(F.avg("hrv_rmssd"), 1).alias("avg_hrv_ms"),
+            F.expr(half_up("avg(recovery_score)", 1)).alias("avg_recovery"),
+            F.expr(half_up("avg(hrv_rmssd)", 1)).alias("avg_hrv_ms"),
             F.count("*").alias("sample_days"),
-            half_up(
-                F.avg(F.when(F.col("recovery_state") == "Green", 100.0).otherwise(0.0)), 1
-            ).alias("pct_green_days"),
+            F.expr(half_up("avg(if(recovery_state = 'Green', 100D, 0D))", 1)).alias("pct_green_days"),
         )
         .orderBy("dow_num")
     )
@@ -92,14 +92,13 @@ def weekday_pattern(recovery: DataFrame) -> DataFrame:
 
 def hrv_trend(recovery: DataFrame) -> DataFrame:
     """Seven against twenty-eight rows of HRV: both frames share one sort."""
-    days = Window.partitionBy("user_id").orderBy("date")
-    short = F.avg("hrv_rmssd").over(days.rowsBetween(-6, 0))
-    long = F.avg("hrv_rmssd").over(days.rowsBetween(-27, 0))
-    averaged = recovery.select(
-        "user_id", "date", "hrv_rmssd", short.alias("hrv_7d_avg"), long.alias("hrv_28d_avg")
-    )
-    rising = settle(F.col("hrv_7d_avg")) > settle(F.col("hrv_28d_avg"))
-    return averaged.withColumn("hrv_trend", F.when(rising, "Improving").otherwise("Declining")).orderBy(*USER_DAY)
+    def mean(rows: int) -> str:
+        return f"avg(hrv_rmssd) over (partition by user_id order by date rows between {rows - 1} preceding and current row)"
+
+    rising = f"{settle('hrv_7d_avg')} > {settle('hrv_28d_avg')}"
+    return recovery.selectExpr(
+        "user_id", "date", "hrv_rmssd", f"{mean(7)} as hrv_7d_avg", f"{mean(28)} as hrv_28d_avg"
+    ).selectExpr("*", f"if({rising}, 'Improving', 'Declining') as hrv_trend")
 
 
 def sleep_vs_recovery(metrics: DataFrame, recovery: DataFrame) -> DataFrame:
@@ -108,19 +107,18 @@ def sleep_vs_recovery(metrics: DataFrame, recovery: DataFrame) -> DataFrame:
             *USER_DAY, "total_sleep_hours", "sleep_efficiency_pct", "sleep_debt_hours", "sleep_quality_tier"
         )
         .join(recovery.select(*USER_DAY, "recovery_score", "recovery_state"), USER_DAY, "inner")
-        .orderBy(*USER_DAY)
     )
 
 
 def performance_tiers(benchmarks: DataFrame) -> DataFrame:
     return benchmarks.select(
         "user_id",
-        half_up(F.col("avg_recovery"), 1).alias("avg_recovery_score"),
-        half_up(F.col("avg_hrv"), 1).alias("avg_hrv_ms"),
+        F.expr(half_up("avg_recovery", 1)).alias("avg_recovery_score"),
+        F.expr(half_up("avg_hrv", 1)).alias("avg_hrv_ms"),
         "days_tracked",
-        half_up(F.col("recovery_percentile"), 1).alias("recovery_percentile"),
-        S.performance_tier(F.col("recovery_percentile")).alias("performance_tier"),
-    ).orderBy(F.col("recovery_percentile").desc(), "user_id")
+        F.expr(half_up("recovery_percentile", 1)).alias("recovery_percentile"),
+        F.expr(S.performance_tier("recovery_percentile")).alias("performance_tier"),
+    )
 
 
 def recovery_then_vs_now(then: DataFrame, now: DataFrame) -> DataFrame:
@@ -345,7 +343,7 @@ def recovery_state_distribution(recovery: DataFrame) -> DataFrame:
 def strain_category_distribution(strain: DataFrame) -> DataFrame:
     return (
         _shares(strain, "strain_category")
-        .withColumn("category_no", position_in(F.col("strain_category"), STRAIN_ORDER))
+        .withColumn("category_no", F.expr(position_in("strain_category", STRAIN_ORDER)))
         .orderBy("category_no")
     )
 
@@ -356,9 +354,8 @@ def sleep_tier_share(metrics: DataFrame) -> DataFrame:
 
 def _shares(df: DataFrame, label: str) -> DataFrame:
     """Rows per label with the percentage; the total runs over the handful of counted labels."""
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counted = df.groupBy(label).agg(F.count("*").alias("days"))
-    return counted.withColumn("share_pct", half_up(F.col("days") / F.sum("days").over(everything) * 100, 1))
+    return counted.selectExpr("*", f"{half_up('days / sum(days) over () * 100', 1)} as share_pct")
 
 
 def component_correlations(recovery: DataFrame) -> DataFrame:
@@ -371,12 +368,11 @@ def component_correlations(recovery: DataFrame) -> DataFrame:
 
 def sleep_band_means(metrics: DataFrame, recovery: DataFrame) -> DataFrame:
     """Recovery and HRV by hours slept; nine hours still belong to the third band."""
-    hours = F.col("total_sleep_hours")
-    label = F.when(hours > 9, "over 9 h").otherwise(band(hours, SLEEP_BANDS, "7 to 9 h"))
+    label = f"if(total_sleep_hours > 9, 'over 9 h', {band('total_sleep_hours', SLEEP_BANDS, '7 to 9 h')})"
     return (
         metrics.select(*USER_DAY, "total_sleep_hours")
         .join(recovery.select(*USER_DAY, "recovery_score", "hrv_rmssd"), USER_DAY)
-        .groupBy(label.alias("sleep_band"))
+        .groupBy(F.expr(label).alias("sleep_band"))
         .agg(
             F.avg("recovery_score").alias("avg_recovery"),
             F.avg("hrv_rmssd").alias("avg_hrv"),
@@ -409,8 +405,8 @@ def fitness_level_means(recovery: DataFrame, users: DataFrame) -> DataFrame:
         per_user.join(levels, "user_id")
         .groupBy("fitness_level")
         .agg(
-            ratio(F.sum("_score").cast("double"), F.sum("_scored").cast("double")).alias("avg_recovery"),
-            ratio(F.sum("_hrv"), F.sum("_read").cast("double")).alias("avg_hrv"),
+            F.expr(ratio("double(sum(_score))", "double(sum(_scored))")).alias("avg_recovery"),
+            F.expr(ratio("sum(_hrv)", "double(sum(_read))")).alias("avg_hrv"),
             F.sum("_days").alias("days"),
         )
     )
@@ -418,13 +414,15 @@ def fitness_level_means(recovery: DataFrame, users: DataFrame) -> DataFrame:
 
 def hr_zone_allocation(activity: DataFrame, users: DataFrame) -> DataFrame:
     """Estimated minutes per zone for sessions without reported zones."""
-    sessions = with_max_hr(activity, users)
-    zones = S.allocated_zones(
-        F.col("avg_hr_bpm"), F.col("peak_hr_bpm"), F.col("workout_duration_minutes"), F.col("max_hr")
+    sessions = with_max_hr(activity, users).selectExpr(
+        "*",
+        f"{S.zone_of('avg_hr_bpm', 'max_hr')} as _main",
+        f"{S.zone_of('peak_hr_bpm', 'max_hr')} as _peak",
     )
-    return sessions.select(
+    zones = S.allocated_zones("_main", "_peak", "workout_duration_minutes")
+    return sessions.selectExpr(
         "record_id",
         *USER_DAY,
         "workout_duration_minutes",
-        *[z.alias(f"est_zone{i}_minutes") for i, z in enumerate(zones, start=1)],
+        *[f"{z} as est_zone{i}_minutes" for i, z in enumerate(zones, start=1)],
     )

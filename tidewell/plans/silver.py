@@ -18,39 +18,39 @@ from tidewell.schemas import ZONES
 USER_DAY = ["user_id", "date"]
 
 
-def _as_date():
-    return F.col("date").try_cast("date")
+AS_DATE = "try_cast(date as date)"
+
+
+def _derive(df: DataFrame, **columns: str) -> DataFrame:
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
 
 
 def transform_hrv(valid: DataFrame) -> DataFrame:
-    return valid.filter(~F.col("is_anomaly")).withColumns(
-        {
-            "hrv_rmssd_ms": F.round("hrv_rmssd_ms", 2),
-            "hrv_sdnn_ms": F.round("hrv_sdnn_ms", 2),
-            "date": _as_date(),
-        }
+    return _derive(
+        valid.filter("not is_anomaly"),
+        hrv_rmssd_ms="round(hrv_rmssd_ms, 2)",
+        hrv_sdnn_ms="round(hrv_sdnn_ms, 2)",
+        date=AS_DATE,
     )
 
 
 def transform_sleep(valid: DataFrame) -> DataFrame:
-    minutes = F.round(F.col("total_sleep_hours") * 60, 0)
-    return valid.filter(~F.col("is_anomaly")).withColumns(
-        {
-            "total_sleep_minutes": minutes,
-            "rem_pct": F.round(ratio(F.col("rem_sleep_minutes"), minutes) * 100, 1),
-            "deep_pct": F.round(ratio(F.col("deep_sleep_minutes"), minutes) * 100, 1),
-            "date": _as_date(),
-        }
+    minutes = "round(total_sleep_hours * 60, 0)"
+    return _derive(
+        valid.filter("not is_anomaly"),
+        total_sleep_minutes=minutes,
+        rem_pct=f"round({ratio('rem_sleep_minutes', minutes)} * 100, 1)",
+        deep_pct=f"round({ratio('deep_sleep_minutes', minutes)} * 100, 1)",
+        date=AS_DATE,
     )
 
 
 def transform_activity(valid: DataFrame) -> DataFrame:
-    return valid.withColumns(
-        {
-            "total_zone_minutes": sum((F.coalesce(F.col(z), F.lit(0)) for z in ZONES), F.lit(0)),
-            "workout_type": F.initcap("workout_type"),
-            "date": _as_date(),
-        }
+    return _derive(
+        valid,
+        total_zone_minutes=" + ".join(f"coalesce({z}, 0)" for z in ZONES),
+        workout_type="initcap(workout_type)",
+        date=AS_DATE,
     )
 
 
@@ -85,17 +85,14 @@ def judged(bronze: DataFrame, feed: Feed) -> DataFrame:
     pass through every later join unseen.
     """
     checked = with_rejection_reason(latest_per_key(bronze, feed.key), feed.bounds)
-    bad_date = F.when(
-        _as_date().isNull(), F.concat(F.lit("date is not a calendar day: "), F.coalesce(F.col("date"), F.lit("NULL")))
-    )
-    both = F.concat_ws("; ", F.col(REASON), bad_date)
-    return checked.withColumn(REASON, F.when(both != "", both))
+    no_day = f"if({AS_DATE} is null, concat('date is not a calendar day: ', coalesce(date, 'NULL')), null)"
+    return checked.withColumn(REASON, F.expr(f"nullif(concat_ws('; ', {REASON}, {no_day}), '')"))
 
 
 def clean(bronze: DataFrame, feed: Feed) -> DataFrame:
-    return one_per_user_day(feed.transform(valid_rows(judged(bronze, feed))))
+    return one_per_user_day(feed.transform(valid_rows(judged(bronze, feed))), feed.key)
 
 
-def one_per_user_day(df: DataFrame) -> DataFrame:
+def one_per_user_day(df: DataFrame, key: str) -> DataFrame:
     """Gold works on one row per user and day, so a user's group never outgrows the calendar."""
-    return latest_per_key(df, USER_DAY)
+    return latest_per_key(df, USER_DAY, settle_ties_by=[key])

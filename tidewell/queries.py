@@ -24,7 +24,7 @@ from tidewell.operators.validate import (
     union_all,
 )
 from tidewell.plans import bronze, gold, pipeline, reports, silver
-from tidewell.session import new_workspace
+from tidewell.session import new_workspace, shared_root
 from tidewell.sources import sensor_views as views
 from tidewell.sources.json_feed import read_feed, write_records
 from tidewell.sources.merged_table import MergedTable
@@ -39,7 +39,7 @@ EARLIER, LATER = dt.datetime(2024, 1, 16), dt.datetime(2024, 2, 1)
 
 def _settled(df: DataFrame) -> DataFrame:
     """Doubles cut at nine decimals, so that results compare equal whatever the summation order."""
-    doubles = {f.name: settle(F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    doubles = {f.name: F.expr(settle(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
     return df.withColumns(doubles) if doubles else df
 
 
@@ -219,7 +219,7 @@ def gold_from_silver(spark: SparkSession, sf: str) -> DataFrame:
 def gold_from_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Recovery over unfiltered readings: no bounds, no anomaly filter, latest reading per user-day."""
     hrv, sleep = (
-        silver.one_per_user_day(_raw(feed, spark, sf).withColumn("date", F.col("date").try_cast("date")))
+        silver.one_per_user_day(_raw(feed, spark, sf).withColumn("date", F.expr(silver.AS_DATE)), feed.key)
         for feed in (silver.HRV, silver.SLEEP)
     )
     return gold.daily_recovery(hrv, sleep)
@@ -245,7 +245,8 @@ def _rejection_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _percent_rank_scaled(spark: SparkSession, sf: str) -> DataFrame:
-    days = _recovery(spark, sf).select("user_id", "date", "recovery_score")
+    shared_root(spark)
+    days = _recovery(spark, sf).select("user_id", "date", "recovery_score").checkpoint()
     return percent_rank_over(days, "recovery_score", "score_rank", low=0, high=100, slices=100)
 
 
