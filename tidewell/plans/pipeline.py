@@ -63,16 +63,18 @@ def run_bronze(house: Lakehouse, data_dir: str, run_id: str) -> None:
             house.skin_temp().create_if_absent().upsert(add_audit_columns(raw, run_id))
 
 
-def run_silver(house: Lakehouse) -> dict[str, dict[str, int]]:
+def run_silver(house: Lakehouse, since: str | None = None) -> dict[str, dict[str, int]]:
     """Clean every feed; returns valid and rejected counts per feed.
 
+    ``since`` limits the run to Bronze partitions from that day on; without it all are read.
     The judged rows are written once and both outcomes are read back from there, so the
     deduplication behind them runs a single time and the counts come along with the write.
     """
     spark, counts, rejected = house.spark, {}, []
     stage_root = new_workspace(spark, "silver-stage")
     for feed in silver.FEEDS:
-        judged = silver.judged(house.bronze(feed).read(), feed)
+        bronze = house.bronze(feed).read()
+        judged = silver.judged(bronze if since is None else bronze.filter(F.col("date") >= since), feed)
         seen, stage = Observation(), f"{stage_root}/{feed.name}"
         (
             judged.observe(

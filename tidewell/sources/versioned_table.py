@@ -49,8 +49,9 @@ class VersionedTable:
 
     def replace(self, df: DataFrame, committed_at: dt.datetime | None = None, operation: str = "replace") -> int:
         """Write ``df`` as the new version; returns its number."""
-        last = self.log().agg(F.max("version")).first()[0]
-        version = (last or 0) + 1
+        version = 1
+        if path_exists(self.spark, f"{self.path}/log"):
+            version += self.log().agg(F.max("version")).first()[0]
         counted = Observation()
         (
             df.observe(counted, F.count(F.lit(1)).alias("rows"))
