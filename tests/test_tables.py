@@ -202,3 +202,17 @@ def test_stream_takes_each_file_once(spark, workspace):
     final = house.bronze(silver.HRV).read()
     assert final.count() == 397
     assert final.filter(F.col("_ingestion_run_id") == "run-1").count() == first.filter("date < '2024-01-16'").count()
+
+
+def test_dates_that_are_none_share_one_partition(spark, workspace):
+    layout = spark.createDataFrame([], "k string, date string, v int").schema
+    table = MergedTable(spark, workspace, layout, ["k"], "_day", "try_cast(date as date)").create_if_absent()
+    odd = [(f"k{i}", f"no day {i}", i) for i in range(20)]
+    table.upsert(keyed(spark, ("a", "2024-01-01", 1), *odd))
+    table.upsert(keyed(spark, ("a", "2024-01-02", 2), ("k3", "2024-01-02", 33)))
+    assert {p for p in os.listdir(workspace.removeprefix("file:")) if p.startswith("_day")} == {
+        "_day=__HIVE_DEFAULT_PARTITION__",
+        "_day=2024-01-02",
+    }
+    assert table.read().count() == 21
+    assert rows(table.read(since="2024-01-02")) == [("a", "2024-01-02", 2), ("k3", "2024-01-02", 33)]

@@ -51,24 +51,24 @@ def with_baselines(joined: DataFrame) -> DataFrame:
     before = f"over ({days} rows between {S.BASELINE_ROWS} preceding and 1 preceding)"
     history = f"over ({days} rows between unbounded preceding and unbounded following)"
 
-    def recent(measure: str, statistic: str) -> str:
-        return f"if(count({measure}) {before} >= {S.BASELINE_MIN_ROWS}, {statistic}({measure}) {before}, null)"
-
     measured = joined.selectExpr(
         "*",
-        f"{recent('hrv_rmssd_ms', 'avg')} as _recent",
-        f"{recent('hrv_rmssd_ms', 'stddev_samp')} as _recent_spread",
-        f"{recent('resting_hr_bpm', 'avg')} as _recent_rhr",
+        f"count(hrv_rmssd_ms) {before} as _hrv_rows",
+        f"avg(hrv_rmssd_ms) {before} as _recent",
+        f"stddev_samp(hrv_rmssd_ms) {before} as _recent_spread",
+        f"count(resting_hr_bpm) {before} as _rhr_rows",
+        f"avg(resting_hr_bpm) {before} as _recent_rhr",
         f"avg(hrv_rmssd_ms) {history} as _all",
         f"stddev_samp(hrv_rmssd_ms) {history} as _all_spread",
         f"avg(resting_hr_bpm) {history} as _all_rhr",
     )
+    settled = f"_hrv_rows >= {S.BASELINE_MIN_ROWS}"
     return measured.selectExpr(
         *joined.columns,
-        "if(_recent is null, _all, _recent) as _base",
-        "if(_recent is null, _all_spread, _recent_spread) as _spread",
-        "if(_recent is null, _all_rhr, _recent_rhr) as _rhr_base",
-        "_recent is null as needs_more_baseline",
+        f"if({settled}, _recent, _all) as _base",
+        f"if({settled}, _recent_spread, _all_spread) as _spread",
+        f"if({settled}, if(_rhr_rows >= {S.BASELINE_MIN_ROWS}, _recent_rhr, null), _all_rhr) as _rhr_base",
+        f"not ({settled}) as needs_more_baseline",
     )
 
 

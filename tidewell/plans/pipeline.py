@@ -15,7 +15,7 @@ from tidewell.plans import gold, silver
 from tidewell.plans.bronze import add_audit_columns
 from tidewell.session import new_workspace
 from tidewell.sources.json_feed import path_exists, read_feed, write_records
-from tidewell.sources.merged_table import MergedTable
+from tidewell.sources.merged_table import MergedTable, delete_path
 from tidewell.sources.versioned_table import VersionedTable
 
 FILES = {"hrv_readings": "hrv.json", "sleep_records": "sleep.json", "activity_records": "activity.json"}
@@ -30,21 +30,20 @@ class Lakehouse:
     root: str
 
     def bronze(self, feed: silver.Feed) -> MergedTable:
-        layout = schemas.with_audit(feed.layout)
-        return MergedTable(self.spark, f"{self.root}/bronze/{feed.name}", layout, [feed.key])
+        return self._by_text_date(f"bronze/{feed.name}", schemas.with_audit(feed.layout), [feed.key])
+
+    def _by_text_date(self, place: str, layout, keys: list[str]) -> MergedTable:
+        return MergedTable(self.spark, f"{self.root}/{place}", layout, keys, "_day", silver.AS_DATE)
 
     def skin_temp(self) -> MergedTable:
-        layout = schemas.with_audit(schemas.SKIN_TEMP)
-        return MergedTable(self.spark, f"{self.root}/bronze/skin_temp_readings", layout, ["record_id"])
+        return self._by_text_date("bronze/skin_temp_readings", schemas.with_audit(schemas.SKIN_TEMP), ["record_id"])
 
     def silver(self, feed: silver.Feed) -> MergedTable:
         name = {"hrv_readings": "hrv_clean", "sleep_records": "sleep_clean", "activity_records": "activity_clean"}
         return MergedTable(self.spark, f"{self.root}/silver/{name[feed.name]}", feed.silver_layout, silver.USER_DAY)
 
     def quarantine(self) -> MergedTable:
-        return MergedTable(
-            self.spark, f"{self.root}/silver/quarantine", schemas.QUARANTINE, ["source_table", "record_id"]
-        )
+        return self._by_text_date("silver/quarantine", schemas.QUARANTINE, ["source_table", "record_id"])
 
     def gold(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/gold/{name}")
@@ -73,8 +72,7 @@ def run_silver(house: Lakehouse, since: str | None = None) -> dict[str, dict[str
     spark, counts, rejected = house.spark, {}, []
     stage_root = new_workspace(spark, "silver-stage")
     for feed in silver.FEEDS:
-        bronze = house.bronze(feed).read()
-        judged = silver.judged(bronze if since is None else bronze.filter(F.col("date") >= since), feed)
+        judged = silver.judged(house.bronze(feed).read(since), feed)
         seen, stage = Observation(), f"{stage_root}/{feed.name}"
         (
             judged.observe(
@@ -90,6 +88,7 @@ def run_silver(house: Lakehouse, since: str | None = None) -> dict[str, dict[str
         rejected.append(quarantine_rows(staged, feed.key, feed.source_table))
     # by record rather than appended: a second run reports each bad record once
     house.quarantine().create_if_absent().upsert(union_all(rejected))
+    delete_path(spark, stage_root)
     return counts
 
 

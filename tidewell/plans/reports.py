@@ -257,9 +257,9 @@ def component_means(recovery: DataFrame, per_user: bool = True) -> DataFrame:
 
 def week_weekday_grid(recovery: DataFrame, min_days: int = 14) -> DataFrame:
     """Mean recovery per user, ISO week and weekday, for users with enough days, in long form."""
-    enough = recovery.groupBy("user_id").agg(F.count("*").alias("_days")).filter(F.col("_days") >= min_days)
+    counted = recovery.selectExpr("user_id", "date", "recovery_score", "count(*) over (partition by user_id) as _days")
     return (
-        recovery.join(enough.select("user_id"), "user_id", "left_semi")
+        counted.filter(F.col("_days") >= min_days)
         .groupBy(
             "user_id",
             F.extract(F.lit("YEAROFWEEK"), F.col("date")).cast("int").alias("iso_year"),
@@ -313,15 +313,14 @@ def hrv_quartiles(recovery: DataFrame) -> DataFrame:
 
 
 def hrv_outliers(recovery: DataFrame) -> DataFrame:
-    """Readings beyond their user's fences."""
-    fences = hrv_quartiles(recovery).select("user_id", "lower_fence", "upper_fence")
-    value = F.col("hrv_rmssd")
-    return (
-        recovery.select(*USER_DAY, "hrv_rmssd")
-        .join(fences, "user_id")
-        .filter((value < F.col("lower_fence")) | (value > F.col("upper_fence")))
-        .select(*USER_DAY, "hrv_rmssd", F.when(value < F.col("lower_fence"), "low").otherwise("high").alias("side"))
-    )
+    """Readings beyond their user's fences, found in one pass over the user's days."""
+    quarter = "percentile(hrv_rmssd, {}) over (partition by user_id)"
+    boxed = recovery.selectExpr(*USER_DAY, "hrv_rmssd", f"{quarter.format(0.25)} as _q1", f"{quarter.format(0.75)} as _q3")
+    return boxed.selectExpr(
+        *USER_DAY,
+        "hrv_rmssd",
+        "case when hrv_rmssd < _q1 - (_q3 - _q1) * 1.5D then 'low' when hrv_rmssd > _q3 + (_q3 - _q1) * 1.5D then 'high' end as side",
+    ).filter("side is not null")
 
 
 def hrv_histogram(recovery: DataFrame, width: float = 5.0) -> DataFrame:

@@ -160,7 +160,12 @@ def table_create_replace(spark: SparkSession, sf: str) -> DataFrame:
 def quarantine_append(spark: SparkSession, sf: str) -> DataFrame:
     """Written twice, as by a repeated run; each bad record is there once."""
     table = MergedTable(
-        spark, new_workspace(spark, "quarantine"), schemas.QUARANTINE, ["source_table", "record_id"]
+        spark,
+        new_workspace(spark, "quarantine"),
+        schemas.QUARANTINE,
+        ["source_table", "record_id"],
+        partition="_day",
+        partition_from=silver.AS_DATE,
     ).create_if_absent()
     for _ in range(2):
         table.upsert(_quarantine(spark, sf))

@@ -15,6 +15,8 @@ def build_session(app: str = "tidewell", master: str | None = None, shuffle_part
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # the scores cost more per byte than a scan: let small stages use more than one core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:

@@ -14,14 +14,18 @@ from tidewell.schemas import as_nullable
 from tidewell.session import shared_root
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @dataclass
 class MergedTable:
-    """One row per key, rows stored by date.
+    """One row per key, rows stored by day.
+
+    ``partition`` names the column the files are laid out by.  Feeds carry their date as text, which
+    may be anything, so their tables derive the day with ``partition_from``: text that is no day shares
+    one partition, and the number of partitions stays that of the calendar.
 
     An upsert rewrites only the dates it touches, by dynamic partition overwrite: new files are
     staged and moved in at job commit, so lost tasks are simply run again, and repeating an upsert
@@ -33,6 +37,13 @@ class MergedTable:
     layout: T.StructType
     keys: Sequence[str]
     partition: str = "date"
+    partition_from: str | None = None
+
+    def _stored_layout(self) -> T.StructType:
+        fields = as_nullable(self.layout).fields
+        if self.partition in self.layout.names:
+            return T.StructType(fields)
+        return T.StructType([*fields, T.StructField(self.partition, T.DateType())])
 
     def create_if_absent(self) -> "MergedTable":
         where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -43,22 +54,31 @@ class MergedTable:
         """Enter the table into the session catalog, so that SQL can read it by name."""
         self.create_if_absent()
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.path}.db'")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.layout.fields)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._stored_layout().fields)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet "
             f"PARTITIONED BY (`{self.partition}`) LOCATION '{self.path}'"
         )
         self.spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
 
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(as_nullable(self.layout)).parquet(self.path).select(*self.layout.names)
-
-    def _write(self, df: DataFrame) -> None:
-        # the rebalance step cuts large dates into several files and packs small ones together
+    def _stored(self) -> DataFrame:
+        layout = self._stored_layout()
+        return self.spark.read.schema(layout).parquet(self.path).select(*layout.names)
+
+    def read(self, since: str | None = None) -> DataFrame:
+        """The rows, or only those of the partitions from a day on."""
+        rows = self._stored()
+        if since is not None:
+            rows = rows.filter(F.col(self.partition) >= F.lit(since).cast("date"))
+        return rows.select(*self.layout.names)
+
+    def _write(self, df: DataFrame, sort_by: Sequence[str] = ()) -> None:
+        # the rebalance step cuts large days into several files and packs small ones together
+        packed = df.hint("rebalance", self.partition)
+        if sort_by:
+            packed = packed.sortWithinPartitions(*sort_by)
         (
-            df.select(*self.layout.names)
-            .hint("rebalance", self.partition)
-            .write.mode("overwrite")
+            packed.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.partition)
             .parquet(self.path)
@@ -77,16 +97,19 @@ class MergedTable:
         """Insert new keys, replace rows of known keys; the newest row wins within the source."""
         keys = list(self.keys)
         shared_root(self.spark)
-        incoming = latest_per_key(source, keys, null_keys_match=False).select(*self.layout.names).checkpoint()
+        newest = latest_per_key(source, keys, null_keys_match=False).select(*self.layout.names)
+        if self.partition_from:
+            newest = newest.withColumn(self.partition, F.expr(self.partition_from))
+        incoming = newest.checkpoint()
         new_dates = self._dates(incoming)
         left = []
         if self.partition not in keys:
-            matched = self.read().select(*keys, self.partition).join(incoming.select(*keys), keys, "left_semi")
+            matched = self._stored().select(*keys, self.partition).join(incoming.select(*keys), keys, "left_semi")
             left = [d for d in self._dates(matched) if d not in new_dates]
         touched = new_dates + left
         if not touched:
             return
-        kept = self.read().filter(self._on_dates(touched)).join(incoming.select(*keys), keys, "left_anti")
+        kept = self._stored().filter(self._on_dates(touched)).join(incoming.select(*keys), keys, "left_anti")
         emptied = []
         if left:
             # rows that moved to another date may leave their old date without any row
@@ -95,16 +118,8 @@ class MergedTable:
         self._write(kept.unionByName(incoming))
         for date in emptied:
             value = "__HIVE_DEFAULT_PARTITION__" if date is None else date
-            _delete(self.spark, f"{self.path}/{self.partition}={value}")
+            delete_path(self.spark, f"{self.path}/{self.partition}={value}")
 
     def compact(self) -> None:
-        """Rewrite every date with rebalanced files, rows of a user next to each other."""
-        (
-            self.read()
-            .hint("rebalance", self.partition)
-            .sortWithinPartitions(self.partition, *self.keys)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition)
-            .parquet(self.path)
-        )
+        """Rewrite every day with rebalanced files, rows of a key next to each other."""
+        self._write(self._stored(), sort_by=[self.partition, *self.keys])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.sources.json_feed import path_exists
-from tidewell.sources.merged_table import _delete
+from tidewell.sources.merged_table import delete_path
 
 LOG_LAYOUT = "version long, committed_at timestamp_ntz, operation string, row_count long"
 
@@ -83,7 +83,7 @@ class VersionedTable:
         if doomed:
             self._append_log([(v, older_than, "expire", None) for v in doomed])
             for version in doomed:
-                _delete(self.spark, f"{self.path}/data/version={version}")
+                delete_path(self.spark, f"{self.path}/data/version={version}")
         return doomed
 
     def compact(self) -> int:
