@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 EAGER = {
     "json_scan_typed", "upsert_single_key", "upsert_composite_key", "table_create_replace", "quarantine_append",
     "gold_from_silver", "snapshot_as_of", "recovery_then_vs_now", "compacted_table", "cohort_benchmarks",
-    "performance_tiers", "percent_rank_scaled",
+    "performance_tiers", "percent_rank_scaled", "quarantine_weekly",
 }
 
 

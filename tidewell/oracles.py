@@ -15,11 +15,7 @@ def half_up(column: str, n: int) -> str:
 
 
 def half_even(column: str, n: int) -> str:
-    scaled = f"abs({_decimal(column)} * {10**n})"
-    return (
-        f"(cast(case when {scaled} - floor({scaled}) = 0.5 and floor({scaled}) % 2 = 0 "
-        f"then sign({column}) * floor({scaled}) else round({_decimal(column)} * {10**n}) end as double) / {10**n}.0e0)"
-    )
+    return f"(round_even(round({column}, 9) * {10**n}.0e0, 0) / {10**n}.0e0)"
 
 
 def r9(*columns: str) -> str:

@@ -13,6 +13,7 @@ from tidewell.functions import scoring as S
 from tidewell.functions.numeric import band, half_up, position_in, ratio, settle
 from tidewell.plans.gold import with_max_hr
 from tidewell.plans.silver import USER_DAY
+from tidewell.session import shared_root
 
 STRAIN_ORDER = ["Recovery", "Light", "Moderate", "Hard", "All Out"]
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
@@ -130,15 +131,14 @@ def recovery_then_vs_now(then: DataFrame, now: DataFrame) -> DataFrame:
     )
 
 
-def _quarantine_weeks(quarantine: DataFrame) -> DataFrame:
-    return quarantine.withColumn("week", F.date_trunc("week", F.col("date").try_cast("date")).cast("date"))
+WEEK = "cast(date_trunc('week', try_cast(date as date)) as date) as week"
 
 
 def quarantine_weekly_reasons(quarantine: DataFrame) -> DataFrame:
     """One row per table, week and distinct reason: the complete list, of any length."""
     return (
-        _quarantine_weeks(quarantine)
-        .filter(F.col("rejection_reason") != "")
+        quarantine.selectExpr("source_table", WEEK, "rejection_reason")
+        .filter("rejection_reason != ''")
         .groupBy("source_table", "week", "rejection_reason")
         .agg(F.count("*").alias("records"))
     )
@@ -152,23 +152,34 @@ def quarantine_weekly(quarantine: DataFrame, max_text: int = 1 << 24) -> DataFra
     so, and ``quarantine_weekly_reasons`` has it row by row.
     """
     group = ["source_table", "week"]
-    counts = _quarantine_weeks(quarantine).groupBy(*group).agg(
-        F.count("*").alias("quarantined_records"), F.count_distinct("user_id").alias("affected_users")
+    shared_root(quarantine.sparkSession)
+    # counted down once and written, so that the rejected rows are read a single time
+    tally = (
+        quarantine.selectExpr("source_table", WEEK, "user_id", "rejection_reason")
+        .groupBy(*group, "user_id", "rejection_reason")
+        .agg(F.count("*").alias("records"))
+        .checkpoint()
+    )
+    counts = tally.groupBy(*group).agg(
+        F.sum("records").alias("quarantined_records"), F.count_distinct("user_id").alias("affected_users")
     )
-    reasons = quarantine_weekly_reasons(quarantine).select(*group, "rejection_reason")
+    reasons = tally.filter("rejection_reason != ''").select(*group, "rejection_reason").distinct()
     sizes = reasons.groupBy(*group).agg(F.sum(F.length("rejection_reason") + 3).alias("_chars"))
-    same_group = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in group]
+
+    def same_group(left: str, right: str) -> list[Column]:
+        return [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in group]
+
     small = sizes.filter(F.col("_chars") <= max_text)
     cells = (
         reasons.alias("l")
-        .join(small.alias("r"), same_group, "left_semi")
+        .join(small.alias("r"), same_group("l", "r"), "left_semi")
         .groupBy(*group)
         .agg(F.array_join(F.array_sort(F.collect_list("rejection_reason")), " | ").alias("rejection_reasons"))
     )
     return (
         counts.alias("l")
-        .join(cells.alias("r"), same_group, "left")
-        .join(sizes.alias("s"), [F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}")) for c in group], "left")
+        .join(cells.alias("r"), same_group("l", "r"), "left")
+        .join(sizes.alias("s"), same_group("l", "s"), "left")
         .select(
             "l.source_table",
             "l.week",

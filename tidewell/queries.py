@@ -341,9 +341,37 @@ _QUERIES: dict[str, Query] = {
 }
 
 
-def _registered(query: Query) -> Query:
+# Results with doubles that the query itself does not round.
+_UNROUNDED = {
+    "hrv_component",
+    "rhr_component",
+    "sleep_component",
+    "spo2_component",
+    "sleep_metrics",
+    "cohort_benchmarks",
+    "percent_rank_scaled",
+    "recovery_then_vs_now",
+    "hrv_trend",
+    "kpi_summary",
+    "run_stats",
+    "component_means",
+    "week_weekday_grid",
+    "week_weekday_matrix",
+    "sleep_stage_long",
+    "ols_strain_recovery",
+    "hrv_quartiles",
+    "component_correlations",
+    "sleep_band_means",
+    "training_phase_means",
+    "fitness_level_means",
+}
+
+
+def _registered(name: str, query: Query) -> Query:
+    if name not in _UNROUNDED:
+        return query
     return lambda spark, sf_dir: _settled(query(spark, sf_dir))
 
 
 def queries() -> dict[str, Query]:
-    return {name: _registered(query) for name, query in _QUERIES.items()}
+    return {name: _registered(name, query) for name, query in _QUERIES.items()}
