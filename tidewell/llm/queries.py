@@ -8,12 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import byte_bpe
+from tidewell.llm import byte_bpe, token_files
+from tidewell.llm.shipping import ship
+from tidewell.session import new_workspace
+
+#: Ends a document in the token files and in packed sequences.
+END_ID = 1
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
@@ -28,9 +34,17 @@ def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_workspace(spark, "token-files")
+    token_files.write_tokens(_documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"), folder, END_ID)
+    stored = token_files.read_tokens(spark, folder)
+    return stored.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op2_token_files": op2_token_files,
     }
 
 
