@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import byte_bpe, token_files
+from tidewell.llm import byte_bpe, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -23,6 +23,11 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def _remainder(parts: int) -> Column:
+    """The fold of a document: crc32 of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
 def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_bpe.encode(_documents(spark, sf), path, public_tokenizers.PATTERN, decode=True)
@@ -41,10 +46,24 @@ def op2_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return stored.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where(_remainder(3) != 1)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "distance",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_token_files": op2_token_files,
+        "op7_toxicity": op7_toxicity,
     }
 
 
