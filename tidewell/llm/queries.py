@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import byte_bpe, token_files, toxicity
+from tidewell.llm import byte_bpe, exact_dedup, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -46,6 +46,10 @@ def op2_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return stored.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_dedup.classes(_documents(spark, sf), new_workspace(spark, "exact-dedup"))
+
+
 def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _documents(spark, sf)
     labels = spark.read.parquet(f"{sf}/labels.parquet").where(_remainder(3) != 1)
@@ -63,9 +67,21 @@ def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_token_files": op2_token_files,
+        "op6_exact_dedup": op6_exact_dedup,
         "op7_toxicity": op7_toxicity,
     }
 
 
+#: White space that exact duplicates ignore and that separates words.
+_NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_exact_dedup": f"""
+            with d as (select doc_id, length(coalesce(text, '')) as n, sha256({_NORMAL}) as text_sha256 from documents)
+            select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partition by text_sha256) as group_size,
+                   doc_id = first_value(doc_id) over best as kept, text_sha256
+            from d window best as (partition by text_sha256 order by n desc, doc_id)
+        """,
+    }
