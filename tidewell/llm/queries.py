@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import byte_bpe, exact_dedup, token_files, toxicity
+from tidewell.llm import byte_bpe, exact_dedup, language, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -46,6 +46,13 @@ def op2_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return stored.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf)
+    model = language.fit(docs.where(_remainder(3) != 1))
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out")
+    return language.predict(docs, model).select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.classes(_documents(spark, sf), new_workspace(spark, "exact-dedup"))
 
@@ -67,6 +74,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_token_files": op2_token_files,
+        "op3_language": op3_language,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_toxicity": op7_toxicity,
     }
