@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import byte_bpe, exact_dedup, language, token_files, toxicity
+from tidewell.llm import byte_bpe, exact_dedup, fertility, language, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -70,6 +70,24 @@ def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_fertility(spark: SparkSession, sf: str) -> DataFrame:
+    stored = f"{new_workspace(spark, 'fertility')}/measures"
+    fertility.measure(_documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model")).write.parquet(stored)
+    return fertility.judge(spark.read.parquet(stored)).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "chars_per_token",
+        "byte_share",
+        "entropy",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -77,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op3_language": op3_language,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_toxicity": op7_toxicity,
+        "op10_fertility": op10_fertility,
     }
 
 
