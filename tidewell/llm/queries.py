@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import byte_bpe, exact_dedup, fertility, language, token_files, toxicity
+from tidewell.llm import byte_bpe, exact_dedup, fertility, jaccard_join, language, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -53,6 +53,10 @@ def op3_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", held_out, "lang_pred", "score", "rejected")
 
 
+def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.classes(_documents(spark, sf), new_workspace(spark, "jaccard-join"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.classes(_documents(spark, sf), new_workspace(spark, "exact-dedup"))
 
@@ -93,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op1_byte_bpe": op1_byte_bpe,
         "op2_token_files": op2_token_files,
         "op3_language": op3_language,
+        "op4_jaccard_join": op4_jaccard_join,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_toxicity": op7_toxicity,
         "op10_fertility": op10_fertility,
