@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +46,51 @@ def components(links: DataFrame, folder: str) -> DataFrame:
             return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
         before, turn = state, turn + 1
         now = stored(_small_star(_large_star(now)), f"{folder}/round-{turn}")
+
+
+def linked_groups(shared: DataFrame, possible: str, verify: Callable[[DataFrame], DataFrame], folder: str, rounds: int) -> DataFrame:
+    """``id`` and ``label`` of every member that links with another one; members without a row stand alone.
+
+    ``shared`` (``key``, ``id`` and what the SQL condition ``possible`` asks of its rows ``x`` and ``y``) says who
+    could link: members with a common key. ``verify`` returns those of the pairs (``a``, ``b``) that do. In each
+    of the first ``rounds``, the members of a key are held against one pivot unless they are in its component
+    already, so a large group of members that link is linear work. The last step lists all pairs of a key that are
+    still in different components; no possible link is left out.
+    """
+    spark, kept = shared.sparkSession, shared.columns
+    labels = spark.createDataFrame([], "id long, label long")
+    tried = spark.createDataFrame([], "a long, b long")
+    turn = 0
+    while True:
+        now = shared.join(labels, "id", "left").select(*kept, F.coalesce("label", "id").alias("label"))
+        row = F.struct(*[c for c in kept if c != "key"], "label")
+        pivots = now.groupBy("key").agg(
+            F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), row.alias("row"))).alias("first"),
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+        )
+        pivots = pivots.where("low < high").select("key", "first.row.*")
+        if turn < rounds:
+            against, apart = pivots, "x.label <> y.label"
+        else:
+            against, apart = now.join(pivots.select("key"), "key", "left_semi"), "x.label < y.label"
+        found = now.alias("x").join(against.alias("y"), "key").where(f"{apart} and {possible}")
+        pairs = found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), f"{folder}/pairs-{turn}")
+        if pairs.isEmpty():
+            if turn >= rounds:
+                return labels
+            turn = rounds
+            continue
+        links = verify(pairs)
+        for c in ("a", "b"):  # links join the components that their ends are in
+            links = links.join(labels.select(F.col("id").alias(c), F.col("label").alias(f"label_{c}")), c, "left")
+        links = links.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+        merged = components(links, f"{folder}/components-{turn}")
+        moved = labels.join(merged.select(F.col("id").alias("label"), "component"), "label", "left").select("id", F.coalesce("component", "label").alias("label"))
+        new = merged.join(labels, "id", "left_anti").select("id", F.col("component").alias("label"))
+        labels = stored(moved.union(new), f"{folder}/labels-{turn}")
+        if turn >= rounds:
+            return labels
+        tried = tried.union(pairs)
+        turn += 1

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.batches import text_slices
-from tidewell.llm.components import components, stored
+from tidewell.llm.components import linked_groups, stored
 
 #: Words of a shingle; two sets link from 4/5 of their union on.
 WORDS = 5
@@ -168,12 +168,11 @@ def _linked(batches):
         yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in ("a", "b")], names=["a", "b"]).filter(pa.array(keep))
 
 
-def _possible(x: str, y: str) -> str:
-    """Length and positional filter on two rows of one shingle: with this shingle, at most so many can be common."""
-    return (
-        f"5 * least({x}.n, {y}.n) >= 4 * greatest({x}.n, {y}.n) and "
-        f"9 * (least({x}.place, {y}.place) + least({x}.n - {x}.place, {y}.n - {y}.place)) >= 4 * ({x}.n + {y}.n)"
-    )
+#: Length and positional filter on two sets with a common shingle: so many shingles at most can be common.
+POSSIBLE = (
+    "5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n) and "
+    "9 * (least(x.place, y.place) + least(x.n - x.place, y.n - y.place)) >= 4 * (x.n + y.n)"
+)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -215,43 +214,8 @@ def classes(docs: DataFrame, folder: str) -> DataFrame:
     sets = texts.mapInArrow(_sets, "set_id long, n int, parts array<int>, shingles binary").dropDuplicates(["set_id"])
     sets = stored(sets, f"{folder}/sets")
 
-    # label: least set of the component so far
-    labels = spark.createDataFrame([], "id long, label long")
-    tried = spark.createDataFrame([], "a long, b long")
-    turn = 0
-    while True:
-        now = shared.join(labels, shared.set_id == labels.id, "left").select("shingle", "set_id", "n", "place", F.coalesce("label", "set_id").alias("label"))
-        row = F.struct("set_id", "n", "place", "label")
-        pivots = now.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("set_id", F.lit(turn)), row.alias("row"))).alias("first"), F.min("label").alias("low"), F.max("label").alias("high"))
-        pivots = pivots.where("low < high").select("shingle", "first.row.*")
-        if turn < PIVOT_ROUNDS:
-            against = pivots
-            apart = "x.label <> y.label"
-        else:
-            against = now.join(pivots.select("shingle"), "shingle", "left_semi")
-            apart = "x.label < y.label"
-        found = now.alias("x").join(against.alias("y"), "shingle").where(f"{apart} and {_possible('x', 'y')}")
-        pairs = found.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), f"{folder}/pairs-{turn}")
-        if pairs.isEmpty():
-            if turn >= PIVOT_ROUNDS:
-                break
-            turn = PIVOT_ROUNDS
-            continue
-        links = _verified(pairs, sets)
-        # links join the components that their sets are in
-        for c in ("a", "b"):
-            links = links.join(labels.select(F.col("id").alias(c), F.col("label").alias(f"label_{c}")), c, "left")
-        links = links.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
-        merged = components(links, f"{folder}/components-{turn}")
-        moved = labels.join(merged, labels.label == merged.id, "left").select(labels.id, F.coalesce("component", "label").alias("label"))
-        new = merged.join(labels, "id", "left_anti").select("id", F.col("component").alias("label"))
-        labels = stored(moved.union(new), f"{folder}/labels-{turn}")
-        tried = tried.union(pairs)
-        if turn >= PIVOT_ROUNDS:
-            break
-        turn += 1
-
+    groups = shared.select(F.col("shingle").alias("key"), F.col("set_id").alias("id"), "n", "place")
+    labels = linked_groups(groups, POSSIBLE, lambda pairs: _verified(pairs, sets), folder, PIVOT_ROUNDS)
     own = members.join(labels, members.set_id == labels.id, "left").select("doc_id", "n", F.coalesce("label", "set_id").alias("label"))
     least = own.groupBy("label").agg(F.min("doc_id").alias("least"))
     n_shingles = F.col("n").cast("long").alias("n_shingles")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import byte_bpe, exact_dedup, fertility, jaccard_join, language, token_files, toxicity
+from tidewell.llm import byte_bpe, exact_dedup, fertility, jaccard_join, language, line_dedup, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -74,6 +74,10 @@ def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.line_classes(_documents(spark, sf), new_workspace(spark, "line-dedup")).drop("text_key")
+
+
 def op10_fertility(spark: SparkSession, sf: str) -> DataFrame:
     stored = f"{new_workspace(spark, 'fertility')}/measures"
     fertility.measure(_documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model")).write.parquet(stored)
@@ -100,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op4_jaccard_join": op4_jaccard_join,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_toxicity": op7_toxicity,
+        "op8_line_dedup": op8_line_dedup,
         "op10_fertility": op10_fertility,
     }
 
