@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import byte_bpe, exact_dedup, fertility, jaccard_join, language, line_dedup, token_files, toxicity
+from tidewell.llm import byte_bpe, exact_dedup, fertility, jaccard_join, language, line_dedup, packing, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -78,6 +78,12 @@ def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.line_classes(_documents(spark, sf), new_workspace(spark, "line-dedup")).drop("text_key")
 
 
+def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = packing.pack(_documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"), new_workspace(spark, "packing"), END_ID)
+    length = (F.octet_length("ids") / 4).cast("long").alias("length")
+    return pieces.select("doc_id", "start", length, F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op10_fertility(spark: SparkSession, sf: str) -> DataFrame:
     stored = f"{new_workspace(spark, 'fertility')}/measures"
     fertility.measure(_documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model")).write.parquet(stored)
@@ -105,6 +111,7 @@ def queries() -> dict[str, Query]:
         "op6_exact_dedup": op6_exact_dedup,
         "op7_toxicity": op7_toxicity,
         "op8_line_dedup": op8_line_dedup,
+        "op9_packing": op9_packing,
         "op10_fertility": op10_fertility,
     }
 
