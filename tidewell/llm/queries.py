@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import byte_bpe, exact_dedup, fertility, jaccard_join, language, line_dedup, packing, token_files, toxicity
+from tidewell.llm import bilinear_lm, byte_bpe, exact_dedup, fertility, jaccard_join, language, line_dedup, packing, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -57,6 +57,16 @@ def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.classes(_documents(spark, sf), new_workspace(spark, "jaccard-join"))
 
 
+def op5_bilinear_lm(spark: SparkSession, sf: str) -> DataFrame:
+    docs, folder = _documents(spark, sf), new_workspace(spark, "bilinear-lm")
+    held_out = F.coalesce(_remainder(10) == 0, F.lit(False))
+    training = docs.where(~held_out)
+    counts, statistics = bilinear_lm.gather(training, folder)
+    model = bilinear_lm.train(training, statistics)
+    scored = bilinear_lm.score(docs, counts, statistics, model, folder)
+    return scored.withColumns({"held_out": held_out, "train_tokens": F.lit(statistics.total).cast("long")})
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.classes(_documents(spark, sf), new_workspace(spark, "exact-dedup"))
 
@@ -108,6 +118,7 @@ def queries() -> dict[str, Query]:
         "op2_token_files": op2_token_files,
         "op3_language": op3_language,
         "op4_jaccard_join": op4_jaccard_join,
+        "op5_bilinear_lm": op5_bilinear_lm,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_toxicity": op7_toxicity,
         "op8_line_dedup": op8_line_dedup,
