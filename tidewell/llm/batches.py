@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,13 +32,24 @@ def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
             yield batch.slice(start), texts[start:]
 
 
+@contextmanager
+def steady_heap() -> Iterator[None]:
+    """No search for reference cycles meanwhile: there are none, and it would walk the workers' large tables."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def over_texts(make: Callable[[], Callable[[list], dict]], schema: pa.Schema) -> Callable:
     """A mapInArrow function: ``make`` runs once per task; its result turns texts into further columns."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = make()
         for batch, texts in text_slices(batches):
-            made = columns(texts)
+            with steady_heap():
+                made = columns(texts)
             arrays = [made[f.name] if f.name in made else batch.column(batch.schema.get_field_index(f.name)) for f in schema]
             yield pa.RecordBatch.from_arrays([_typed(a, f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.batches import documents_only, text_slices
+from tidewell.llm.batches import documents_only, steady_heap, text_slices
 from tidewell.llm.word_ids import word_ids
 
 BLOCK = 1 << 16
@@ -33,6 +33,9 @@ HEAD = struct.Struct("<4sIQQQQ")
 #: Values in a word and their bits, by selector; fixed values of the format.
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
+_POWERS = np.array([1 << b for b in range(61)], np.uint64)
+#: Bits that small values need.
+_SMALL_BITS = np.searchsorted(_POWERS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
 
 
 def pack(values: np.ndarray) -> np.ndarray:
@@ -41,7 +44,7 @@ def pack(values: np.ndarray) -> np.ndarray:
     n = len(values)
     if not n:
         return np.empty(0, np.uint64)
-    need = np.searchsorted(np.array([1 << b for b in range(61)], np.uint64), values, side="right").astype(np.uint8)
+    need = _SMALL_BITS[values] if values.max() < len(_SMALL_BITS) else np.searchsorted(_POWERS, values, side="right").astype(np.uint8)
     taken = np.zeros(n, np.uint8)  # selector by place; 0 where nothing else fits
     widest, width = need, 1  # most bits among the next ``width`` values; what lies beyond the end needs none
     for selector in range(len(COUNTS) - 1, 0, -1):
@@ -51,7 +54,10 @@ def pack(values: np.ndarray) -> np.ndarray:
             shifted = np.zeros(n, np.uint8)
             shifted[: max(0, n - by)] = widest[by:]
             widest, width = np.maximum(widest, shifted), width + by
-        taken[widest <= bits] = selector
+        fits = widest <= bits
+        if not fits.any():  # more values of fewer bits fit nowhere either
+            break
+        taken[fits] = selector
     jumps, places, at = COUNTS[taken].tolist(), [], 0
     while at < n:
         places.append(at)
@@ -159,7 +165,9 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int) -> DataFr
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)], names=[k.split()[0] for k in kinds.split(", ")])
 
         for batch, texts in text_slices(batches):
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.many(texts), strict=True):
+            with steady_heap():
+                coded = encoder.many(texts)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), coded, strict=True):
                 doc_ids.append(doc_id)
                 parts.append(ids + end)
                 size += len(parts[-1]) // 4
@@ -208,4 +216,5 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(ids, pa.binary())], schema=schema)
 
     files = manifest(spark, folder).select("file", "start")
-    return files.repartition(F.col("file")).mapInArrow(run, "doc_id long, start long, ids binary")
+    # a task per file: their names are small, so adaptive execution would read them all in one
+    return files.repartition(max(1, files.count())).mapInArrow(run, "doc_id long, start long, ids binary")
