@@ -169,6 +169,9 @@ def test_violations_counts_and_pass_rate(spark):
     counts = {r.failed_rule: (r.violations, r.records, r.records_breaking_several) for r in rule_counts(found).collect()}
     assert counts["hrv_sdnn_ms ∈ [10, 400]"] == (1, 1, 0)
     assert counts["hrv_rmssd_ms ∈ [5, 250]"] == (1, 1, 1)
+    nameless = found.unionByName(found.withColumn("record_id", F.lit(None).cast("string")))
+    counts = {r.failed_rule: (r.violations, r.records, r.records_breaking_several) for r in rule_counts(nameless).collect()}
+    assert counts["hrv_rmssd_ms ∈ [5, 250]"] == (2, 2, 1)
     total = pass_rate([(df, HRV_BOUNDS, "reading_id")]).first()
     assert (total.records_scanned, total.quarantined, total.pass_rate_pct, total.rules_enforced) == (4, 2, 50.0, 3)
     nothing = pass_rate([(df.limit(0), HRV_BOUNDS, "reading_id")]).first()

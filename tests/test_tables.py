@@ -85,8 +85,59 @@ def test_upsert_of_nothing_and_of_duplicates(spark, workspace):
     table = table_of(spark, workspace)
     table.upsert(keyed(spark, ("a", "2024-01-01", 1)).limit(0))
     assert table.read().isEmpty()
-    table.upsert(keyed(spark, ("a", "2024-01-01", 1), ("a", "2024-01-01", 1), (None, "2024-01-01", 5), (None, "2024-01-01", 6)))
-    assert table.read().count() == 3
+    table.upsert(keyed(spark, ("a", "2024-01-01", 1), ("a", "2024-01-01", 1)))
+    assert table.read().count() == 1
+
+
+def test_upsert_refuses_rows_without_key_and_leaves_no_files(spark, workspace):
+    table, root = table_of(spark, workspace), os.path.dirname(workspace.removeprefix("file:"))
+    table.upsert(keyed(spark, ("a", "2024-01-01", 1)))
+    before = {f for f in os.listdir(root) if f.startswith("upsert-")}
+    for _ in range(2):
+        with pytest.raises(ValueError, match="2 rows without a complete key|1 rows without a complete key"):
+            table.upsert(keyed(spark, ("b", "2024-01-01", 2), (None, "2024-01-01", 5), (None, "2024-01-01", 6)))
+        assert rows(table.read()) == [("a", "2024-01-01", 1)]
+    assert {f for f in os.listdir(root) if f.startswith("upsert-")} == before
+
+
+def test_keys_that_fix_their_day_leave_other_days_unread(spark, workspace):
+    table = table_of(spark, workspace)
+    table.key_fixes_partition = True
+    table.upsert(keyed(spark, ("a", "2024-01-01", 1), ("b", "2024-01-02", 2)))
+    for f in files_of(workspace):
+        if "date=2024-01-01" in f:
+            with open(f, "wb") as broken:  # reading it would fail
+                broken.write(b"no parquet")
+    table.upsert(keyed(spark, ("b", "2024-01-02", 5)))
+    assert rows(table.read(since="2024-01-02")) == [("b", "2024-01-02", 5)]
+
+
+def test_a_folder_may_mix_arrays_and_lines(spark, tmp_path):
+    records = [{"reading_id": f"r{i}", "user_id": "u", "date": "2024-01-01"} for i in range(8)]
+    (tmp_path / "a.json").write_text(json.dumps(records[:3], indent=2))
+    (tmp_path / "b.json").write_text("\n\n" + "\n".join(json.dumps(r) for r in records[3:]))
+    (tmp_path / "c.json").write_text("")
+    assert {r.reading_id for r in read_feed(spark, str(tmp_path), schemas.HRV).collect()} == {f"r{i}" for i in range(8)}
+    (tmp_path / "d.json").write_text("reading_id,user_id")
+    with pytest.raises(ValueError, match="d.json"):
+        read_feed(spark, str(tmp_path), schemas.HRV)
+
+
+def test_what_has_no_key_or_is_no_json_is_quarantined_once(spark, workspace, tmp_path):
+    good = {"reading_id": "r", "user_id": "u", "date": "2024-01-01", "hrv_rmssd_ms": 50.0, "is_anomaly": False}
+    lines = [json.dumps(good), json.dumps(good | {"reading_id": None}), '{"reading_id": "x", broken', '{"reading_id": "y", broken']
+    lines.append(json.dumps(good | {"reading_id": "nobody", "user_id": None}))
+    (tmp_path / "hrv.json").write_text("\n".join(lines))
+    for name in ("sleep.json", "activity.json"):
+        (tmp_path / name).write_text("")
+    house = pipeline.Lakehouse(spark, workspace)
+    for _ in range(2):
+        pipeline.run_bronze(house, str(tmp_path), "run")
+        pipeline.run_silver(house)
+    assert house.silver(silver.HRV).read().count() == 1
+    bad = house.quarantine().read()
+    assert sorted(r.rejection_reason for r in bad.collect()) == ["record is malformed", "record is malformed", "record key is missing", "user_id is missing"]
+    assert bad.where("raw_record like '%x%broken%'").count() == 1
 
 
 def test_upsert_by_two_keys(spark, workspace):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.bounds import Bounds, all_within, breach_text, present, side_reason, within
@@ -24,11 +24,14 @@ def valid_rows(judged: DataFrame) -> DataFrame:
 
 
 def quarantine_rows(judged: DataFrame, id_column: str, source_table: str, now: Column | None = None) -> DataFrame:
-    """Rejected rows in the quarantine layout, each with the whole record as JSON."""
+    """Rejected rows in the quarantine layout, each with the whole record as JSON.
+
+    A row without key gets one from its content, so that the quarantine reports it once.
+    """
     record = [c for c in judged.columns if c != REASON]
     return judged.filter(F.col(REASON).isNotNull()).select(
         F.lit(source_table).alias("source_table"),
-        F.col(id_column).alias("record_id"),
+        F.coalesce(id_column, F.concat(F.lit("no-key-"), F.hex(F.xxhash64(*record)))).alias("record_id"),
         F.col("user_id"),
         F.col("date").cast("string").alias("date"),
         F.col(REASON).alias("rejection_reason"),
@@ -73,16 +76,21 @@ def rule_violations(df: DataFrame, bounds: Bounds, id_column: str, source_table:
 
 
 def rule_counts(violations: DataFrame) -> DataFrame:
-    """Violations and distinct records per rule, with the records that break other rules too."""
+    """Violations and distinct records per rule, with the records that break other rules too.
+
+    Violations without a record id each count as a record of their own that breaks one rule: nothing
+    says which belong together.
+    """
     broken = violations.groupBy("source_table", "record_id", "failed_rule").agg(F.count("*").alias("n"))
-    many = broken.groupBy("source_table", "record_id").agg(F.count("*").alias("rules_broken"))
+    rules_broken = F.count("*").over(Window.partitionBy("source_table", "record_id"))  # at most one row per rule
+    several = F.col("record_id").isNotNull() & (F.col("rules_broken") > 1)
     return (
-        broken.join(many, ["source_table", "record_id"])
+        broken.withColumn("rules_broken", rules_broken)
         .groupBy("source_table", "failed_rule")
         .agg(
             F.sum("n").alias("violations"),
-            F.count("*").alias("records"),
-            F.count_if(F.col("rules_broken") > 1).alias("records_breaking_several"),
+            F.sum(F.when(F.col("record_id").isNull(), F.col("n")).otherwise(1)).alias("records"),
+            F.count_if(several).alias("records_breaking_several"),
         )
     )
 

@@ -361,20 +361,13 @@ def oracle_sql() -> dict[str, str]:
     )
     q["table_create_replace"] = _silver(f"select {ACTIVITY_COLS}, total_zone_minutes from activity_clean")
     q["quarantine_append"] = _silver("select source_table, record_id, user_id, date, rejection_reason from quarantine", quarantine)
-    q["snapshot_as_of"] = f"with {early}\nselect {REC_COLS} from rec"
     q["recovery_then_vs_now"] = (
         f"with {early},\nthen_avg as materialized (select user_id, avg(recovery_score) as historical_avg from rec group by user_id),\n"
         f"now_avg as (select * from ({_gold('select user_id, avg(recovery_score) as current_avg from rec group by user_id')}))\n"
         "select coalesce(t.user_id, n.user_id) as user_id, round(historical_avg, 9) as historical_avg, round(current_avg, 9) as current_avg, "
         "round(current_avg - historical_avg, 9) as change from then_avg t full join now_avg n on t.user_id = n.user_id"
     )
-    q["snapshot_retention"] = (
-        "with days as (select cast(ts as date) as d, max(ts) as committed_at, count(*) as row_count from events group by cast(ts as date)), "
-        "numbered as (select row_number() over (order by d) as version, committed_at, row_count from days) "
-        "select version, committed_at, row_count, version > (select max(version) from numbered) - 3 "
-        "or committed_at >= (select max(committed_at) - interval 7 day from numbered) as kept from numbered"
-    )
-    q["compacted_table"] = _silver("select reading_id, user_id, date, hrv_rmssd_ms, hrv_sdnn_ms, respiratory_rate_brpm from hrv_clean")
+    q["compacted_table"] = _silver("select date, count(*) as rows, true as compacted from hrv_clean group by date")
 
     # cleaning
     q["dedup_latest"] = _raw(f"select {HRV_COLS} from hrv_last")
@@ -476,9 +469,11 @@ def oracle_sql() -> dict[str, str]:
         bm,
     )
     q["quarantine_weekly"] = _silver(
-        "select source_table, week, count(*) as quarantined_records, count(distinct user_id) as affected_users, "
-        "string_agg(distinct rejection_reason, ' | ' order by rejection_reason) filter (where rejection_reason != '') as rejection_reasons, "
-        "true as reasons_in_cell from qw group by source_table, week",
+        "select w.source_table, w.week, quarantined_records, affected_users, broken_rules from "
+        "(select source_table, week, count(*) as quarantined_records, count(distinct user_id) as affected_users from qw group by source_table, week) w "
+        "left join (select source_table, week, string_agg(distinct rule, ' | ' order by rule) as broken_rules from "
+        "(select source_table, week, regexp_extract(unnest(string_split(rejection_reason, '; ')), '^[a-z_0-9]+') as rule from qw) group by source_table, week) r "
+        "on w.source_table = r.source_table and w.week is not distinct from r.week",
         quarantine,
         weeks,
     )
@@ -490,7 +485,11 @@ def oracle_sql() -> dict[str, str]:
     )
 
     # panels and findings
-    q["user_date_slice"] = _gold(f"select {REC_COLS} from rec where user_id = (select min(user_id) from rec)")
+    q["user_date_slice"] = _gold(
+        f"select {REC_COLS} from rec, mid where user_id = (select min(user_id) from hrv_raw) and date between m and m + 7",
+        "mid as (select cast(min(cast(ts as date)) + cast(floor((max(cast(ts as date)) - min(cast(ts as date))) / 2) as int) as date) as m from events)",
+    )
+    q["recovery_last_7d"] = q["recovery_last_30d"].replace("- 30", "- 7")
     q["kpi_summary"] = _gold(
         "select coalesce(a.user_id, b.user_id, c.user_id) as user_id, round(coalesce(ar, 0.0e0), 9) as avg_recovery, "
         "round(coalesce(ar, 0.0e0) - 50, 9) as recovery_vs_50, coalesce(green, 0) as green_days, coalesce(n, 0) as days_tracked, "
@@ -602,12 +601,11 @@ def oracle_sql() -> dict[str, str]:
     # data quality
     q["rule_violations"] = _silver("select * from violations", violations)
     q["rule_overlap"] = _silver(
-        "select b.source_table, b.failed_rule, cast(sum(n) as bigint) as violations, count(*) as records, "
-        "count(*) filter (where rules_broken > 1) as records_breaking_several from br b join mb m "
-        "on b.source_table = m.source_table and b.record_id = m.record_id group by b.source_table, b.failed_rule",
+        "select source_table, failed_rule, count(*) as violations, count(distinct record_id) as records, "
+        "count(distinct record_id) filter (where record_id in (select record_id from violations v where v.source_table = o.source_table "
+        "group by record_id having count(distinct failed_rule) > 1)) as records_breaking_several "
+        "from violations o group by source_table, failed_rule",
         violations,
-        "br as (select source_table, record_id, failed_rule, count(*) as n from violations group by 1, 2, 3)",
-        "mb as (select source_table, record_id, count(*) as rules_broken from br group by 1, 2)",
     )
     q["pass_rate"] = _silver(
         "select scanned as records_scanned, bad as quarantined, round((scanned - bad) / cast(scanned as double) * 100, 2) as pass_rate_pct, "

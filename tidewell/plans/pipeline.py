@@ -14,7 +14,7 @@ from tidewell.operators.validate import REASON, quarantine_rows, union_all, vali
 from tidewell.plans import gold, silver
 from tidewell.plans.bronze import add_audit_columns
 from tidewell.session import new_workspace
-from tidewell.sources.json_feed import path_exists, read_feed, write_records
+from tidewell.sources.json_feed import MALFORMED, path_exists, read_feed, write_records
 from tidewell.sources.merged_table import MergedTable, delete_path
 from tidewell.sources.versioned_table import VersionedTable
 
@@ -33,7 +33,8 @@ class Lakehouse:
         return self._by_text_date(f"bronze/{feed.name}", schemas.with_audit(feed.layout), [feed.key])
 
     def _by_text_date(self, place: str, layout, keys: list[str]) -> MergedTable:
-        return MergedTable(self.spark, f"{self.root}/{place}", layout, keys, "_day", silver.AS_DATE)
+        # a record id holds its day, and a quarantined record keeps the date it came with
+        return MergedTable(self.spark, f"{self.root}/{place}", layout, keys, "_day", silver.AS_DATE, key_fixes_partition=True)
 
     def skin_temp(self) -> MergedTable:
         return self._by_text_date("bronze/skin_temp_readings", schemas.with_audit(schemas.SKIN_TEMP), ["record_id"])
@@ -52,8 +53,12 @@ class Lakehouse:
 def run_bronze(house: Lakehouse, data_dir: str, run_id: str) -> None:
     """Load every delivered feed file; loading a file again changes nothing but the audit columns."""
     for feed in silver.FEEDS:
-        raw = read_feed(house.spark, f"{data_dir}/{FILES[feed.name]}", feed.layout)
-        house.bronze(feed).create_if_absent().upsert(add_audit_columns(raw, run_id))
+        raw = read_feed(house.spark, f"{data_dir}/{FILES[feed.name]}", feed.layout, keep_malformed=True)
+        keyed = F.col(feed.key).isNotNull() & F.col(MALFORMED).isNull()
+        house.bronze(feed).create_if_absent().upsert(add_audit_columns(raw.where(keyed).drop(MALFORMED), run_id))
+        reason = F.when(F.col(MALFORMED).isNotNull(), F.lit("record is malformed")).otherwise(F.lit("record key is missing"))
+        unkeyed = raw.where(~keyed).withColumn(REASON, reason).withColumn(feed.key, F.lit(None).cast("string"))
+        house.quarantine().create_if_absent().upsert(quarantine_rows(unkeyed, feed.key, feed.source_table))
     # a sensor that joins later: its table appears with its first file
     late = f"{data_dir}/skin_temp.json"
     if path_exists(house.spark, late):
@@ -71,24 +76,26 @@ def run_silver(house: Lakehouse, since: str | None = None) -> dict[str, dict[str
     """
     spark, counts, rejected = house.spark, {}, []
     stage_root = new_workspace(spark, "silver-stage")
-    for feed in silver.FEEDS:
-        judged = silver.judged(house.bronze(feed).read(since), feed)
-        seen, stage = Observation(), f"{stage_root}/{feed.name}"
-        (
-            judged.observe(
-                seen,
-                F.count_if(F.col(REASON).isNull()).alias("valid"),
-                F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
+    try:
+        for feed in silver.FEEDS:
+            judged = silver.judged(house.bronze(feed).read(since), feed)
+            seen, stage = Observation(), f"{stage_root}/{feed.name}"
+            (
+                judged.observe(
+                    seen,
+                    F.count_if(F.col(REASON).isNull()).alias("valid"),
+                    F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
+                )
+                .write.parquet(stage)
             )
-            .write.parquet(stage)
-        )
-        counts[feed.name] = seen.get
-        staged = spark.read.schema(judged.schema).parquet(stage)
-        house.silver(feed).create_if_absent().upsert(feed.transform(valid_rows(staged)))
-        rejected.append(quarantine_rows(staged, feed.key, feed.source_table))
-    # by record rather than appended: a second run reports each bad record once
-    house.quarantine().create_if_absent().upsert(union_all(rejected))
-    delete_path(spark, stage_root)
+            counts[feed.name] = seen.get
+            staged = spark.read.schema(judged.schema).parquet(stage)
+            house.silver(feed).create_if_absent().upsert(feed.transform(valid_rows(staged)))
+            rejected.append(quarantine_rows(staged, feed.key, feed.source_table))
+        # by record rather than appended: a second run reports each bad record once
+        house.quarantine().create_if_absent().upsert(union_all(rejected))
+    finally:
+        delete_path(spark, stage_root)
     return counts
 
 

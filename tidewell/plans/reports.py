@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import scoring as S
+from tidewell.functions.bounds import ACTIVITY_BOUNDS, HRV_BOUNDS, SLEEP_BOUNDS
 from tidewell.functions.numeric import band, half_up, position_in, ratio, settle
 from tidewell.plans.gold import with_max_hr
 from tidewell.plans.silver import USER_DAY
-from tidewell.session import shared_root
 
 STRAIN_ORDER = ["Recovery", "Light", "Moderate", "Hard", "All Out"]
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
@@ -144,49 +144,34 @@ def quarantine_weekly_reasons(quarantine: DataFrame) -> DataFrame:
     )
 
 
-def quarantine_weekly(quarantine: DataFrame, max_text: int = 1 << 24) -> DataFrame:
-    """Quarantined records and affected users per table and week, with the distinct reasons.
+#: Rules by the text that their reasons begin with: one per limit, and those on the key and the date.
+RULES = [*HRV_BOUNDS, *SLEEP_BOUNDS, *ACTIVITY_BOUNDS]
+_RULE_TEXT = {name: f"{name} out of range" for name in RULES} | {
+    "calendar_day": "date is not a calendar day",
+    "user_id": "user_id is missing",
+    "record_key": "record key is missing",
+    "json": "record is malformed",
+}
+
+
+def quarantine_weekly(quarantine: DataFrame) -> DataFrame:
+    """Quarantined records and affected users per table and week, with the rules that were broken.
 
-    The reasons are joined into one cell only where they fit into ``max_text`` characters, measured
-    before any of them is collected.  A longer list stays out of the cell, ``reasons_in_cell`` says
-    so, and ``quarantine_weekly_reasons`` has it row by row.
+    The cell names rules, of which there are a fixed number; the full texts, of any number, are in
+    ``quarantine_weekly_reasons``.
     """
-    group = ["source_table", "week"]
-    shared_root(quarantine.sparkSession)
-    # counted down once and written, so that the rejected rows are read a single time
-    tally = (
-        quarantine.selectExpr("source_table", WEEK, "user_id", "rejection_reason")
-        .groupBy(*group, "user_id", "rejection_reason")
-        .agg(F.count("*").alias("records"))
-        .checkpoint()
-    )
-    counts = tally.groupBy(*group).agg(
-        F.sum("records").alias("quarantined_records"), F.count_distinct("user_id").alias("affected_users")
-    )
-    reasons = tally.filter("rejection_reason != ''").select(*group, "rejection_reason").distinct()
-    sizes = reasons.groupBy(*group).agg(F.sum(F.length("rejection_reason") + 3).alias("_chars"))
-
-    def same_group(left: str, right: str) -> list[Column]:
-        return [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in group]
-
-    small = sizes.filter(F.col("_chars") <= max_text)
-    cells = (
-        reasons.alias("l")
-        .join(small.alias("r"), same_group("l", "r"), "left_semi")
-        .groupBy(*group)
-        .agg(F.array_join(F.array_sort(F.collect_list("rejection_reason")), " | ").alias("rejection_reasons"))
-    )
+    broken = {rule: F.max(F.col("rejection_reason").contains(text)).alias(f"_{rule}") for rule, text in _RULE_TEXT.items()}
+    named = F.array_compact(F.array(*(F.when(F.col(f"_{rule}"), F.lit(rule)) for rule in broken)))
     return (
-        counts.alias("l")
-        .join(cells.alias("r"), same_group("l", "r"), "left")
-        .join(sizes.alias("s"), same_group("l", "s"), "left")
+        quarantine.selectExpr("source_table", WEEK, "user_id", "rejection_reason")
+        .groupBy("source_table", "week")
+        .agg(F.count("*").alias("quarantined_records"), F.count_distinct("user_id").alias("affected_users"), *broken.values())
         .select(
-            "l.source_table",
-            "l.week",
+            "source_table",
+            "week",
             "quarantined_records",
             "affected_users",
-            "rejection_reasons",
-            (F.coalesce(F.col("_chars"), F.lit(0)) <= max_text).alias("reasons_in_cell"),
+            F.nullif(F.array_join(F.array_sort(named), " | "), F.lit("")).alias("broken_rules"),
         )
         .orderBy(F.col("week").desc(), "source_table")
     )

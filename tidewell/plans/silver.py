@@ -82,11 +82,15 @@ def judged(bronze: DataFrame, feed: Feed) -> DataFrame:
     """Latest record per id with its rejection reason.
 
     A text that is no date is a reason of its own: such a row has no user-day and would otherwise
-    pass through every later join unseen.
+    pass through every later join unseen. So is a missing user or record key: no later table could
+    tell such rows apart.
     """
-    checked = with_rejection_reason(latest_per_key(bronze, feed.key), feed.bounds)
+    latest = latest_per_key(bronze, feed.key, null_keys_match=False)  # rows without key are not one another's copies
+    checked = with_rejection_reason(latest, feed.bounds)
     no_day = f"if({AS_DATE} is null, concat('date is not a calendar day: ', coalesce(date, 'NULL')), null)"
-    return checked.withColumn(REASON, F.expr(f"nullif(concat_ws('; ', {REASON}, {no_day}), '')"))
+    no_user = "if(user_id is null, 'user_id is missing', null)"
+    no_key = f"if({feed.key} is null, 'record key is missing', null)"
+    return checked.withColumn(REASON, F.expr(f"nullif(concat_ws('; ', {REASON}, {no_day}, {no_user}, {no_key}), '')"))
 
 
 def clean(bronze: DataFrame, feed: Feed) -> DataFrame:

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,13 +26,11 @@ from tidewell.session import new_workspace, shared_root
 from tidewell.sources import sensor_views as views
 from tidewell.sources.json_feed import read_feed, write_records
 from tidewell.sources.merged_table import MergedTable
-from tidewell.sources.versioned_table import VersionedTable, retention
 
 Query = Callable[[SparkSession, str], DataFrame]
 HRV_COLUMNS = schemas.HRV.names
 SLEEP_COLUMNS = schemas.SLEEP.names
 ACTIVITY_COLUMNS = schemas.ACTIVITY.names
-EARLIER, LATER = dt.datetime(2024, 1, 16), dt.datetime(2024, 2, 1)
 
 
 def _settled(df: DataFrame) -> DataFrame:
@@ -105,13 +101,6 @@ def _recovery_midway(spark: SparkSession, sf: str) -> DataFrame:
     return gold.daily_recovery(hrv, sleep)
 
 
-def _recovery_versions(spark: SparkSession, sf: str, label: str) -> VersionedTable:
-    table = VersionedTable(spark, new_workspace(spark, label))
-    table.replace(_recovery_midway(spark, sf), committed_at=EARLIER)
-    table.replace(_recovery(spark, sf), committed_at=LATER)
-    return table
-
-
 def _syncs(raw: DataFrame) -> list[DataFrame]:
     """Two uploads a day that overlap in the afternoon; together they hold every reading."""
     hour = F.hour(F.col("_ingest_timestamp"))
@@ -122,9 +111,13 @@ def _syncs(raw: DataFrame) -> list[DataFrame]:
 
 
 def json_scan_typed(spark: SparkSession, sf: str) -> DataFrame:
-    path = f"{new_workspace(spark, 'feed')}/hrv.json"
-    write_records(views.hrv_raw(spark, sf).select(*HRV_COLUMNS), path)
-    return read_feed(spark, path, schemas.HRV)
+    """A folder that mixes both kinds of files: an array per user for users divisible by ten, lines for others."""
+    path, raw = f"{new_workspace(spark, 'feed')}/hrv.json", views.hrv_raw(spark, sf).select(*HRV_COLUMNS)
+    as_array = F.substring("user_id", -1, 1) == "0"
+    arrays = raw.where(as_array).groupBy("user_id").agg(F.to_json(F.collect_list(F.struct(*HRV_COLUMNS))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/arrays")
+    write_records(raw.where(~as_array), f"{path}/lines")
+    return read_feed(spark, f"{path}/*", schemas.HRV)
 
 
 def audit_stamp(spark: SparkSession, sf: str) -> DataFrame:
@@ -150,11 +143,13 @@ def upsert_composite_key(spark: SparkSession, sf: str) -> DataFrame:
 
 def table_create_replace(spark: SparkSession, sf: str) -> DataFrame:
     rows = _clean(silver.ACTIVITY, spark, sf)
-    database = f"tidewell_{uuid.uuid4().hex}"
+    database = "tidewell_check"
     table = MergedTable(spark, new_workspace(spark, "activity"), rows.schema, silver.USER_DAY)
     table.create_if_absent().upsert(rows)
     table.declare(database, "activity_clean")
-    return spark.table(f"{database}.activity_clean").select(*ACTIVITY_COLUMNS, "total_zone_minutes")
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.activity_clean").where("col_name = 'Location'").first()["data_type"]
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")  # an external table: its files stay
+    return spark.read.schema(rows.schema).parquet(location).select(*ACTIVITY_COLUMNS, "total_zone_minutes")
 
 
 def quarantine_append(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,40 +167,38 @@ def quarantine_append(spark: SparkSession, sf: str) -> DataFrame:
     return table.read().select("source_table", "record_id", "user_id", "date", "rejection_reason")
 
 
-def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    return _recovery_versions(spark, sf, "as-of").read(as_of=EARLIER + dt.timedelta(days=4))
+def recovery_then_vs_now(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.recovery_then_vs_now(_recovery_midway(spark, sf), _recovery(spark, sf))
 
 
-def recovery_then_vs_now(spark: SparkSession, sf: str) -> DataFrame:
-    table = _recovery_versions(spark, sf, "then-now")
-    return reports.recovery_then_vs_now(table.read(version=1), table.read())
+def _files_per_day(table: MergedTable) -> DataFrame:
+    """Rows and files per day as they are now, counted before the table changes."""
+    files = table.spark.read.schema(table.layout).parquet(table.path).groupBy("date").agg(F.count("*").alias("rows"), F.count_distinct("_metadata.file_path").alias("files"))
+    return files.checkpoint()
 
 
-def snapshot_retention(spark: SparkSession, sf: str) -> DataFrame:
-    """One version per recorded day; three stay for their number, more for their age."""
-    per_day = (
-        spark.read.parquet(f"{sf}/events.parquet")
-        .groupBy(F.col("ts").cast("date").alias("d"))
-        .agg(F.max("ts").alias("committed_at"), F.count("*").alias("row_count"))
-    )
-    log = per_day.select(
-        F.row_number().over(Window.orderBy("d")).cast("long").alias("version"),
-        "committed_at",
-        F.lit("replace").alias("operation"),
-        "row_count",
-    )
-    week_ago = per_day.select(F.max("committed_at") - F.expr("interval 7 days")).scalar()
-    return retention(log, week_ago, retain_last=3).select("version", "committed_at", "row_count", "kept")
+def user_date_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """The first user's recovery from the middle of the recorded time up to a week later."""
+    user = _events_user(spark, sf)
+    return reports.user_slice(_recovery(spark, sf), user, _midway(spark, sf), F.date_add(_midway(spark, sf), 7))
+
+
+def _events_user(spark: SparkSession, sf: str) -> Column:
+    return views.hrv_raw(spark, sf).select(F.min("user_id")).scalar()
 
 
 def compacted_table(spark: SparkSession, sf: str) -> DataFrame:
     rows = _clean(silver.HRV, spark, sf)
-    table = MergedTable(spark, new_workspace(spark, "compact"), rows.schema, silver.USER_DAY).create_if_absent()
-    table.upsert(rows)
+    shared_root(spark)
+    table = MergedTable(spark, new_workspace(spark, "compact"), rows.schema, silver.USER_DAY)
+    hour = F.pmod(F.xxhash64("user_id"), F.lit(2))
+    for part in (0, 1):  # each upload leaves its own files
+        rows.where(hour == part).write.mode("append").partitionBy("date").parquet(table.path)
+    before = _files_per_day(table)
     table.compact()
-    return table.read().select(
-        "reading_id", "user_id", "date", "hrv_rmssd_ms", "hrv_sdnn_ms", "respiratory_rate_brpm"
-    )
+    after = _files_per_day(table).withColumnRenamed("files", "files_after")
+    fewer = (F.col("files_after") < F.col("files")) | (F.col("files") == 1)
+    return before.drop("rows").join(after, "date").select("date", "rows", fewer.alias("compacted"))
 
 
 def gold_from_silver(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,7 +305,8 @@ _QUERIES: dict[str, Query] = {
     "recovery_then_vs_now": recovery_then_vs_now,
     "quarantine_weekly": lambda s, d: reports.quarantine_weekly(_quarantine(s, d)),
     "quarantine_weekly_reasons": lambda s, d: reports.quarantine_weekly_reasons(_quarantine(s, d)),
-    "user_date_slice": _on_recovery(reports.user_slice),
+    "user_date_slice": user_date_slice,
+    "recovery_last_7d": lambda s, d: reports.recovery_last_days(_recovery(s, d), days=7),
     "kpi_summary": lambda s, d: reports.kpi_per_user(_recovery(s, d), _strain(s, d), _metrics(s, d)),
     "run_stats": lambda s, d: reports.run_stats(_strain(s, d), _metrics(s, d)),
     "component_means": _on_recovery(reports.component_means),
@@ -335,8 +329,6 @@ _QUERIES: dict[str, Query] = {
     "pass_rate": lambda s, d: pass_rate([(_raw(f, s, d), f.bounds, f.key) for f in silver.FEEDS]),
     "quality_gate": _gate,
     "quality_gate_summary": lambda s, d: gate_summary(_gate(s, d)),
-    "snapshot_as_of": snapshot_as_of,
-    "snapshot_retention": snapshot_retention,
     "compacted_table": compacted_table,
 }
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell import schemas
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
@@ -13,21 +17,50 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def is_array_layout(spark: SparkSession, path: str) -> bool:
-    """Whether the feed is one JSON array per file rather than one record per line."""
-    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
-    return bool(first) and first[0].value.lstrip().startswith("[")
+#: Column for the text of a record that is no JSON of the declared layout.
+MALFORMED = "_malformed"
+
 
+def files_by_layout(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The files of a feed with one record per line, and those that are one JSON array.
+
+    The first character that is not blank decides, for each file by itself; all the driver sees of a file is its
+    name and that character. A file that starts with neither fails: nothing of it could be read as a record.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("place"),
+        F.substring(F.ltrim("value"), 1, 1).alias("first"),
+    )
+    firsts = lines.where("first <> ''").groupBy("file").agg(F.min_by("first", "place").alias("first")).collect()
+    odd = sorted(r["file"] for r in firsts if r["first"] not in "{[")
+    if odd:
+        raise ValueError(f"neither records nor an array: {', '.join(odd[:5])}")
+    return [sorted(r["file"] for r in firsts if r["first"] == kind) for kind in "{["]
 
-def read_feed(spark: SparkSession, path: str, layout: T.StructType, array_layout: bool | None = None) -> DataFrame:
+
+def read_feed(spark: SparkSession, path: str, layout: T.StructType, array_layout: bool | None = None, keep_malformed: bool = False) -> DataFrame:
     """Scan a feed with its declared types, never with inferred ones.
 
-    Record-per-line files split over tasks; an array file is one task, so large feeds should come as
-    lines.  NaN becomes NULL on the way in: it would compare above every limit later on.
+    A feed that declares its layout is read in one pass. Without a declaration, its files are told apart first,
+    and a folder may mix both kinds. Record-per-line files split over tasks; an array file is one task, so large
+    feeds should come as lines.  NaN becomes NULL on the way in: it would compare above every limit later on.
+
+    With ``keep_malformed``, text that is no record stays in the column ``_malformed``, for the quarantine;
+    otherwise such a record has NULL in every column.
     """
     if array_layout is None:
-        array_layout = is_array_layout(spark, path)
-    raw = spark.read.schema(layout).option("multiLine", array_layout).json(path)
+        by_line, arrays = files_by_layout(spark, path)
+    else:
+        by_line, arrays = ([], [path]) if array_layout else ([path], [])
+    columns = T.StructType([*layout.fields, T.StructField(MALFORMED, T.StringType())]) if keep_malformed else layout
+
+    def scan(files: list[str], multi_line: bool) -> DataFrame:
+        reader = spark.read.schema(columns).option("multiLine", multi_line)
+        return (reader.option("columnNameOfCorruptRecord", MALFORMED) if keep_malformed else reader).json(files)
+
+    parts = [scan(files, kind) for files, kind in ((by_line, False), (arrays, True)) if files]
+    raw = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schemas.as_nullable(columns))
     doubles = {
         f.name: F.when(~F.isnan(f.name), F.col(f.name)) for f in layout.fields if isinstance(f.dataType, T.DoubleType)
     }

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators.latest import latest_per_key
 from tidewell.schemas import as_nullable
-from tidewell.session import shared_root
+from tidewell.session import new_workspace
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -29,7 +29,13 @@ class MergedTable:
 
     An upsert rewrites only the dates it touches, by dynamic partition overwrite: new files are
     staged and moved in at job commit, so lost tasks are simply run again, and repeating an upsert
-    gives the same table.  One writer at a time.
+    gives the same table.  One writer at a time.  Should the driver die while a commit moves files, a
+    day can be left without its old rows: run the upsert again from its source, and for days that other
+    sources brought, theirs as well.
+
+    Where the day is not part of the key, a row may move to another day, and an upsert has to look for
+    its key in all days.  ``key_fixes_partition`` declares that keys never move, and limits it to the
+    days that come in.
     """
 
     spark: SparkSession
@@ -38,6 +44,7 @@ class MergedTable:
     keys: Sequence[str]
     partition: str = "date"
     partition_from: str | None = None
+    key_fixes_partition: bool = False
 
     def _stored_layout(self) -> T.StructType:
         fields = as_nullable(self.layout).fields
@@ -94,22 +101,43 @@ class MergedTable:
         return [row[0] for row in df.select(self.partition).distinct().collect()]
 
     def upsert(self, source: DataFrame) -> None:
-        """Insert new keys, replace rows of known keys; the newest row wins within the source."""
+        """Insert new keys, replace rows of known keys; the newest row wins within the source.
+
+        A key that is not complete raises: such rows could never be matched, and a repeated run would
+        insert them again. The source is written once; its days and its incomplete keys are counted on
+        the way.
+        """
         keys = list(self.keys)
-        shared_root(self.spark)
-        newest = latest_per_key(source, keys, null_keys_match=False).select(*self.layout.names)
+        newest = latest_per_key(source, keys).select(*self.layout.names)
         if self.partition_from:
             newest = newest.withColumn(self.partition, F.expr(self.partition_from))
-        incoming = newest.checkpoint()
-        new_dates = self._dates(incoming)
-        left = []
-        if self.partition not in keys:
+        stage, seen = new_workspace(self.spark, "upsert"), Observation()
+        incomplete = " or ".join(f"`{k}` is null" for k in keys)
+        try:
+            newest.observe(
+                seen,
+                F.count_if(F.expr(incomplete)).alias("incomplete"),
+                F.count_if(F.col(self.partition).isNull()).alias("no_day"),
+                F.collect_set(self.partition).alias("days"),  # no longer than the calendar
+            ).write.parquet(stage)
+            if seen.get["incomplete"]:
+                raise ValueError(f"{seen.get['incomplete']} rows without a complete key ({', '.join(keys)})")
+            days = [*seen.get["days"], *([None] if seen.get["no_day"] else [])]
+            self._merge(self.spark.read.schema(newest.schema).parquet(stage), days)
+        finally:
+            delete_path(self.spark, stage)
+
+    def _merge(self, incoming: DataFrame, new_dates: list) -> None:
+        keys, left = list(self.keys), []
+        if not new_dates:
+            return
+        if self._is_empty():
+            self._write(incoming)
+            return
+        if self.partition not in keys and not self.key_fixes_partition:
             matched = self._stored().select(*keys, self.partition).join(incoming.select(*keys), keys, "left_semi")
             left = [d for d in self._dates(matched) if d not in new_dates]
-        touched = new_dates + left
-        if not touched:
-            return
-        kept = self._stored().filter(self._on_dates(touched)).join(incoming.select(*keys), keys, "left_anti")
+        kept = self._stored().filter(self._on_dates(new_dates + left)).join(incoming.select(*keys), keys, "left_anti")
         emptied = []
         if left:
             # rows that moved to another date may leave their old date without any row
@@ -120,6 +148,11 @@ class MergedTable:
             value = "__HIVE_DEFAULT_PARTITION__" if date is None else date
             delete_path(self.spark, f"{self.path}/{self.partition}={value}")
 
+    def _is_empty(self) -> bool:
+        """Whether no partition has been written yet; one listing of the table's folder."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{self.partition}=*")
+        return not self.spark._jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(where)
+
     def compact(self) -> None:
         """Rewrite every day with rebalanced files, rows of a key next to each other."""
         self._write(self._stored(), sort_by=[self.partition, *self.keys])
