@@ -1,0 +1,189 @@
+"""Exact and near duplicates, of documents and lines, against brute force."""
+
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tidewell.llm import components, exact_dedup, jaccard_join, line_dedup
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+class Union:
+    def __init__(self, items):
+        self.parent = {i: i for i in items}
+
+    def find(self, i):
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
+        return i
+
+    def join(self, a, b):
+        a, b = sorted((self.find(a), self.find(b)))
+        self.parent[b] = a
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def word_sets(rows):
+    sets = {}
+    for doc_id, text in rows:
+        words = WORD.findall(lowered(text or ""))
+        own = {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else ({tuple(words)} if words else set())
+        sets[doc_id] = own
+    return sets
+
+
+def edited(words, draw, edits):
+    words = list(words)
+    for _ in range(edits):
+        words[draw.randrange(len(words))] = f"edit{draw.randrange(10**6)}"
+    return words
+
+
+@pytest.fixture(scope="module")
+def copies():
+    """Groups of near copies of many degrees, one of them large, beside texts that share a passage."""
+    draw, rows = random.Random(5), []
+    passage = [f"shared{i}" for i in range(55)]
+    for group in range(12):
+        base = [f"w{draw.randrange(3000)}" for _ in range(draw.choice([6, 30, 120, 300]))]
+        for _ in range(90 if group == 0 else 6):
+            rows.append(" ".join(edited(base, draw, draw.randrange(9))))
+    for _ in range(30):
+        own = [f"v{draw.randrange(3000)}" for _ in range(draw.randrange(5, 80))]
+        rows.append(" ".join(own + passage))
+    rows += [rows[3], rows[3].upper(), "a b c", "A  b\tc", "a b", "", None]
+    return list(enumerate(rows))
+
+
+def test_components_of_random_links(spark, workspace):
+    draw = random.Random(1)
+    links = [(draw.randrange(60), draw.randrange(60)) for _ in range(40)] + [(100, i) for i in range(101, 140)] + [(i, i + 1) for i in range(200, 240)]
+    union = Union(range(300))
+    for a, b in links:
+        union.join(a, b)
+    found = components.components(spark.createDataFrame(links + [(7, 7)], "a long, b long"), workspace)
+    assert {r.id: r.component for r in found.collect()} == {i: union.find(i) for i in range(300) if union.find(i) != i}
+    assert components.components(spark.createDataFrame([], "a long, b long"), f"{workspace}-none").count() == 0
+
+
+def test_jaccard_classes_are_those_of_brute_force(spark, workspace, copies):
+    sets = word_sets(copies)
+    union, links = Union(sets), 0
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                union.join(a, b)
+                links += 1
+    got = jaccard_join.classes(spark.createDataFrame(copies, "doc_id long, text string"), workspace).collect()
+    assert links > 100
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), union.find(i)) for i, s in sets.items()}
+
+
+def test_prefix_length_never_loses_a_link():
+    for n in range(1, 400):
+        need = (4 * n + 4) // 5  # a partner has at least so many of the shingles
+        assert jaccard_join.prefix_length(n) == n - need + 1 >= 1
+
+
+def test_shared_rows_across_batches():
+    import pyarrow as pa
+
+    draw = np.random.default_rng(0)
+    rows = sorted((int(draw.integers(0, 40)), int(draw.integers(0, 6))) for _ in range(150))
+    want = defaultdict(set)
+    for shingle, own in rows:
+        want[shingle].add(own)
+    want = sorted((k, v) for k, vs in want.items() if len(vs) > 1 for v in vs)
+    for size in (1, 2, 3, 7, 200):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[at : at + size]], pa.int64()) for i in (0, 1)], names=["shingle", "set_id"]) for at in range(0, len(rows), size)]
+        got = [tuple(r.values()) for b in jaccard_join._shared(iter(batches)) for r in b.to_pylist()]
+        assert sorted(got) == want, size
+
+
+def test_jaccard_over_awkward_documents(awkward, empty, workspace):
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.classes(awkward, workspace).collect()]
+    by_id = {i: (n, c) for i, n, c in got}
+    assert len(got) == awkward.count()
+    assert by_id[1][1] == by_id[2][1] == by_id[3][1] == 1 and by_id[10][1] == 9 and by_id[8] == (1, 7)
+    assert by_id[4] == (0, 4) and by_id[5] == (0, 5) and by_id[6] == (0, 6)
+    assert jaccard_join.classes(empty, f"{workspace}-empty").count() == 0
+
+
+def test_exact_classes_are_those_of_brute_force(spark, awkward, empty, workspace, monkeypatch):
+    got = exact_dedup.classes(awkward, workspace).collect()
+    groups = defaultdict(list)
+    for r in awkward.collect():
+        groups[re.sub(r"[\x20\x09-\x0D]", "", r.text or "")].append((-len(r.text or ""), r.doc_id is None, r.doc_id or 0, r.doc_id))
+    want = sorted((str(m[3]), str(min(g)[3]), len(g), hashlib.sha256(t.encode()).hexdigest()) for t, g in groups.items() for m in g)
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.text_sha256) for r in got) == want
+    assert sum(r.kept for r in got) == len(groups)
+    assert exact_dedup.classes(empty, f"{workspace}-empty").count() == 0
+
+
+def test_a_block_without_its_bitmap_is_all_suspects(awkward, workspace, monkeypatch):
+    want = sorted(map(str, exact_dedup.classes(awkward, workspace).collect()))
+    monkeypatch.setattr(exact_dedup, "BLOCK_ROWS", 2)
+    assert sorted(map(str, exact_dedup.classes(awkward.repartition(3), f"{workspace}-blocks").collect())) == want
+
+
+def test_golomb_round_trip():
+    draw = np.random.default_rng(0)
+    for high in (500, 10**6, 2**47):
+        for n in (0, 1, 2, 400):
+            values = np.unique(draw.integers(0, high, n))
+            assert (exact_dedup.golomb_decode(exact_dedup.golomb_encode(values)) == values).all()
+    dense = exact_dedup.golomb_encode(np.unique(draw.integers(0, 2**40, 20_000)))
+    assert len(dense) < 20_000 * 4  # a quarter less than 48 bits
+
+
+def line_sets(rows):
+    sets = {}
+    for doc_id, text in rows:
+        for at, line in enumerate((text or "").split("\n")):
+            line = line.strip(" \t\r\x0b\x0c").lower()
+            if len(line) >= line_dedup.MIN_CHARS:
+                sets[doc_id, at] = frozenset(m.group(1) for m in re.finditer(rf"(?<![^ ])(?=([^ ].{{0,{line_dedup.SHINGLE - 1}}}))", line))
+    return sets
+
+
+def test_line_classes_are_those_of_brute_force(spark, workspace):
+    draw, rows = random.Random(9), []
+    bases = [[f"line{draw.randrange(900)}" for _ in range(draw.choice([6, 20, 60]))] for _ in range(15)]
+    for doc_id in range(60):
+        rows.append((doc_id, "\n".join(" ".join(edited(draw.choice(bases), draw, draw.choice([0, 0, 1, 2, 8]))) for _ in range(draw.randrange(1, 6))) + "\nshort"))
+    sets = line_sets(rows)
+    union, links = Union(sets), 0
+    for a in sets:
+        for b in sets:
+            common = len(sets[a] & sets[b])
+            if a < b and 9 * common >= 4 * (len(sets[a]) + len(sets[b])):
+                union.join(a, b)
+                links += 1
+    got = {(r.doc_id, r.line_no): r for r in line_dedup.line_classes(spark.createDataFrame(rows, "doc_id long, text string"), workspace).collect()}
+    assert set(got) == set(sets) and links > 100
+    wrong = [k for k in sets if (got[k].class_doc_id, got[k].class_line_no) != union.find(k)]
+    assert len(wrong) <= 0.03 * len(sets), wrong  # banding finds a pair at the threshold with probability 0.99
+    assert all(r.kept == ((r.doc_id, r.line_no) == (r.class_doc_id, r.class_line_no)) for r in got.values())
+    # what is linked is linked by true links only
+    assert all(union.find((r.class_doc_id, r.class_line_no)) == union.find(k) for k, r in got.items())
+
+
+def test_line_dedup_rewrites_texts(awkward, empty, workspace):
+    left = line_dedup.dedup_lines(awkward, workspace)
+    assert left.columns == [*awkward.columns, "n_removed"] and left.count() == awkward.count()
+    rows = {r.doc_id: r for r in left.collect()}
+    before = {r.doc_id: r.text for r in awkward.collect()}
+    assert rows[1].text == before[1] and rows[2].text == "" and rows[2].n_removed == 1
+    assert rows[12].text.split("\n")[1:] == ["short"] and rows[12].n_removed == 1
+    assert rows[13].text == "another line that is long enough to count here, and is in no other text"
+    assert rows[4].text is None and rows[5].text == "" and rows[4].n_removed == 0
+    assert line_dedup.dedup_lines(empty, f"{workspace}-empty").count() == 0
