@@ -102,6 +102,14 @@ def run_gate(feeds: dict[str, DataFrame], suites: dict[str, list[Rule]] | None =
     return union_all([check_rules(feeds[name], name, rules) for name, rules in suites.items() if name in feeds])
 
 
+def user_date_uniqueness(df: DataFrame, table: str) -> DataFrame:
+    """Whether every user has one row a day at most; rows without user or date count as of one user and day."""
+    days = df.groupBy("user_id", "date").agg(F.count("*").alias("n"))
+    return days.agg(
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus_rows"), F.count_if(F.col("n") > 1).alias("user_days_affected")
+    ).select(F.lit(table).alias("table_name"), "surplus_rows", "user_days_affected", (F.col("surplus_rows") == 0).alias("passed"))
+
+
 def gate_summary(results: DataFrame) -> DataFrame:
     """Passed and total rules per table and whether the gate as a whole is open."""
     per_table = results.groupBy("table_name").agg(

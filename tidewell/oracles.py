@@ -427,6 +427,23 @@ def oracle_sql() -> dict[str, str]:
     q["percent_rank_scaled"] = _gold(
         "select user_id, date, recovery_score, round(percent_rank() over (order by recovery_score nulls first), 9) as score_rank from rec"
     )
+    q["level_benchmarks"] = _gold(
+        f"select user_id, avg_recovery, days_tracked, fitness_level, {half_up('pr', 1)} as level_percentile from lv",
+        "lv as (select user_id, round(a, 9) as avg_recovery, n as days_tracked, fitness_level, "
+        "percent_rank() over (partition by fitness_level order by a nulls first) * 100 as pr from "
+        "(select user_id, avg(recovery_score) as a, count(*) as n from rec group by user_id) r left join "
+        "(select user_id as uid, min(fitness_level) as fitness_level from users group by user_id) u on r.user_id = u.uid)",
+    )
+    q["profile_scan"] = _raw("select * from users")
+    q["late_sensor"] = _raw("select reading_id as record_id, user_id, date, respiratory_rate_brpm / 10 as skin_temp_delta_c, ingested_at from hrv_raw")
+    q["gold_export"] = _gold("select r.user_id, r.date, r.recovery_score, s.strain_score from rec r join strain s on r.user_id = s.user_id and r.date = s.date", strain)
+    q["user_date_uniqueness"] = _raw(
+        " union all ".join(
+            f"select '{name}' as table_name, cast(sum(n - 1) as bigint) as surplus_rows, count(*) filter (where n > 1) as user_days_affected, "
+            f"sum(n - 1) = 0 as passed from (select count(*) as n from {view} group by user_id, date)"
+            for name, view in (("hrv_readings", "hrv_raw"), ("sleep_records", "sleep_raw"), ("activity_records", "activity_raw"))
+        )
+    )
     q["hr_zone_allocation"] = _raw("").rstrip() + ",\n" + _zone_allocation()
     q["gold_from_raw"] = f"with {raw_ctes()},\n{recovery_ctes('hrv_last', 'sleep_last')}\nselect {REC_COLS} from rec"
     q["gold_from_silver"] = q["daily_recovery"]
@@ -621,4 +638,5 @@ def oracle_sql() -> dict[str, str]:
         "(select bool_and(passed) from gate) as overall_passed from gate group by table_name",
         gate,
     )
+    q["quality_report"] = q["quality_gate_summary"]
     return q

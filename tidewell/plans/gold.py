@@ -187,5 +187,15 @@ def cohort_benchmarks(recovery: DataFrame) -> DataFrame:
     return ranked.withColumn("recovery_percentile", F.expr(half_up("_share * 100", 1))).drop("_share")
 
 
+def level_benchmarks(recovery: DataFrame, users: DataFrame) -> DataFrame:
+    """The same averages, ranked among the users of a fitness level; users without profile are a level of their own."""
+    shared_root(recovery.sparkSession)
+    per_user = recovery.groupBy("user_id").agg(F.avg("recovery_score").alias("avg_recovery"), F.count("*").alias("days_tracked"))
+    levels = users.groupBy("user_id").agg(F.min("fitness_level").alias("fitness_level"))
+    placed = per_user.join(levels, "user_id", "left").checkpoint()
+    ranked = percent_rank_over(placed, "avg_recovery", "_share", low=0, high=100, by="fitness_level")
+    return ranked.withColumn("level_percentile", F.expr(half_up("_share * 100", 1))).drop("_share")
+
+
 def stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("computed_at", F.current_timestamp())

@@ -12,7 +12,7 @@ from tidewell import schemas
 from tidewell.functions.numeric import settle
 from tidewell.operators.latest import latest_per_key
 from tidewell.operators.percent_rank import percent_rank_over
-from tidewell.operators.quality import gate_summary, run_gate
+from tidewell.operators.quality import gate_summary, run_gate, user_date_uniqueness
 from tidewell.operators.validate import (
     pass_rate,
     rejection_rate,
@@ -24,7 +24,7 @@ from tidewell.operators.validate import (
 from tidewell.plans import bronze, gold, pipeline, reports, silver
 from tidewell.session import new_workspace, shared_root
 from tidewell.sources import sensor_views as views
-from tidewell.sources.json_feed import read_feed, write_records
+from tidewell.sources.json_feed import read_feed, read_optional_feed, write_records
 from tidewell.sources.merged_table import MergedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,6 +214,41 @@ def gold_from_silver(spark: SparkSession, sf: str) -> DataFrame:
     return house.gold("daily_recovery").read().drop("computed_at")
 
 
+def profile_scan(spark: SparkSession, sf: str) -> DataFrame:
+    path = f"{new_workspace(spark, 'profiles')}/users.json"
+    write_records(views.users(spark, sf), path)
+    return read_feed(spark, path, schemas.USERS, array_layout=False)
+
+
+def late_sensor(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed that is there beside one that no device delivers yet."""
+    root = new_workspace(spark, "late")
+    delta = (F.col("respiratory_rate_brpm") / 10).alias("skin_temp_delta_c")
+    rows = views.hrv_raw(spark, sf).select(F.col("reading_id").alias("record_id"), "user_id", "date", delta, "ingested_at")
+    write_records(rows, f"{root}/skin_temp.json")
+    return union_all([read_optional_feed(spark, f"{root}/{name}.json", schemas.SKIN_TEMP) for name in ("skin_temp", "not_there")])
+
+
+def gold_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Recovery as stored and exported as JSON records, strain recomputed because nothing is stored."""
+    root = new_workspace(spark, "export")
+    house = pipeline.Lakehouse(spark, root)
+    house.gold("daily_recovery").replace(_recovery(spark, sf).select("user_id", "date", "recovery_score"))
+    stored = pipeline.gold_or_recomputed(house, "daily_recovery", lambda: _recovery(spark, sf).limit(0))
+    write_records(stored, f"{root}/daily_recovery.json")
+    exported = spark.read.schema(stored.schema).json(f"{root}/daily_recovery.json")
+    strain = pipeline.gold_or_recomputed(house, "user_strain_summary", lambda: _strain(spark, sf))
+    return exported.join(strain.select("user_id", "date", "strain_score"), ["user_id", "date"])
+
+
+def quality_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate over delivered files, its results written as records and summed up from there."""
+    root = new_workspace(spark, "report")
+    for feed in silver.FEEDS:
+        write_records(_raw(feed, spark, sf).select(*feed.layout.names), f"{root}/raw/{pipeline.FILES[feed.name]}")
+    return pipeline.run_gate_report(pipeline.Lakehouse(spark, root), f"{root}/raw", f"{root}/report.json")
+
+
 def gold_from_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Recovery over unfiltered readings: no bounds, no anomaly filter, latest reading per user-day."""
     hrv, sleep = (
@@ -330,6 +365,12 @@ _QUERIES: dict[str, Query] = {
     "quality_gate": _gate,
     "quality_gate_summary": lambda s, d: gate_summary(_gate(s, d)),
     "compacted_table": compacted_table,
+    "profile_scan": profile_scan,
+    "late_sensor": late_sensor,
+    "gold_export": gold_export,
+    "quality_report": quality_report,
+    "level_benchmarks": lambda s, d: gold.level_benchmarks(_recovery(s, d), views.users(s, d)),
+    "user_date_uniqueness": lambda s, d: union_all([user_date_uniqueness(_raw(f, s, d), f.name) for f in silver.FEEDS]),
 }
 
 
@@ -341,6 +382,7 @@ _UNROUNDED = {
     "spo2_component",
     "sleep_metrics",
     "cohort_benchmarks",
+    "level_benchmarks",
     "percent_rank_scaled",
     "recovery_then_vs_now",
     "hrv_trend",
