@@ -50,15 +50,20 @@ class Lakehouse:
         return VersionedTable(self.spark, f"{self.root}/gold/{name}")
 
 
+def load_bronze(house: Lakehouse, feed: silver.Feed, raw: DataFrame, run_id: str) -> None:
+    """Upsert delivered records; what is no record or has no key goes to the quarantine with its text."""
+    keyed = F.col(feed.key).isNotNull() & F.col(MALFORMED).isNull()
+    house.bronze(feed).create_if_absent().upsert(add_audit_columns(raw.where(keyed).drop(MALFORMED), run_id))
+    reason = F.when(F.col(MALFORMED).isNotNull(), F.lit("record is malformed")).otherwise(F.lit("record key is missing"))
+    unkeyed = raw.where(~keyed).withColumn(REASON, reason).withColumn(feed.key, F.lit(None).cast("string"))
+    house.quarantine().create_if_absent().upsert(quarantine_rows(unkeyed, feed.key, feed.source_table))
+
+
 def run_bronze(house: Lakehouse, data_dir: str, run_id: str) -> None:
     """Load every delivered feed file; loading a file again changes nothing but the audit columns."""
     for feed in silver.FEEDS:
         raw = read_feed(house.spark, f"{data_dir}/{FILES[feed.name]}", feed.layout, keep_malformed=True)
-        keyed = F.col(feed.key).isNotNull() & F.col(MALFORMED).isNull()
-        house.bronze(feed).create_if_absent().upsert(add_audit_columns(raw.where(keyed).drop(MALFORMED), run_id))
-        reason = F.when(F.col(MALFORMED).isNotNull(), F.lit("record is malformed")).otherwise(F.lit("record key is missing"))
-        unkeyed = raw.where(~keyed).withColumn(REASON, reason).withColumn(feed.key, F.lit(None).cast("string"))
-        house.quarantine().create_if_absent().upsert(quarantine_rows(unkeyed, feed.key, feed.source_table))
+        load_bronze(house, feed, raw, run_id)
     # a sensor that joins later: its table appears with its first file
     late = f"{data_dir}/skin_temp.json"
     if path_exists(house.spark, late):

@@ -53,7 +53,7 @@ def read_feed(spark: SparkSession, path: str, layout: T.StructType, array_layout
         by_line, arrays = files_by_layout(spark, path)
     else:
         by_line, arrays = ([], [path]) if array_layout else ([path], [])
-    columns = T.StructType([*layout.fields, T.StructField(MALFORMED, T.StringType())]) if keep_malformed else layout
+    columns = with_malformed(layout) if keep_malformed else layout
 
     def scan(files: list[str], multi_line: bool) -> DataFrame:
         reader = spark.read.schema(columns).option("multiLine", multi_line)
@@ -61,12 +61,20 @@ def read_feed(spark: SparkSession, path: str, layout: T.StructType, array_layout
 
     parts = [scan(files, kind) for files, kind in ((by_line, False), (arrays, True)) if files]
     raw = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schemas.as_nullable(columns))
+    return without_nan(raw, layout)
+
+
+def without_nan(raw: DataFrame, layout: T.StructType) -> DataFrame:
     doubles = {
         f.name: F.when(~F.isnan(f.name), F.col(f.name)) for f in layout.fields if isinstance(f.dataType, T.DoubleType)
     }
     return raw.withColumns(doubles) if doubles else raw
 
 
+def with_malformed(layout: T.StructType) -> T.StructType:
+    return T.StructType([*layout.fields, T.StructField(MALFORMED, T.StringType())])
+
+
 def read_optional_feed(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
     """The feed, or an empty frame of its layout while no device delivers it yet."""
     if not path_exists(spark, path):

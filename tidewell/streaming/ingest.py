@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidewell.plans.bronze import add_audit_columns
-from tidewell.plans.pipeline import Lakehouse
+from tidewell.plans.pipeline import Lakehouse, load_bronze
 from tidewell.plans.silver import Feed
+from tidewell.sources.json_feed import MALFORMED, with_malformed, without_nan
 
 
 def ingest_new_files(house: Lakehouse, feed: Feed, folder: str, run_id: str, files_per_batch: int = 1000) -> None:
@@ -13,14 +13,12 @@ def ingest_new_files(house: Lakehouse, feed: Feed, folder: str, run_id: str, fil
     The stream checkpoint remembers the files.  A batch that is repeated after a failure changes
     nothing, because the upsert replaces rows by key.
     """
-    table = house.bronze(feed).create_if_absent()
-    arrivals = (
-        house.spark.readStream.schema(feed.layout).option("maxFilesPerTrigger", files_per_batch).json(folder)
-    )
+    reader = house.spark.readStream.schema(with_malformed(feed.layout)).option("columnNameOfCorruptRecord", MALFORMED)
+    arrivals = without_nan(reader.option("maxFilesPerTrigger", files_per_batch).json(folder), feed.layout)
     query = (
         arrivals.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", f"{house.root}/progress/{feed.name}")
-        .foreachBatch(lambda batch, _: table.upsert(add_audit_columns(batch, run_id)))
+        .foreachBatch(lambda batch, _: load_bronze(house, feed, batch, run_id))
         .start()
     )
     query.awaitTermination()
