@@ -48,13 +48,14 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         now = stored(_small_star(_large_star(now)), f"{folder}/round-{turn}")
 
 
-def linked_groups(shared: DataFrame, possible: str, verify: Callable[[DataFrame], DataFrame], folder: str, rounds: int) -> DataFrame:
+def linked_groups(shared: DataFrame, possible: str, verify: Callable[[DataFrame], DataFrame], folder: str, rounds: int, central: str = "0") -> DataFrame:
     """``id`` and ``label`` of every member that links with another one; members without a row stand alone.
 
     ``shared`` (``key``, ``id`` and what the SQL condition ``possible`` asks of its rows ``x`` and ``y``) says who
     could link: members with a common key. ``verify`` returns those of the pairs (``a``, ``b``) that do. In each
     of the first ``rounds``, the members of a key are held against one pivot unless they are in its component
-    already, so a large group of members that link is linear work. The last step lists all pairs of a key that are
+    already, so a large group of members that link is linear work. The pivots of the first two rounds have the
+    least value of ``central``, an SQL expression; those of later rounds are arbitrary. The last step lists all pairs of a key that are
     still in different components; no possible link is left out.
     """
     spark, kept = shared.sparkSession, shared.columns
@@ -65,7 +66,7 @@ def linked_groups(shared: DataFrame, possible: str, verify: Callable[[DataFrame]
         now = shared.join(labels, "id", "left").select(*kept, F.coalesce("label", "id").alias("label"))
         row = F.struct(*[c for c in kept if c != "key"], "label")
         pivots = now.groupBy("key").agg(
-            F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), row.alias("row"))).alias("first"),
+            F.min(F.struct(F.expr(central if turn < 2 else "0").alias("rank"), F.xxhash64("id", F.lit(turn)).alias("order"), row.alias("row"))).alias("first"),
             F.min("label").alias("low"),
             F.max("label").alias("high"),
         )
