@@ -31,7 +31,7 @@ from tidewell.llm.components import stored
 END = b" "
 #: Words that the model predicts by themselves; words whose counts are broadcast; distinct words that a task counts
 #: before it hands counts on.
-MODEL_WORDS, BROADCAST_WORDS, COUNTER_WORDS = 700, 200_000, 400_000
+MODEL_WORDS, BROADCAST_WORDS, COUNTER_WORDS = 700, 200_000, 300_000
 DIMENSIONS, NOISE, BATCH, RATE = 24, 32, 2048, 0.08
 SMOOTH = 0.1
 #: Word shapes: accented or not, by last character, by length.
@@ -86,13 +86,28 @@ def _by_shape(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((np.arange(SHAPES), sums[:, 0], sums[:, 1]), kinds, strict=True)], names=["shape", "count", "words"])
 
 
+def _frequent(counts: DataFrame) -> dict[bytes, int]:
+    """The words down to the least frequency at which they are at most BROADCAST_WORDS, most frequent first.
+
+    The frequency comes from a histogram over classes of frequency, so no task sends candidates of its own.
+    """
+    scale = F.floor(F.log2("count") * 64).cast("long")
+    least, n = None, 0
+    for row in counts.groupBy(scale.alias("scale")).count().orderBy(F.desc("scale")).collect():
+        n += row["count"]
+        if n > BROADCAST_WORDS:
+            break
+        least = row["scale"]
+    rows = counts.where(scale >= F.lit(least)).collect() if least is not None else []
+    return {bytes(r["word"]): r["count"] for r in sorted(rows, key=lambda r: (-r["count"], bytes(r["word"])))}
+
+
 def gather(texts: DataFrame, folder: str) -> tuple[DataFrame, Statistics]:
     """The table of all training words with their counts, and the statistics from it."""
     counts = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(_count, "word binary, count long").groupBy("word").agg(F.sum("count").alias("count"))
     counts = stored(counts, f"{folder}/counts")
     total, distinct = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
-    frequent = counts.orderBy(F.desc("count"), "word").limit(BROADCAST_WORDS).collect()
-    known = {bytes(r["word"]): r["count"] for r in frequent}
+    known = _frequent(counts)
     words = [END, *[w for w in list(known)[:MODEL_WORDS] if w != END]]
     classes = {w: SHAPES + i for i, w in enumerate(words)}
     sums = np.zeros((SHAPES, 2), np.int64)
