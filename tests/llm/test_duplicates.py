@@ -187,3 +187,25 @@ def test_line_dedup_rewrites_texts(awkward, empty, workspace):
     assert rows[13].text == "another line that is long enough to count here, and is in no other text"
     assert rows[4].text is None and rows[5].text == "" and rows[4].n_removed == 0
     assert line_dedup.dedup_lines(empty, f"{workspace}-empty").count() == 0
+
+
+def lines_removed(spark, workspace, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: not r.kept for r in line_dedup.line_classes(docs, workspace).collect()}
+
+
+def test_all_of_a_line_counts_with_and_without_blanks(spark, workspace):
+    rows = [
+        "https://example.com/articles/2024/01/alpha",
+        "https://example.com/shop/item?id=77182",
+        "see https://example.com/guide/install",
+        "see https://example.com/guide/removal",
+        "天地玄黃宇宙洪荒日月盈昃" + "辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽雲騰致雨",
+        "天地玄黃宇宙洪荒日月盈昃" + "劍號巨闕珠稱夜光果珍李柰菜重芥薑海鹹河淡鱗潛羽翔",
+        "identifier\t1\tfirst value of the row\t17.25\tnorth",
+        "identifier\t2\tsomething else altogether\t99.50\tsouth",
+    ]
+    assert not any(lines_removed(spark, workspace, rows).values())
+    copy = "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽雲騰致雨" * 2
+    near = [copy + "一", copy + "二", "a/path/" * 3 + "/".join(f"part{i}" for i in range(20)) + "/x", "a/path/" * 3 + "/".join(f"part{i}" for i in range(20)) + "/y"]
+    assert lines_removed(spark, f"{workspace}-near", near) == {0: False, 1: True, 2: False, 3: True}
