@@ -209,3 +209,22 @@ def test_all_of_a_line_counts_with_and_without_blanks(spark, workspace):
     copy = "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽雲騰致雨" * 2
     near = [copy + "一", copy + "二", "a/path/" * 3 + "/".join(f"part{i}" for i in range(20)) + "/x", "a/path/" * 3 + "/".join(f"part{i}" for i in range(20)) + "/y"]
     assert lines_removed(spark, f"{workspace}-near", near) == {0: False, 1: True, 2: False, 3: True}
+
+
+def share_linked(spark, workspace, pairs):
+    gone = lines_removed(spark, workspace, [line for pair in pairs for line in pair])
+    return sum(gone[2 * i + 1] for i in range(len(pairs))) / len(pairs)
+
+
+def test_lines_with_a_changed_word_are_found(spark, workspace):
+    draw = random.Random(3)
+
+    def word():
+        return "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randrange(3, 9)))
+
+    pairs = []
+    for _ in range(200):
+        words = [word() for _ in range(draw.randrange(22, 30))]
+        at = draw.randrange(len(words))
+        pairs.append((" ".join(words), " ".join([*words[:at], word(), *words[at + 1 :]])))
+    assert share_linked(spark, workspace, pairs) >= 0.9
