@@ -228,3 +228,10 @@ def test_lines_with_a_changed_word_are_found(spark, workspace):
         at = draw.randrange(len(words))
         pairs.append((" ".join(words), " ".join([*words[:at], word(), *words[at + 1 :]])))
     assert share_linked(spark, workspace, pairs) >= 0.9
+
+
+def test_short_lines_at_the_threshold_are_found(spark, workspace):
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    lines = [" ".join(word() for _ in range(5)) for _ in range(400)]
+    assert share_linked(spark, workspace, [(line, f"{word()} {line}") for line in lines]) >= 0.93
