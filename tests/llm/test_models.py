@@ -137,3 +137,17 @@ def test_model_over_awkward_documents(spark, awkward, empty, workspace):
     counts, statistics = bilinear_lm.gather(empty, f"{workspace}-none")
     untrained = bilinear_lm.train(empty, statistics)
     assert bilinear_lm.score(awkward, counts, statistics, untrained, f"{workspace}-none").count() == awkward.count()
+
+
+def test_entropy_judges_texts_of_rare_lengths_and_groups(spark, workspace):
+    def row(doc_id, n_tokens, entropy, lang="en"):
+        return (doc_id, lang, n_tokens, 4 * n_tokens, 0, 0, 0, "Latin", n_tokens, 4.0 + doc_id % 5 / 100, 0.0, entropy)
+
+    usual = [row(i, 2 ** (7 + i % 3) + i % 7, 6.0 + i % 3 + (i % 11 - 5) / 50) for i in range(120)]
+    usual += [row(i, 4096, 11.0 + (i % 11 - 5) / 50) for i in range(200, 240)]
+    # rare: between and above the usual lengths, and in languages of their own
+    rare = [row(1000, 1200, 9.2), row(1001, 1200, 2.0), row(1002, 40_000, 11.0), row(1003, 40_000, 3.0), row(1004, 128, 6.0, "xx"), row(1005, 128, 1.0, "yy"), row(1006, 64, 5.0), row(1007, 64, 1.0)]
+    kinds = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, script string, n_tokens long, chars_per_token double, byte_share double, entropy double"
+    kept = {r.doc_id: r.kept for r in fertility.judge(spark.createDataFrame(usual + rare, kinds)).collect()}
+    assert all(kept[r[0]] for r in usual)
+    assert {i: kept[i] for i in range(1000, 1008)} == {1000: True, 1001: False, 1002: True, 1003: False, 1004: True, 1005: False, 1006: True, 1007: False}

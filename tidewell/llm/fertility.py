@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.batches import over_texts
@@ -28,8 +28,8 @@ LOWEST_SUM, LOWEST, HIGHEST_CHARS = -6.0, -8.0, 12.0
 CHARS_SPREAD, ENTROPY_SPREAD = 0.02, 0.05
 #: Byte-fallback tokens are rejected beyond this share above the upper quartile.
 BYTES_ABOVE = 0.10
-#: Entropy grows with length, so it is compared with texts of like length (classes of half a power of two) where
-#: there are so many of them.
+#: Entropy grows with length, so it is compared with texts of like length (classes of half a power of two). A class
+#: with fewer texts takes its usual entropy from its neighbours; a group with fewer takes its script's band, or all's.
 LEAST_ROWS = 20
 SYMBOLS, WHITE = b"#*$%&|<>", " \t\n\x0b\x0c\r"
 #: Scripts that are told apart; others are "other".
@@ -157,28 +157,69 @@ def measure(docs: DataFrame, path: str) -> DataFrame:
     return source.mapInArrow(over_texts(make, MEASURES), kinds)
 
 
+def _curves(sound: DataFrame, scope: str) -> DataFrame:
+    """Per ``scope``, the usual entropy of its length classes with LEAST_ROWS texts, in order of length. Over
+    everything, all classes count if none has so many."""
+    cells = sound.groupBy(scope, "length").agg(F.percentile_approx("entropy", 0.5, 10_000).alias("usual"), F.count("*").alias("n"))
+    cell = F.struct("length", "usual")
+    filled = F.collect_list(F.when(F.col("n") >= LEAST_ROWS, cell))  # lengths are logarithms, so few
+    found = cells.groupBy(scope).agg(F.sort_array(filled).alias("curve"), F.sort_array(F.collect_list(cell)).alias("any"))
+    if scope == "everything":
+        return found.select(scope, F.when(F.size("curve") > 0, F.col("curve")).otherwise(F.col("any")).alias(f"{scope}_curve"))
+    return found.where(F.size("curve") > 0).select(scope, F.col("curve").alias(f"{scope}_curve"))
+
+
+def _on_curve(curve: Column, length: Column) -> Column:
+    """The usual entropy of a length: between two classes in proportion, above the highest as there, as entropy levels
+    off, and below the lowest along the line through the lowest two."""
+    below = F.array_max(F.filter(curve, lambda c: c["length"] <= length))
+    above = F.array_min(F.filter(curve, lambda c: c["length"] > length))
+
+    def slope(low, high):
+        return (high["usual"] - low["usual"]) / (high["length"] - low["length"])
+
+    second = F.get(curve, F.lit(1))
+    between = below["usual"] + slope(below, above) * (length - below["length"])
+    rising = F.coalesce(F.greatest(slope(above, second), F.lit(0.0)), F.lit(0.0))
+    return F.when(below.isNull(), above["usual"] + rising * (length - above["length"])).when(above.isNull(), below["usual"]).otherwise(
+        F.when(below["length"] == length, below["usual"]).otherwise(between)
+    )
+
+
 def judge(measures: DataFrame) -> DataFrame:
     """The measures with ``base_failed``, ``fertile`` (inside all bands) and ``kept``.
 
     Bands come from all texts that pass the base rules, by ``lang`` (NULL is a language of its own) and
-    ``script``. ``measures`` is read twice and should be stored. A text that passes has words, so bands exist
+    ``script``; what a usual entropy is, and its band, by these where there are LEAST_ROWS texts, else by script, else
+    over all. ``measures`` is read several times and should be stored. A text that passes has words, so bands exist
     for it.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rows = measures.withColumn("base_failed", failed)
-    rows = rows.withColumn("group", F.concat_ws("/", F.coalesce("lang", F.lit("?")), "script")).withColumn("length", F.floor(2 * F.log2("n_tokens")))
+    rows = rows.withColumn("group", F.concat_ws("/", F.coalesce("lang", F.lit("?")), "script")).withColumn("length", F.floor(2 * F.log2("n_tokens"))).withColumn("everything", F.lit(0))
     sound = rows.where("not base_failed")
-    usual = sound.groupBy("group", "length").agg(F.percentile_approx("entropy", 0.5, 10_000).alias("usual"), F.count("*").alias("n"))
-    usual = usual.where(F.col("n") >= LEAST_ROWS).drop("n")
 
-    def with_excess(df: DataFrame) -> DataFrame:
-        return df.join(usual, ["group", "length"], "left").withColumn("excess", F.col("entropy") - F.col("usual"))
+    scopes = ("group", "script", "everything")
 
+    def with_excess(df: DataFrame) -> DataFrame:
+        for scope in scopes:
+            df = df.join(curves[scope], scope, "left")
+        own, wide, length = F.col("group_curve"), F.coalesce("script_curve", "everything_curve"), F.col("length")
+        # beyond its own classes a group has its level, and how entropy goes on from there is as in its script
+        held = F.greatest(F.element_at(own, 1)["length"], F.least(F.element_at(own, -1)["length"], length))
+        usual = F.coalesce(_on_curve(own, held) + _on_curve(wide, length) - _on_curve(wide, held), _on_curve(wide, length))
+        df = df.withColumn("excess", F.col("entropy") - usual).withColumn("sure", F.exists(F.coalesce(own, wide), lambda c: c["length"] == length))
+        return df.drop(*(f"{scope}_curve" for scope in scopes))
+
+    curves = {scope: _curves(sound, scope) for scope in scopes}
     quarters = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    bands = with_excess(sound).groupBy("group").agg(
-        *(F.percentile_approx(m, quarters, 10_000).alias(f"{m}_band") for m in ("chars_per_token", "excess")),
+    judged = with_excess(sound)
+    bands = judged.groupBy("group").agg(
+        F.percentile_approx("chars_per_token", quarters, 10_000).alias("chars_per_token_band"),
         F.percentile_approx("byte_share", 0.75, 10_000).alias("byte_band"),
     )
+    spreads = {scope: judged.where("sure").groupBy(scope).agg(F.percentile_approx("excess", quarters, 10_000).alias(f"{scope}_spread"), F.count("*").alias("n")) for scope in scopes}
+    spreads = {scope: (df if scope == "everything" else df.where(F.col("n") >= LEAST_ROWS)).drop("n") for scope, df in spreads.items()}
 
     def deviation(name: str, least: float):
         band = F.col(f"{name}_band")
@@ -187,5 +228,8 @@ def judge(measures: DataFrame) -> DataFrame:
     chars, entropy = deviation("chars_per_token", CHARS_SPREAD), deviation("excess", ENTROPY_SPREAD)
     fertile = (chars + entropy >= LOWEST_SUM) & (F.least(chars, entropy) >= LOWEST) & (chars <= HIGHEST_CHARS)
     fertile &= F.col("byte_share") <= F.col("byte_band") + BYTES_ABOVE
-    joined = with_excess(rows).join(bands, "group", "left").withColumn("fertile", F.coalesce(fertile, F.lit(False)))
+    joined = with_excess(rows).join(bands, "group", "left")
+    for scope in scopes:
+        joined = joined.join(spreads[scope], scope, "left")
+    joined = joined.withColumn("excess_band", F.coalesce(*(f"{scope}_spread" for scope in scopes))).withColumn("fertile", F.coalesce(fertile, F.lit(False)))
     return joined.withColumn("kept", ~F.col("base_failed") & F.col("fertile")).select(*measures.columns, "base_failed", "fertile", "kept")
