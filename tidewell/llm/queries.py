@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bilinear_lm, byte_bpe, exact_dedup, fertility, jaccard_join, language, line_dedup, packing, token_files, toxicity
+from tidewell.llm import bilinear_lm, byte_bpe, exact_dedup, fertility, hard_negatives, jaccard_join, language, line_dedup, packing, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -112,6 +112,13 @@ def op10_fertility(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    ship(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select(F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0, new_workspace(spark, "hard-negatives"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -124,6 +131,7 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": op8_line_dedup,
         "op9_packing": op9_packing,
         "op10_fertility": op10_fertility,
+        "op11_hard_negatives": op11_hard_negatives,
     }
 
 
@@ -139,4 +147,24 @@ def oracle_sql() -> dict[str, str]:
                    doc_id = first_value(doc_id) over best as kept, text_sha256
             from d window best as (partition by text_sha256 order by n desc, doc_id)
         """,
+        "op11_hard_negatives": """
+            with v as (
+                select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                       list_transform(embedding, lambda x: floor(256 * x::double)) as q
+                from embeddings
+                where vec_id is not null and label is not null and embedding is not null
+                  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            ),
+            s as (
+                select a.vec_id as anchor_id, v.vec_id, a.label = v.label as same, list_inner_product(a.q, v.q)::bigint as score
+                from v a, v where a.vec_id % 50 = 0 and a.vec_id <> v.vec_id
+            ),
+            p as (select * from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+            n as (
+                select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+                       row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id) as rank
+                from p join s on p.anchor_id = s.anchor_id and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+            )
+            select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 3
+        """,
     }
