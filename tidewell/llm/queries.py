@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bilinear_lm, byte_bpe, exact_dedup, fertility, hard_negatives, jaccard_join, language, line_dedup, packing, token_files, toxicity
+from tidewell.llm import bilinear_lm, byte_bpe, exact_dedup, fertility, hard_negatives, jaccard_join, language, line_dedup, mixing, packing, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -119,6 +119,11 @@ def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives.mine(rows, F.col("id") % 50 == 0, new_workspace(spark, "hard-negatives"))
 
 
+def op12_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(_documents(spark, sf), new_workspace(spark, "mixing"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -132,6 +137,7 @@ def queries() -> dict[str, Query]:
         "op9_packing": op9_packing,
         "op10_fertility": op10_fertility,
         "op11_hard_negatives": op11_hard_negatives,
+        "op12_mixing": op12_mixing,
     }
 
 
