@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bilinear_lm, byte_bpe, exact_dedup, fertility, hard_negatives, jaccard_join, language, line_dedup, mixing, packing, token_files, toxicity
+from tidewell.llm import bilinear_lm, byte_bpe, exact_dedup, fertility, hard_negatives, jaccard_join, language, line_dedup, mixing, packing, spelling, token_files, toxicity
 from tidewell.llm.shipping import ship
 from tidewell.session import new_workspace
 
@@ -124,6 +124,11 @@ def op12_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    words = spelling.vocabulary(spelling.occurrences(_documents(spark, sf)))
+    return spelling.variants(words, new_workspace(spark, "spelling"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -138,6 +143,7 @@ def queries() -> dict[str, Query]:
         "op10_fertility": op10_fertility,
         "op11_hard_negatives": op11_hard_negatives,
         "op12_mixing": op12_mixing,
+        "op13_spelling": op13_spelling,
     }
 
 
@@ -145,6 +151,11 @@ def queries() -> dict[str, Query]:
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
 
+#: One step of crc32 over a byte, for the table of its 256 remainders.
+_CRC_BIT = "case when {c} & 1 = 1 then xor({c} >> 1, 3988292384) else {c} >> 1 end"
+_CRC_TABLE = "select list_reduce([r, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: " + _CRC_BIT.format(c="c") + ") as t, r from (select unnest(range(256)) as r)"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_exact_dedup": f"""
@@ -173,4 +184,45 @@ def oracle_sql() -> dict[str, str]:
             )
             select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 3
         """,
+        "op13_spelling": rf"""
+            with recursive crc as (select list(t order by r) as t from ({_CRC_TABLE})),
+            runs as (
+                select coalesce(doc_id::varchar, '') as d,
+                       unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as run
+                from documents
+            ),
+            per_doc as (select d, run, count(*) as k from runs where length(run) >= 5 group by all),
+            bytes as (select d, run, k, hex(encode(d || ':' || run)) as x from per_doc),
+            hashed as (
+                select run, k, xor(4294967295, list_reduce(
+                    list_prepend(4294967295::bigint, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, (2 * i + 1)::int, 2))::bigint)),
+                    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) as h
+                from bytes, crc
+            ),
+            damaged as (
+                select case when h % 97 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, k
+                from hashed
+            ),
+            words as materialized (select word, sum(k)::bigint as n from damaged where length(word) >= 5 group by word having sum(k) >= 3),
+            cut as materialized (
+                select word, n, i, substr(word, 1, i) || substr(word, i + 2) as rest
+                from (select word, n, unnest(range(length(word)))::int as i from words)
+            ),
+            pairs as (
+                select distinct c.word as a, w.word as b, w.n as b_n from cut c join words w on c.rest = w.word
+                union select distinct w.word, c.word, c.n from cut c join words w on c.rest = w.word
+                union select c.word, o.word, o.n from cut c join cut o on c.rest = o.rest and c.i = o.i and c.word <> o.word
+            ),
+            best as (select a, count(*) as n_near, first(b order by b_n desc, b) as b, max(b_n) as b_n from pairs group by a),
+            forms as materialized (
+                select word, n, coalesce(n_near, 0) as n_near, case when b_n >= 2 * n then b end as form, case when b_n >= 2 * n then b_n end as form_n
+                from words left join best on word = a
+            ),
+            ways as (
+                select word, word as stop from forms
+                union all select w.word, f.form from ways w join forms f on w.stop = f.word where f.form is not null
+            ),
+            ends as (select w.word, w.stop from ways w join forms f on w.stop = f.word where f.form is null)
+            select word, form, stop as root, n, n_near, form_n from forms join ends using (word)
+        """,
     }
