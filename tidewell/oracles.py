@@ -486,6 +486,15 @@ def oracle_sql() -> dict[str, str]:
     q["hr_zone_allocation"] = _raw("").rstrip() + ",\n" + _zone_allocation()
     q["gold_from_raw"] = f"with {raw_ctes()},\n{recovery_ctes('hrv_last', 'sleep_last')}\nselect {REC_COLS} from rec"
     q["gold_from_silver"] = q["daily_recovery"]
+    own = f"sleep_debt_hours, {r9('duration_7d_std')}, sleep_consistency_score, efficiency_7d_avg, sleep_quality_tier"
+    averages = f"user_id, {r9('avg_recovery', 'avg_hrv', 'avg_hrv_baseline')}, days_tracked, recovery_percentile"
+    q["gold_incremental"] = _gold(
+        f"select * from (select {REC_COLS} from rec) full join strain using (user_id, date) "
+        f"full join (select user_id, date, {own} from sm) using (user_id, date) left join (select {averages} from bm) using (user_id)",
+        strain,
+        sm,
+        bm,
+    )
 
     # the eight analytics queries
     q["recovery_last_30d"] = _gold(

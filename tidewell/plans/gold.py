@@ -41,30 +41,24 @@ def recovery_inputs(hrv: DataFrame, sleep: DataFrame, colocate: bool = False) ->
     return left.join(right, USER_DAY, "inner")
 
 
-def with_baselines(joined: DataFrame) -> DataFrame:
-    """Adds ``_base, _spread, _rhr_base, needs_more_baseline``: the personal normal of each day.
-
-    The seven rows before a day count once three of them hold a reading; before that the user's
-    whole history stands in, for both measures together.
-    """
-    days = "partition by user_id order by date"
-    before = f"over ({days} rows between {S.BASELINE_ROWS} preceding and 1 preceding)"
-    history = f"over ({days} rows between unbounded preceding and unbounded following)"
-
-    measured = joined.selectExpr(
-        "*",
+def recent_measures() -> list[str]:
+    """What the rows before a day say of it, as windows over a user's rows."""
+    before = f"over (partition by user_id order by date rows between {S.BASELINE_ROWS} preceding and 1 preceding)"
+    return [
         f"count(hrv_rmssd_ms) {before} as _hrv_rows",
         f"avg(hrv_rmssd_ms) {before} as _recent",
         f"stddev_samp(hrv_rmssd_ms) {before} as _recent_spread",
         f"count(resting_hr_bpm) {before} as _rhr_rows",
         f"avg(resting_hr_bpm) {before} as _recent_rhr",
-        f"avg(hrv_rmssd_ms) {history} as _all",
-        f"stddev_samp(hrv_rmssd_ms) {history} as _all_spread",
-        f"avg(resting_hr_bpm) {history} as _all_rhr",
-    )
+    ]
+
+
+def settled_baselines(measured: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` with ``_base, _spread, _rhr_base, needs_more_baseline`` from the recent measures and those of the
+    whole history (``_all, _all_spread, _all_rhr``)."""
     settled = f"_hrv_rows >= {S.BASELINE_MIN_ROWS}"
     return measured.selectExpr(
-        *joined.columns,
+        *columns,
         f"if({settled}, _recent, _all) as _base",
         f"if({settled}, _recent_spread, _all_spread) as _spread",
         f"if({settled}, if(_rhr_rows >= {S.BASELINE_MIN_ROWS}, _recent_rhr, null), _all_rhr) as _rhr_base",
@@ -72,6 +66,23 @@ def with_baselines(joined: DataFrame) -> DataFrame:
     )
 
 
+def with_baselines(joined: DataFrame) -> DataFrame:
+    """Adds ``_base, _spread, _rhr_base, needs_more_baseline``: the personal normal of each day.
+
+    The seven rows before a day count once three of them hold a reading; before that the user's
+    whole history stands in, for both measures together.
+    """
+    history = "over (partition by user_id order by date rows between unbounded preceding and unbounded following)"
+    measured = joined.selectExpr(
+        "*",
+        *recent_measures(),
+        f"avg(hrv_rmssd_ms) {history} as _all",
+        f"stddev_samp(hrv_rmssd_ms) {history} as _all_spread",
+        f"avg(resting_hr_bpm) {history} as _all_rhr",
+    )
+    return settled_baselines(measured, joined.columns)
+
+
 def with_components(based: DataFrame) -> DataFrame:
     sleep = S.sleep_score("total_sleep_hours", "sleep_efficiency_pct", "rem_sleep_minutes", "deep_sleep_minutes")
     return based.selectExpr(
@@ -85,7 +96,11 @@ def with_components(based: DataFrame) -> DataFrame:
 
 def daily_recovery(hrv: DataFrame, sleep: DataFrame, colocate: bool = False) -> DataFrame:
     """Recovery score, state and components per user and day; one row per joined input row."""
-    parts = with_components(with_baselines(recovery_inputs(hrv, sleep, colocate)))
+    return recovery_columns(with_components(with_baselines(recovery_inputs(hrv, sleep, colocate))))
+
+
+def recovery_columns(parts: DataFrame, *more: str) -> DataFrame:
+    """The Gold columns of rows with components, and ``more`` of theirs."""
     scored = parts.selectExpr("*", f"{S.recovery_score('_hrv', '_rhr', '_sleep', '_spo2')} as recovery_score")
     return scored.selectExpr(
         "user_id",
@@ -101,6 +116,7 @@ def daily_recovery(hrv: DataFrame, sleep: DataFrame, colocate: bool = False) ->
         f"{half_even('_rhr_base', 2)} as rhr_baseline",
         f"{half_even('_sleep', 2)} as sleep_performance",
         "needs_more_baseline",
+        *more,
     )
 
 
@@ -183,7 +199,12 @@ def cohort_benchmarks(recovery: DataFrame) -> DataFrame:
         F.count("*").alias("days_tracked"),
     )
     # the ranking reads these rows several times: written once, one row per user
-    ranked = percent_rank_over(per_user.checkpoint(), "avg_recovery", "_share", low=0, high=100)
+    return ranked_users(per_user.checkpoint())
+
+
+def ranked_users(per_user: DataFrame) -> DataFrame:
+    """Stored rows of users with ``avg_recovery``, and their place among all in percent."""
+    ranked = percent_rank_over(per_user, "avg_recovery", "_share", low=0, high=100)
     return ranked.withColumn("recovery_percentile", F.expr(half_up("_share * 100", 1))).drop("_share")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -46,6 +47,10 @@ class Lakehouse:
     def quarantine(self) -> MergedTable:
         return self._by_text_date("silver/quarantine", schemas.QUARANTINE, ["source_table", "record_id"])
 
+    def new_changes(self, feed: silver.Feed) -> str:
+        """A folder for the user-days that one upsert of a Silver table changes."""
+        return f"{self.root}/changes/{feed.name}/{uuid.uuid4().hex}"
+
     def gold(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/gold/{name}")
 
@@ -72,9 +77,11 @@ def run_bronze(house: Lakehouse, data_dir: str, run_id: str) -> None:
             house.skin_temp().create_if_absent().upsert(add_audit_columns(raw, run_id))
 
 
-def run_silver(house: Lakehouse, since: str | None = None) -> dict[str, dict[str, int]]:
+def run_silver(house: Lakehouse, since: str | None = None, track: bool = False) -> dict[str, dict[str, int]]:
     """Clean every feed; returns valid and rejected counts per feed.
 
+    With ``track`` the user-days that change are noted for ``incremental.update_gold``.
+
     ``since`` limits the run to Bronze partitions from that day on; without it all are read.
     The judged rows are written once and both outcomes are read back from there, so the
     deduplication behind them runs a single time and the counts come along with the write.
@@ -95,7 +102,7 @@ def run_silver(house: Lakehouse, since: str | None = None) -> dict[str, dict[str
             )
             counts[feed.name] = seen.get
             staged = spark.read.schema(judged.schema).parquet(stage)
-            house.silver(feed).create_if_absent().upsert(feed.transform(valid_rows(staged)))
+            house.silver(feed).create_if_absent().upsert(feed.transform(valid_rows(staged)), house.new_changes(feed) if track else None)
             rejected.append(quarantine_rows(staged, feed.key, feed.source_table))
         # by record rather than appended: a second run reports each bad record once
         house.quarantine().create_if_absent().upsert(union_all(rejected))

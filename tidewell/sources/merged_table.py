@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.operators.latest import latest_per_key
+from tidewell.operators.latest import RECENCY, latest_per_key
 from tidewell.schemas import as_nullable
 from tidewell.session import new_workspace
 
@@ -72,9 +72,11 @@ class MergedTable:
         layout = self._stored_layout()
         return self.spark.read.schema(layout).parquet(self.path).select(*layout.names)
 
-    def read(self, since: str | None = None) -> DataFrame:
-        """The rows, or only those of the partitions from a day on."""
+    def read(self, since: str | None = None, days: Sequence | None = None) -> DataFrame:
+        """The rows, or only those of the partitions from a day on, or of the partitions named."""
         rows = self._stored()
+        if days is not None:
+            rows = rows.filter(self._on_dates(days))
         if since is not None:
             rows = rows.filter(F.col(self.partition) >= F.lit(since).cast("date"))
         return rows.select(*self.layout.names)
@@ -100,12 +102,15 @@ class MergedTable:
         """Distinct dates, a list no longer than the calendar."""
         return [row[0] for row in df.select(self.partition).distinct().collect()]
 
-    def upsert(self, source: DataFrame) -> None:
+    def upsert(self, source: DataFrame, changes_to: str | None = None) -> None:
         """Insert new keys, replace rows of known keys; the newest row wins within the source.
 
         A key that is not complete raises: such rows could never be matched, and a repeated run would
         insert them again. The source is written once; its days and its incomplete keys are counted on
         the way.
+
+        The keys of rows that are new, or differ from the stored ones in more than the record of their ingestion,
+        are written to the folder ``changes_to`` before the table changes; a repeated run can only name more.
         """
         keys = list(self.keys)
         newest = latest_per_key(source, keys).select(*self.layout.names)
@@ -123,10 +128,25 @@ class MergedTable:
             if seen.get["incomplete"]:
                 raise ValueError(f"{seen.get['incomplete']} rows without a complete key ({', '.join(keys)})")
             days = [*seen.get["days"], *([None] if seen.get["no_day"] else [])]
-            self._merge(self.spark.read.schema(newest.schema).parquet(stage), days)
+            incoming = self.spark.read.schema(newest.schema).parquet(stage)
+            if changes_to:
+                self._changed(incoming, days).write.mode("overwrite").parquet(changes_to)
+            self._merge(incoming, days)
         finally:
             delete_path(self.spark, stage)
 
+    def _changed(self, incoming: DataFrame, days: list) -> DataFrame:
+        """The keys of incoming rows that the table does not hold with these values, on tables whose keys fix the day."""
+        keys = list(self.keys)
+        values = F.struct(*(c for c in self.layout.names if c not in keys and c not in RECENCY))
+        known = self._stored().filter(self._on_dates(days)).select(*keys, values.alias("_held"))
+        beside = incoming.select(*keys, values.alias("_values")).join(known, keys, "left")
+        return beside.filter(~F.col("_values").eqNullSafe(F.col("_held"))).select(*keys)
+
+    def merge(self, rows: DataFrame) -> None:
+        """Upsert rows that are stored elsewhere already and have distinct and complete keys."""
+        self._merge(rows, self._dates(rows))
+
     def _merge(self, incoming: DataFrame, new_dates: list) -> None:
         keys, left = list(self.keys), []
         if not new_dates:
