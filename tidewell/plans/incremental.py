@@ -22,7 +22,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Iterable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from tidewell import schemas
 from tidewell.functions import scoring as S
 from tidewell.plans import gold, silver
 from tidewell.plans.pipeline import Lakehouse
+from tidewell.session import at_once
 from tidewell.sources.json_feed import path_exists
 from tidewell.sources.merged_table import MergedTable, delete_path
 
@@ -230,10 +231,10 @@ def _update_recovery(house: Lakehouse, changed: DataFrame, out: str, scratch: st
 
 def _update_sleep(house: Lakehouse, changed: DataFrame, out: str, scratch: str) -> None:
     sleep = house.silver(silver.SLEEP)
-    users = _staged(_with_spans(table(house, "sleep_users").create_if_absent().read(), changed), f"{scratch}/sleep-users")
+    users = _staged(_with_spans(table(house, "sleep_users").create_if_absent().read(), changed), f"{scratch}/users")
     if users.isEmpty():
         return
-    around = days_to_read(lambda days: sleep.read(days=days).select(*USER_DAY), changed, users, SLEEP_ROWS, f"{scratch}/sleep")
+    around = days_to_read(lambda days: sleep.read(days=days).select(*USER_DAY), changed, users, SLEEP_ROWS, f"{scratch}/around")
     rows = gold.sleep_metrics(_reached(sleep.read(days=around), changed, SLEEP_ROWS)).where("_reached").drop("_reached")
     rows.write.mode("overwrite").parquet(f"{out}/sleep_analytics")
     users.select("user_id", "bucket", "first_day", "last_day").write.mode("overwrite").parquet(f"{out}/sleep_users")
@@ -264,13 +265,16 @@ def _replace_benchmarks(house: Lakehouse) -> None:
 
 def _finish(house: Lakehouse, folder: str) -> dict[str, int]:
     """Merge a complete run; every step gives the same when it is repeated."""
-    spark, counts = house.spark, {}
-    for name in _TABLES:
-        if path_exists(spark, f"{folder}/{name}/_SUCCESS"):
-            target = table(house, name).create_if_absent()
-            rows = spark.read.schema(target._stored_layout()).parquet(f"{folder}/{name}")
-            target.merge(rows)
-            counts[name] = rows.count()
+    spark = house.spark
+
+    def merged(name: str) -> int:
+        target = table(house, name).create_if_absent()
+        rows = spark.read.schema(target._stored_layout()).parquet(f"{folder}/{name}")
+        target.merge(rows)
+        return rows.count()
+
+    names = [name for name in _TABLES if path_exists(spark, f"{folder}/{name}/_SUCCESS")]
+    counts = dict(zip(names, at_once(*(partial(merged, name) for name in names)), strict=True)) if names else {}
     if "recovery_users" in counts:
         _replace_benchmarks(house)
     for row in spark.read.schema("path string").parquet(f"{folder}/consumed").collect():  # a row per upsert since the last run
@@ -298,12 +302,19 @@ def update_gold(house: Lakehouse, users: DataFrame) -> dict[str, int]:
         noted = reduce(DataFrame.unionByName, (spark.read.schema("user_id string, date date").parquet(p) for p in found))
         return _staged(noted.distinct(), f"{scratch}/changed-{'-'.join(f.name for f in feeds)}")
 
-    if (changed := changes(silver.HRV, silver.SLEEP)) is not None:
-        _update_recovery(house, changed, out, scratch)
-    if (changed := changes(silver.SLEEP)) is not None:
-        _update_sleep(house, changed, out, scratch)
-    changed = changes(silver.ACTIVITY)
-    _update_strain(house, spark.createDataFrame([], "user_id string, date date") if changed is None else changed, users, out, scratch)
+    def recovery() -> None:
+        if (changed := changes(silver.HRV, silver.SLEEP)) is not None:
+            _update_recovery(house, changed, out, f"{scratch}/recovery")
+
+    def sleep() -> None:
+        if (changed := changes(silver.SLEEP)) is not None:
+            _update_sleep(house, changed, out, f"{scratch}/sleep")
+
+    def strain() -> None:
+        changed = changes(silver.ACTIVITY)
+        _update_strain(house, spark.createDataFrame([], "user_id string, date date") if changed is None else changed, users, out, f"{scratch}/strain")
+
+    at_once(recovery, sleep, strain)
     consumed = [(p,) for paths in sets.values() for p in paths]
     spark.createDataFrame(consumed, "path string").coalesce(1).write.mode("overwrite").parquet(f"{out}/consumed")
     return _finish(house, out)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from tidewell.operators.validate import (
     union_all,
 )
 from tidewell.plans import bronze, gold, incremental, pipeline, reports, silver
-from tidewell.session import new_workspace, shared_root
+from tidewell.session import at_once, new_workspace, shared_root
 from tidewell.sources import sensor_views as views
 from tidewell.sources.json_feed import read_feed, read_optional_feed, write_records
 from tidewell.sources.merged_table import MergedTable
@@ -227,15 +228,18 @@ def gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
     late, users = _late(spark, sf), views.users(spark, sf)
     wrong, again = F.pmod(F.hash("user_id", "date"), F.lit(13)) == 0, F.pmod(F.hash("date", "user_id"), F.lit(5)) == 0
     slips = {"hrv_readings": "hrv_rmssd_ms", "sleep_records": "total_sleep_hours", "activity_records": "zone2_minutes"}
+
+    def load(sync: int, feed: silver.Feed) -> None:
+        rows, slip = _clean(feed, spark, sf), slips[feed.name]
+        if sync == 1:
+            kind = feed.silver_layout[slip].dataType
+            rows = rows.where(~late).withColumn(slip, F.when(wrong, F.col(slip) + 1).otherwise(F.col(slip)).cast(kind))
+        else:
+            rows = rows.where(late | wrong | again)
+        house.silver(feed).create_if_absent().upsert(rows, house.new_changes(feed))
+
     for sync in (1, 2):
-        for feed in silver.FEEDS:
-            rows, slip = _clean(feed, spark, sf), slips[feed.name]
-            if sync == 1:
-                kind = feed.silver_layout[slip].dataType
-                rows = rows.where(~late).withColumn(slip, F.when(wrong, F.col(slip) + 1).otherwise(F.col(slip)).cast(kind))
-            else:
-                rows = rows.where(late | wrong | again)
-            house.silver(feed).create_if_absent().upsert(rows, house.new_changes(feed))
+        at_once(*(partial(load, sync, feed) for feed in silver.FEEDS))
         incremental.update_gold(house, users)
     return _gold_side_by_side(*(incremental.read_gold(house, name) for name in pipeline.GOLD_TABLES))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -49,3 +51,9 @@ def shared_root(spark: SparkSession) -> str:
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared root, so that no two runs touch each other's files."""
     return f"{shared_root(spark)}/tidewell/{label}-{uuid.uuid4().hex}"
+
+
+def at_once(*jobs: Callable[[], object]) -> list:
+    """Run jobs that do not need one another side by side, so that small ones do not leave the cluster idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [running.result() for running in [pool.submit(job) for job in jobs]]
