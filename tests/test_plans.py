@@ -15,7 +15,7 @@ from tidewell.sources import sensor_views as views
 
 SF = "/root/testdata/sf0.001"
 EAGER = {
-    "json_scan_typed", "upsert_single_key", "upsert_composite_key", "table_create_replace", "quarantine_append",
+    "json_scan_typed", "json_array_split", "gold_incremental", "upsert_single_key", "upsert_composite_key", "table_create_replace", "quarantine_append",
     "gold_from_silver", "recovery_then_vs_now", "compacted_table", "cohort_benchmarks", "level_benchmarks",
     "profile_scan", "late_sensor", "gold_export", "quality_report",
     "performance_tiers", "percent_rank_scaled",

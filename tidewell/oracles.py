@@ -388,6 +388,7 @@ def oracle_sql() -> dict[str, str]:
 
     # sources and table management
     q["json_scan_typed"] = _raw(f"select {HRV_COLS} from hrv_raw")
+    q["json_array_split"] = q["json_scan_typed"]
     q["audit_stamp"] = _raw(f"select {HRV_COLS}, 'run-7' as _ingestion_run_id, true as stamped from hrv_raw")
     q["upsert_single_key"] = _raw(f"select {HRV_COLS} from hrv_last")
     first, second = (

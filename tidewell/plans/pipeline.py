@@ -57,11 +57,17 @@ class Lakehouse:
 
 def load_bronze(house: Lakehouse, feed: silver.Feed, raw: DataFrame, run_id: str) -> None:
     """Upsert delivered records; what is no record or has no key goes to the quarantine with its text."""
-    keyed = F.col(feed.key).isNotNull() & F.col(MALFORMED).isNull()
-    house.bronze(feed).create_if_absent().upsert(add_audit_columns(raw.where(keyed).drop(MALFORMED), run_id))
-    reason = F.when(F.col(MALFORMED).isNotNull(), F.lit("record is malformed")).otherwise(F.lit("record key is missing"))
-    unkeyed = raw.where(~keyed).withColumn(REASON, reason).withColumn(feed.key, F.lit(None).cast("string"))
-    house.quarantine().create_if_absent().upsert(quarantine_rows(unkeyed, feed.key, feed.source_table))
+    stage = new_workspace(house.spark, "bronze-stage")
+    raw.write.parquet(stage)  # parsed once, read for both
+    try:
+        parsed = house.spark.read.schema(raw.schema).parquet(stage)
+        keyed = F.col(feed.key).isNotNull() & F.col(MALFORMED).isNull()
+        house.bronze(feed).create_if_absent().upsert(add_audit_columns(parsed.where(keyed).drop(MALFORMED), run_id))
+        reason = F.when(F.col(MALFORMED).isNotNull(), F.lit("record is malformed")).otherwise(F.lit("record key is missing"))
+        unkeyed = parsed.where(~keyed).withColumn(REASON, reason).withColumn(feed.key, F.lit(None).cast("string"))
+        house.quarantine().create_if_absent().upsert(quarantine_rows(unkeyed, feed.key, feed.source_table))
+    finally:
+        delete_path(house.spark, stage)
 
 
 def run_bronze(house: Lakehouse, data_dir: str, run_id: str) -> None:

@@ -121,6 +121,20 @@ def json_scan_typed(spark: SparkSession, sf: str) -> DataFrame:
     return read_feed(spark, f"{path}/*", schemas.HRV)
 
 
+def json_array_split(spark: SparkSession, sf: str) -> DataFrame:
+    """All HRV records delivered as one array in a single file, read by many tasks."""
+    path, raw = f"{new_workspace(spark, 'array')}/hrv.json", views.hrv_raw(spark, sf).select(*HRV_COLUMNS)
+    note = F.struct(F.concat(F.lit('ends in }, "{'), F.col("date")).alias("text"), F.array(F.struct(F.lit(1).alias("deep"))).alias("more"))
+    records = raw.select(F.to_json(F.struct(*HRV_COLUMNS, note.alias("note"))).alias("value"))
+    least = records.agg(F.min("value").alias("value"))
+    first = least.select(F.lit(0).alias("place"), F.concat(F.lit("["), "value").alias("value"))
+    others = records.where(F.col("value") > least.scalar()).select(F.lit(1).alias("place"), F.concat(F.lit(", "), "value").alias("value"))
+    end = spark.range(1).select(F.lit(2).alias("place"), F.lit("]").alias("value"))
+    ordered = first.unionByName(others).unionByName(end).coalesce(1).sortWithinPartitions("place")
+    ordered.select("value").write.option("lineSep", " ").text(path)
+    return read_feed(spark, path, schemas.HRV, split_bytes=1 << 18)
+
+
 def audit_stamp(spark: SparkSession, sf: str) -> DataFrame:
     stamped = bronze.add_audit_columns(views.hrv_raw(spark, sf).select(*HRV_COLUMNS), "run-7")
     return stamped.select(*HRV_COLUMNS, "_ingestion_run_id", F.col("_ingest_timestamp").isNotNull().alias("stamped"))
@@ -331,6 +345,7 @@ def _on_recovery(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 _QUERIES: dict[str, Query] = {
     "json_scan_typed": json_scan_typed,
+    "json_array_split": json_array_split,
     "audit_stamp": audit_stamp,
     "upsert_single_key": upsert_single_key,
     "upsert_composite_key": upsert_composite_key,

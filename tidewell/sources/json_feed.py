@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell import schemas
+from tidewell.session import new_workspace
+from tidewell.sources.json_array import read_arrays
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -21,8 +23,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 MALFORMED = "_malformed"
 
 
-def files_by_layout(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """The files of a feed with one record per line, and those that are one JSON array.
+def files_by_layout(spark: SparkSession, path: str) -> tuple[list[str], dict[str, int]]:
+    """The files of a feed with one record per line, and those that are one JSON array, with their size.
 
     The first character that is not blank decides, for each file by itself; all the driver sees of a file is its
     name and that character. A file that starts with neither fails: nothing of it could be read as a record.
@@ -30,36 +32,50 @@ def files_by_layout(spark: SparkSession, path: str) -> tuple[list[str], list[str
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("place"),
+        F.col("_metadata.file_size").alias("size"),
         F.substring(F.ltrim("value"), 1, 1).alias("first"),
     )
-    firsts = lines.where("first <> ''").groupBy("file").agg(F.min_by("first", "place").alias("first")).collect()
+    firsts = lines.where("first <> ''").groupBy("file").agg(F.min_by("first", "place").alias("first"), F.max("size").alias("size")).collect()
     odd = sorted(r["file"] for r in firsts if r["first"] not in "{[")
     if odd:
         raise ValueError(f"neither records nor an array: {', '.join(odd[:5])}")
-    return [sorted(r["file"] for r in firsts if r["first"] == kind) for kind in "{["]
+    return sorted(r["file"] for r in firsts if r["first"] == "{"), {r["file"]: r["size"] for r in firsts if r["first"] == "["}
 
 
-def read_feed(spark: SparkSession, path: str, layout: T.StructType, array_layout: bool | None = None, keep_malformed: bool = False) -> DataFrame:
+def read_feed(
+    spark: SparkSession,
+    path: str,
+    layout: T.StructType,
+    array_layout: bool | None = None,
+    keep_malformed: bool = False,
+    split_bytes: int | None = None,
+) -> DataFrame:
     """Scan a feed with its declared types, never with inferred ones.
 
     A feed that declares its layout is read in one pass. Without a declaration, its files are told apart first,
-    and a folder may mix both kinds. Record-per-line files split over tasks; an array file is one task, so large
-    feeds should come as lines.  NaN becomes NULL on the way in: it would compare above every limit later on.
+    and a folder may mix both kinds. Record-per-line files split over tasks; so do array files of more than
+    ``split_bytes`` (by default what the session reads in a task), smaller ones are a task each. NaN becomes NULL on
+    the way in: it would compare above every limit later on.
 
     With ``keep_malformed``, text that is no record stays in the column ``_malformed``, for the quarantine;
     otherwise such a record has NULL in every column.
     """
     if array_layout is None:
         by_line, arrays = files_by_layout(spark, path)
+        most = split_bytes or int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        large = sorted(f for f, size in arrays.items() if size > most)
+        small = sorted(f for f, size in arrays.items() if size <= most)
     else:
-        by_line, arrays = ([], [path]) if array_layout else ([path], [])
+        by_line, small, large = ([], [path], []) if array_layout else ([path], [], [])
     columns = with_malformed(layout) if keep_malformed else layout
+    options = {"columnNameOfCorruptRecord": MALFORMED} if keep_malformed else {}
 
     def scan(files: list[str], multi_line: bool) -> DataFrame:
-        reader = spark.read.schema(columns).option("multiLine", multi_line)
-        return (reader.option("columnNameOfCorruptRecord", MALFORMED) if keep_malformed else reader).json(files)
+        return spark.read.schema(columns).options(**options).option("multiLine", multi_line).json(files)
 
-    parts = [scan(files, kind) for files, kind in ((by_line, False), (arrays, True)) if files]
+    parts = [scan(files, kind) for files, kind in ((by_line, False), (small, True)) if files]
+    if large:
+        parts.append(read_arrays(spark, large, schemas.as_nullable(columns), options, new_workspace(spark, "array-feed"), split_bytes))
     raw = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schemas.as_nullable(columns))
     return without_nan(raw, layout)
 
