@@ -497,6 +497,23 @@ def oracle_sql() -> dict[str, str]:
         bm,
     )
 
+    # three deliveries to the streams; every 17th user delivers the first days with the last, when they are closed
+    first_day = "(select min(cast(ts as date)) from events)"
+    held_back = f"user_id % 17 = 3 and cast(ts as date) - {first_day} < 5"
+    held = "cast(substr(user_id, 2) as bigint) % 17 = 3 and cast(date as date) - (select min(cast(ts as date)) from ev) < 5"
+    q["silver_stream"] = _silver(
+        "select reading_id, user_id, cast(date as varchar) as date, hrv_rmssd_ms, null::varchar as rejection_reason from hrv_clean "
+        f"where not ({held}) union all select reading_id, user_id, date, null, concat_ws('; ', nullif({_reason(HRV_BOUNDS)}, ''), "
+        f"case when {held} then 'day was closed: ' || date end) from hrv_last where ({held}) or not ({_ok(HRV_BOUNDS)})"
+    )
+    closed = "cast(date as date) < least((select max(date) from hrv_clean), (select max(date) from sleep_clean)) - 3"
+    q["gold_stream"] = (
+        f"with {silver_ctes(f'not ({held_back})')},\nhrv_closed as (select * from hrv_clean where {closed}),\n"
+        f"sleep_closed as (select * from sleep_clean where {closed}),\n{recovery_ctes('hrv_closed', 'sleep_closed')},\n"
+        f"{sm.replace('from sleep_clean', 'from sleep_closed')}\nselect * from (select {REC_COLS} from rec) "
+        f"full join (select user_id, date, {own} from sm) using (user_id, date)"
+    )
+
     # the eight analytics queries
     q["recovery_last_30d"] = _gold(
         "select user_id, date, recovery_score, recovery_state, hrv_component, sleep_component, rhr_component, "

@@ -148,19 +148,33 @@ def strain_scores(activity: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
+DEFICIT = f"{S.IDEAL_SLEEP_HOURS}D - total_sleep_hours"
+
+
 def sleep_metrics(sleep: DataFrame) -> DataFrame:
     """The sleep rows with debt, consistency, rolling efficiency, stage shares and tier."""
     nights = "partition by user_id order by date"
     debt = f"over ({nights} rows between {S.DEBT_ROWS - 1} preceding and current row)"
     week = f"over ({nights} rows between {S.CONSISTENCY_ROWS - 1} preceding and current row)"
-    share = {stage: f"{ratio(f'{stage}_sleep_minutes', 'total_sleep_hours * 60')} * 100" for stage in ("rem", "deep")}
-    deficit = f"{S.IDEAL_SLEEP_HOURS}D - total_sleep_hours"
-    rolled = sleep.drop("rem_pct", "deep_pct").selectExpr(
+    framed = sleep.selectExpr(
         "*",
-        f"{deficit} as nightly_deficit",
-        f"{half_even(clip(f'sum({deficit}) {debt}', low=0), 2)} as sleep_debt_hours",
-        f"coalesce(stddev_samp(total_sleep_hours) {week}, 0D) as duration_7d_std",
-        f"{half_even(f'avg(sleep_efficiency_pct) {week}', 1)} as efficiency_7d_avg",
+        f"sum({DEFICIT}) {debt} as _debt",
+        f"stddev_samp(total_sleep_hours) {week} as _spread",
+        f"avg(sleep_efficiency_pct) {week} as _efficiency",
+    )
+    return sleep_columns(framed)
+
+
+def sleep_columns(framed: DataFrame) -> DataFrame:
+    """The Gold columns of sleep rows with the figures of their last nights (``_debt, _spread, _efficiency``)."""
+    share = {stage: f"{ratio(f'{stage}_sleep_minutes', 'total_sleep_hours * 60')} * 100" for stage in ("rem", "deep")}
+    own = [c for c in framed.columns if c not in ("rem_pct", "deep_pct", "_debt", "_spread", "_efficiency")]
+    rolled = framed.selectExpr(
+        *own,
+        f"{DEFICIT} as nightly_deficit",
+        f"{half_even(clip('_debt', low=0), 2)} as sleep_debt_hours",
+        "coalesce(_spread, 0D) as duration_7d_std",
+        f"{half_even('_efficiency', 1)} as efficiency_7d_avg",
         f"{half_even(share['rem'], 1)} as rem_pct",
         f"{half_even(share['deep'], 1)} as deep_pct",
     )

@@ -23,10 +23,12 @@ from tidewell.operators.validate import (
     union_all,
 )
 from tidewell.plans import bronze, gold, incremental, pipeline, reports, silver
-from tidewell.session import at_once, new_workspace, shared_root
+from tidewell.session import at_once, new_workspace, shared_root, ship
 from tidewell.sources import sensor_views as views
 from tidewell.sources.json_feed import read_feed, read_optional_feed, write_records
 from tidewell.sources.merged_table import MergedTable
+from tidewell.streaming.gold_stream import stream_gold
+from tidewell.streaming.silver_stream import stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 HRV_COLUMNS = schemas.HRV.names
@@ -258,6 +260,52 @@ def gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return _gold_side_by_side(*(incremental.read_gold(house, name) for name in pipeline.GOLD_TABLES))
 
 
+#: Days of the first and second delivery to the streams, and those of which some users deliver with the third only.
+_DELIVERIES, _HELD_BACK = (10, 20), 5
+
+
+def _deliveries(feed: silver.Feed, spark: SparkSession, sf: str) -> list[DataFrame]:
+    """A feed in three parts by day. Every 17th user delivers the first days with the last part, far too late."""
+    first = spark.read.parquet(f"{sf}/events.parquet").agg(F.min(F.col("ts").cast("date"))).scalar()
+    day = F.datediff(F.col("date").cast("date"), first)
+    held_back = (F.substring("user_id", 2, 20).cast("long") % 17 == 3) & (day < _HELD_BACK)
+    part = F.when(held_back | (day >= _DELIVERIES[1]), 3).when(day >= _DELIVERIES[0], 2).otherwise(1)
+    raw = _raw(feed, spark, sf).select(*feed.layout.names)
+    return [raw.where(part == number) for number in (1, 2, 3)]
+
+
+def _streamed(spark: SparkSession, sf: str, feeds: list[silver.Feed], then: Callable[[pipeline.Lakehouse], None] = lambda _: None) -> pipeline.Lakehouse:
+    """A lakehouse whose Silver tables came from streams that were started anew for each delivery."""
+    house = pipeline.Lakehouse(spark, new_workspace(spark, "stream"))
+    ship(spark)
+
+    def take(feed: silver.Feed, number: int, rows: DataFrame) -> None:
+        write_records(rows, f"{house.root}/raw/{feed.name}/{number}")
+        stream_silver(house, feed, f"{house.root}/raw/{feed.name}/*", f"run-{number}")
+
+    parts = {feed.name: _deliveries(feed, spark, sf) for feed in feeds}
+    for number in range(3):
+        at_once(*(partial(take, feed, number, parts[feed.name][number]) for feed in feeds))
+        then(house)
+    return house
+
+
+def silver_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Where every HRV record of three deliveries went: Silver, or the quarantine with its reason."""
+    house = _streamed(spark, sf, [silver.HRV])
+    taken = house.silver(silver.HRV).read().select("reading_id", "user_id", F.col("date").cast("string").alias("date"), "hrv_rmssd_ms", F.lit(None).cast("string").alias("rejection_reason"))
+    gone = house.quarantine().read().select(F.col("record_id").alias("reading_id"), "user_id", "date", F.lit(None).cast("double").alias("hrv_rmssd_ms"), "rejection_reason")
+    return taken.unionByName(gone)
+
+
+def gold_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Recovery and sleep figures of all closed days, brought up after each of three deliveries."""
+    house = _streamed(spark, sf, [silver.HRV, silver.SLEEP], stream_gold)
+    sleep = incremental.read_gold(house, "sleep_analytics")
+    own = sleep.select(*silver.USER_DAY, "sleep_debt_hours", "duration_7d_std", "sleep_consistency_score", "efficiency_7d_avg", "sleep_quality_tier")
+    return incremental.read_gold(house, "daily_recovery").join(own, silver.USER_DAY, "full")
+
+
 def _gold_side_by_side(recovery: DataFrame, strain: DataFrame, metrics: DataFrame, benchmarks: DataFrame) -> DataFrame:
     """All columns of the four Gold tables per user-day."""
     own = metrics.select(*silver.USER_DAY, "sleep_debt_hours", "duration_7d_std", "sleep_consistency_score", "efficiency_7d_avg", "sleep_quality_tier")
@@ -384,6 +432,8 @@ _QUERIES: dict[str, Query] = {
     "gold_from_raw": gold_from_raw,
     "gold_from_silver": gold_from_silver,
     "gold_incremental": gold_incremental,
+    "silver_stream": silver_stream,
+    "gold_stream": gold_stream,
     "recovery_last_30d": _on_recovery(reports.recovery_last_days),
     "strain_vs_next_day": lambda s, d: reports.strain_vs_next_day(_strain(s, d), _recovery(s, d)),
     "weekday_pattern": _on_recovery(reports.weekday_pattern),
@@ -436,6 +486,7 @@ _UNROUNDED = {
     "sleep_metrics",
     "cohort_benchmarks",
     "gold_incremental",
+    "gold_stream",
     "level_benchmarks",
     "percent_rank_scaled",
     "recovery_then_vs_now",

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -57,3 +59,18 @@ def at_once(*jobs: Callable[[], object]) -> list:
     """Run jobs that do not need one another side by side, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(len(jobs)) as pool:
         return [running.result() for running in [pool.submit(job) for job in jobs]]
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes the package importable for the Python workers of a session that was started elsewhere: its source goes to
+    the session once, and Spark brings it to each executor."""
+    context = spark.sparkContext
+    if getattr(context, "_tidewell_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tidewell-code-")) / "tidewell.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tidewell_shipped = True

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.session import ship
+
 QUOTE, BACKSLASH = 34, 92
 _STEP = np.zeros(256, np.int8)
 _STEP[[ord("{"), ord("[")]], _STEP[[ord("}"), ord("]")]] = 1, -1
@@ -165,6 +167,7 @@ def read_arrays(spark: SparkSession, files: list[str], columns: T.StructType, op
     Records are cut out once and kept in ``folder``, which all executors must reach. The driver sees a row per
     split. A file that is no array of objects is left to the reader of whole files, which takes it as malformed.
     """
+    ship(spark)
     with _fixed_splits(spark, split_bytes):
         surveyed = _pieces(spark, files).mapInArrow(_surveyed, "file string, block long, ends array<boolean>, depth array<long>, low array<long>").collect()
         states, broken = start_states(surveyed)
