@@ -497,6 +497,37 @@ def oracle_sql() -> dict[str, str]:
         bm,
     )
 
+    q["sketched_quartiles"] = _gold(
+        "select user_id, count(hrv_rmssd) as readings, quantile_disc(hrv_rmssd, 0.25) as q1, quantile_disc(hrv_rmssd, 0.5) as median, "
+        "quantile_disc(hrv_rmssd, 0.75) as q3, null::boolean as within_bound from rec where hrv_rmssd is not null group by user_id "
+        "union all select null, null, null, null, null, true"
+    )
+    q["active_users"] = _raw(
+        " union all ".join(
+            f"select '{name}' as source_table, '{period}' as period, cast(date_trunc('{period}', cast(date as date)) as date) as first_day, "
+            f"count(distinct user_id) as users from {view} group by all"
+            for name, view in (("hrv_readings", "hrv_raw"), ("sleep_records", "sleep_raw"), ("activity_records", "activity_raw"))
+            for period in ("day", "week", "month")
+        )
+    )
+    q["colocated_recovery"] = q["daily_recovery"]
+    q["zordered_table"] = _gold(
+        " union all ".join(
+            f"select '{c}' as filter_on, count(*) as rows, true as most_files_skipped from rec where {c} = (select min({c}) from rec)" for c in ("user_id", "date")
+        )
+    )
+    four_weeks = "(partition by user_id order by x range between 3 preceding and current row)"
+    q["weekly_sleep_trend"] = _silver(
+        "select user_id, week, nights, round(mean_hours, 9) as mean_hours, weeks, round(s, 9) as slope, "
+        "case when round(s, 9) > 0 then 'Improving' when s is not null then 'Declining' end as trend from tr",
+        "wk as (select user_id, cast(date_trunc('week', date) as date) as week, count(total_sleep_hours) as nights, "
+        "avg(total_sleep_hours) as mean_hours from sleep_clean group by all having count(total_sleep_hours) > 0)",
+        "wx as (select *, (week - date '1970-01-05') // 7 as x from wk)",
+        f"tr as (select *, count(*) over {four_weeks} as weeks, regr_slope(mean_hours, x) over {four_weeks} as s0, "
+        f"case when count(*) over {four_weeks} > 1 then regr_slope(mean_hours, x) over {four_weeks} end as s from wx)",
+    )
+    q["recovery_sample"] = _gold("select user_id, date, recovery_score, recovery_state, hrv_component from rec order by date desc, user_id limit 5")
+
     # three deliveries to the streams; every 17th user delivers the first days with the last, when they are closed
     first_day = "(select min(cast(ts as date)) from events)"
     held_back = f"user_id % 17 = 3 and cast(ts as date) - {first_day} < 5"

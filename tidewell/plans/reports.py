@@ -421,3 +421,38 @@ def hr_zone_allocation(activity: DataFrame, users: DataFrame) -> DataFrame:
         "workout_duration_minutes",
         *[f"{z} as est_zone{i}_minutes" for i, z in enumerate(zones, start=1)],
     )
+
+
+# ---- trends --------------------------------------------------------------------------------------
+
+#: Calendar weeks that a trend looks at, the current one included.
+TREND_WEEKS = 4
+
+
+def weekly_sleep_trend(sleep: DataFrame) -> DataFrame:
+    """Per user and calendar week (from Monday): mean sleep, and the slope of the weekly means over four weeks in hours
+    a week.
+
+    A week without a night has no row and no part in a trend, but time goes on: means keep their distance in weeks. A
+    slope needs two weeks; without, slope and trend are NULL. A slope of zero counts as declining, like any tie of the
+    other trends.
+    """
+    week = F.date_trunc("week", "date").cast("date")
+    weekly = sleep.groupBy("user_id", week.alias("week")).agg(F.count("total_sleep_hours").alias("nights"), F.avg("total_sleep_hours").alias("mean_hours"))
+    known = weekly.where("nights > 0").withColumn("_x", (F.datediff("week", F.lit("1970-01-05").cast("date")) / 7).cast("long"))
+    frame = f"over (partition by user_id order by _x range between {TREND_WEEKS - 1} preceding and current row)"
+    # distances from the current week: small numbers, so that the sums lose nothing
+    summed = known.selectExpr(
+        "*", f"count(*) {frame} as _n", f"sum(_x) {frame} - count(*) {frame} * _x as _sx", f"sum(mean_hours) {frame} as _sy",
+        f"sum(_x * mean_hours) {frame} - _x * sum(mean_hours) {frame} as _sxy",
+        f"sum(_x * _x) {frame} - 2 * _x * sum(_x) {frame} + count(*) {frame} * _x * _x as _sxx",
+    )
+    slope = settle(ratio("(_n * _sxy - _sx * _sy)", "double(nullif(_n * _sxx - _sx * _sx, 0))"))
+    sloped = summed.withColumn("slope", F.expr(f"if(_n > 1, {slope}, null)"))
+    trend = F.when(F.col("slope") > 0, "Improving").when(F.col("slope").isNotNull(), "Declining")
+    return sloped.select("user_id", "week", "nights", "mean_hours", F.col("_n").alias("weeks"), "slope", trend.alias("trend"))
+
+
+def recovery_sample(recovery: DataFrame, rows: int = 5) -> DataFrame:
+    """The newest rows by user, as printed at the end of a Gold run."""
+    return recovery.orderBy(F.col("date").desc(), "user_id").limit(rows).select("user_id", "date", "recovery_score", "recovery_state", "hrv_component")

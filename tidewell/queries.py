@@ -22,8 +22,10 @@ from tidewell.operators.validate import (
     split_by_bounds,
     union_all,
 )
-from tidewell.plans import bronze, gold, incremental, pipeline, reports, silver
+from tidewell.operators.zorder import z_ordered
+from tidewell.plans import bronze, gold, incremental, pipeline, reports, silver, summaries
 from tidewell.session import at_once, new_workspace, shared_root, ship
+from tidewell.sources import colocated
 from tidewell.sources import sensor_views as views
 from tidewell.sources.json_feed import read_feed, read_optional_feed, write_records
 from tidewell.sources.merged_table import MergedTable
@@ -306,6 +308,65 @@ def gold_stream(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.read_gold(house, "daily_recovery").join(own, silver.USER_DAY, "full")
 
 
+_QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
+def sketched_quartiles(spark: SparkSession, sf: str) -> DataFrame:
+    """HRV quartiles per user from stored monthly sketches, and a last row that says whether those of all users
+    together are within the sketches' bound of the exact ranks."""
+    path, recovery = f"{new_workspace(spark, 'sketches')}/hrv", _recovery(spark, sf).select("user_id", "date", "hrv_rmssd")
+    summaries.quantile_sketches(recovery, "hrv_rmssd").write.partitionBy("month").parquet(path)
+    stored = spark.read.schema("user_id string, sketch binary, month date").parquet(path)
+    per_user = summaries.merged_quantiles(stored, ["user_id"], _QUARTILES)
+    ranks = summaries.ranks_of(recovery, "hrv_rmssd", summaries.merged_quantiles(stored, [], _QUARTILES), _QUARTILES)
+    bound = summaries.rank_error()
+    near = (F.col("below") <= F.col("share") + bound) & (F.col("up_to") >= F.col("share") - bound)
+    whole = ranks.agg((F.every(near) & (F.count("*") == len(_QUARTILES))).alias("within_bound"))
+    return per_user.unionByName(whole, allowMissingColumns=True)
+
+
+def active_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct users per feed and day, week and month, all from stored daily bitmaps."""
+    root, feeds = new_workspace(spark, "active"), {f.name: _raw(f, spark, sf).select("user_id", F.expr(silver.AS_DATE).alias("date")) for f in silver.FEEDS}
+    # the feeds come one after the other: each adds its new users to the numbering
+    numbers = None
+    for name, rows in feeds.items():
+        summaries.numbered(rows, numbers).write.parquet(f"{root}/numbers-{name}")
+        numbers = spark.read.schema("user_id string, number long").parquet(f"{root}/numbers-{name}")
+        summaries.daily_users(rows, numbers, name).write.mode("append").partitionBy("date").parquet(f"{root}/daily")
+    daily = spark.read.schema("source_table string, bucket long, users binary, date date").parquet(f"{root}/daily")
+    return union_all([summaries.distinct_users(daily, period) for period in ("day", "week", "month")])
+
+
+def colocated_recovery(spark: SparkSession, sf: str) -> DataFrame:
+    """Recovery from Silver tables of the catalog that are bucketed by user."""
+    root = new_workspace(spark, "catalog")
+    database = colocated.create_database(spark, f"tidewell_{root.rsplit('-', 1)[1]}", root)
+    for feed, name in ((silver.HRV, "hrv_clean"), (silver.SLEEP, "sleep_clean")):
+        colocated.save_by_user(_clean(feed, spark, sf), f"{database}.{name}")
+    joined = colocated.paired(spark, f"{database}.hrv_clean", f"{database}.sleep_clean", ["hrv_rmssd_ms"], gold.SLEEP_INPUTS)
+    return gold.recovery_columns(gold.with_components(gold.with_baselines(joined)))
+
+
+def zordered_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Recovery stored along a Z curve: rows of one user and of one day, and the share of files that such a filter
+    needs. By statistics a filter on either column leaves out most files."""
+    path, rows = f"{new_workspace(spark, 'zorder')}/recovery", _recovery(spark, sf).select("user_id", "date", "recovery_score")
+    staged = f"{path}-staged"
+    rows.write.parquet(staged)
+    z_ordered(spark.read.schema(rows.schema).parquet(staged), ["user_id", "date"], files=16).write.parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    file = F.col("_metadata.file_path").alias("file")
+    out = []
+    for column in ("user_id", "date"):
+        middle = stored.select(F.min(column)).scalar()
+        spans = stored.groupBy(file).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+        needed = spans.agg((F.count_if((F.col("low") <= middle) & (F.col("high") >= middle)) / F.count("*")).alias("needed"))
+        found = stored.where(F.col(column) == middle).agg(F.lit(column).alias("filter_on"), F.count("*").alias("rows"))
+        out.append(found.select("filter_on", "rows", (needed.select("needed").scalar() <= 0.5).alias("most_files_skipped")))
+    return union_all(out)
+
+
 def _gold_side_by_side(recovery: DataFrame, strain: DataFrame, metrics: DataFrame, benchmarks: DataFrame) -> DataFrame:
     """All columns of the four Gold tables per user-day."""
     own = metrics.select(*silver.USER_DAY, "sleep_debt_hours", "duration_7d_std", "sleep_consistency_score", "efficiency_7d_avg", "sleep_quality_tier")
@@ -434,6 +495,12 @@ _QUERIES: dict[str, Query] = {
     "gold_incremental": gold_incremental,
     "silver_stream": silver_stream,
     "gold_stream": gold_stream,
+    "sketched_quartiles": sketched_quartiles,
+    "active_users": active_users,
+    "colocated_recovery": colocated_recovery,
+    "zordered_table": zordered_table,
+    "weekly_sleep_trend": lambda s, d: reports.weekly_sleep_trend(_clean(silver.SLEEP, s, d)),
+    "recovery_sample": _on_recovery(reports.recovery_sample),
     "recovery_last_30d": _on_recovery(reports.recovery_last_days),
     "strain_vs_next_day": lambda s, d: reports.strain_vs_next_day(_strain(s, d), _recovery(s, d)),
     "weekday_pattern": _on_recovery(reports.weekday_pattern),
@@ -487,6 +554,7 @@ _UNROUNDED = {
     "cohort_benchmarks",
     "gold_incremental",
     "gold_stream",
+    "weekly_sleep_trend",
     "level_benchmarks",
     "percent_rank_scaled",
     "recovery_then_vs_now",
