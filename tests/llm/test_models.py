@@ -36,6 +36,39 @@ def test_language_over_awkward_documents(spark, awkward, empty):
     assert language.predict(empty, model).count() == 0
 
 
+def test_forty_languages(spark, workspace, monkeypatch):
+    """Each from a task of its own; few rows a language, one with more than are taken."""
+    monkeypatch.setattr(language, "MAX_ROWS", 30)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    draw = np.random.default_rng(2)
+    words = {f"l{n:02d}": ["".join(draw.choice(list(letters), 5)) for _ in range(60)] for n in range(40)}
+    rows = [(i * 100 + n, " ".join(draw.choice(own, 40)), name) for n, (name, own) in enumerate(words.items()) for i in range(200 if n == 7 else 15)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, workspace)
+    assert model.languages == tuple(words) and len(model.owners) == 160
+    taken = spark.read.parquet(f"{workspace}/rows").groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in taken} == {name: 30 if n == 7 else 15 for n, name in enumerate(words)}
+    found = language.predict(docs, model).join(docs, "doc_id").collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.98 * len(found)
+    # a class of lengths without rows has the floor of the nearest one that has some
+    assert min(model.floors) > 0 and language.predict(spark.createDataFrame([(1, "%x9 zq0 " * 4)], "doc_id long, text string"), model).first().rejected
+
+
+def test_a_million_equal_ngrams_are_learnt_as_such(spark):
+    long = "ab " * 350_000
+    docs = spark.createDataFrame([(1, long, "x"), (2, "cd ef gh " * 9, "y")], "doc_id long, text string, lang string")
+    assert language.counts(long).max() > 1 << 16
+    model = language.fit(docs)
+    scored = {r.doc_id: (r.lang_pred, round(r.score, 5)) for r in language.predict(docs, model).collect()}
+    assert scored == {1: ("x", 1.0), 2: ("y", 1.0)}
+
+
+def test_floors_of_thin_classes():
+    lengths = np.array([100] * 30 + [5000] * 40 + [10])
+    floors = language._floors(np.concatenate([np.full(30, 0.5), np.full(40, 0.9), [0.1]]), lengths)
+    assert floors == pytest.approx([0.5 * language.SLACK] * 3 + [0.9 * language.SLACK] * 2)
+
+
 def marked(spark):
     """Texts of common words; the toxic ones hold words of their own."""
     rows = []

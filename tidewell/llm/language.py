@@ -8,6 +8,7 @@ is rejected as belonging to none.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -18,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.batches import documents_only, over_texts, text_slices
+from tidewell.llm.components import stored
+from tidewell.session import new_workspace
 
 UNKNOWN = "und"
 #: Training rows of a language, at most; those with the smallest hashes are taken.
@@ -60,8 +63,8 @@ def _vectors(rows: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
     return x / np.where(norms > 0, norms, 1)
 
 
-def _length_class(rows: list[np.ndarray]) -> np.ndarray:
-    return np.searchsorted(LENGTHS, np.array([r.sum() for r in rows]), side="right")
+def _length_class(lengths: np.ndarray) -> np.ndarray:
+    return np.searchsorted(LENGTHS, lengths, side="right")
 
 
 def _k_means(x: np.ndarray, seed: int) -> np.ndarray:
@@ -81,42 +84,87 @@ def _has_letter(text: str | None) -> bool:
     return bool(text) and _LETTER.search(text) is not None
 
 
-def fit(docs: DataFrame) -> Model:
+def _drawn(known: DataFrame) -> DataFrame:
+    """``lang`` and ``doc_id`` of at most MAX_ROWS rows per language, those with the smallest hashes.
+
+    A bound on the hash, from the size of the language, leaves about twice as many to be ranked: no task ranks a
+    language whole. Only where chance leaves too few of them are fewer taken.
+    """
+    sizes = known.groupBy("lang").agg(F.count("*").alias("rows"))  # a row per language
+    share = (F.xxhash64("doc_id", F.lit("language")) / float(1 << 64) + 0.5).alias("order")
+    picked = known.select("lang", "doc_id", share).join(F.broadcast(sizes), "lang").where(F.col("order") * F.col("rows") < 2 * MAX_ROWS)
+    by_hash = Window.partitionBy("lang").orderBy("order", "doc_id")
+    return picked.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= MAX_ROWS).select("lang", "doc_id").distinct()
+
+
+def _count_rows(batches):
+    for batch, texts in text_slices(batches):
+        held = [i for i, t in enumerate(texts) if _has_letter(t)]
+        langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
+        ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in held], pa.int64()), pa.array([langs[i] for i in held], pa.string()), pa.array([counts(texts[i]).astype("<u4").tobytes() for i in held], pa.binary())], names=["doc_id", "lang", "counts"])
+
+
+def _own_rows(table: pa.Table) -> list[np.ndarray]:
+    """The counts of a language's rows, in an order of their own; at most MAX_ROWS, but for rows that share an id."""
+    rows = sorted(zip(table.column("doc_id").to_pylist(), table.column("counts").to_pylist(), strict=True))[: 2 * MAX_ROWS]
+    return [np.frombuffer(c, "<u4") for _, c in rows]
+
+
+def _seen(table: pa.Table) -> pa.Table:
+    """In how many of a language's rows each cell occurs."""
+    found = np.zeros(DIMENSIONS, np.int64)
+    rows = _own_rows(table)
+    for row in rows:
+        found += row > 0
+    return pa.table({"lang": pa.array([table.column("lang")[0].as_py()]), "n": pa.array([len(rows)], pa.int64()), "seen": pa.array([found.tobytes()], pa.binary())})
+
+
+def _centres(idf: np.ndarray):
+    """The centroids of a language, and the cosine of each of its rows to the nearest, with its length."""
+
+    def run(table: pa.Table) -> pa.Table:
+        name, rows = table.column("lang")[0].as_py(), _own_rows(table)
+        x = np.vstack([_vectors(rows[at : at + 128], idf) for at in range(0, len(rows), 128)])
+        centres = _k_means(x, zlib.crc32(name.encode())).astype(np.float32)
+        best = (x @ centres.T).max(axis=1).astype("<f4")
+        lengths = np.array([int(r.sum(dtype=np.int64)) for r in rows], "<i8")
+        return pa.table({"lang": pa.array([name]), "centres": pa.array([centres.tobytes()], pa.binary()), "best": pa.array([best.tobytes()], pa.binary()), "lengths": pa.array([lengths.tobytes()], pa.binary())})
+
+    return run
+
+
+def _floors(best: np.ndarray, lengths: np.ndarray) -> tuple[float, ...]:
+    """The lowest cosine that a text of each length class may have. A class with few rows takes the floor of the
+    nearest one with more, the shorter of two."""
+    classes = _length_class(lengths)
+    sizes = np.bincount(classes, minlength=len(LENGTHS) + 1)
+    filled = np.flatnonzero(sizes >= 20) if (sizes >= 20).any() else [int(sizes.argmax())]
+    own = {int(c): float(np.quantile(best[classes == c], 0.001)) * SLACK for c in filled}
+    return tuple(own[min(own, key=lambda f: (abs(f - c), f))] for c in range(len(LENGTHS) + 1))
+
+
+def fit(docs: DataFrame, folder: str | None = None) -> Model:
     """A model from rows with ``text`` and ``lang``; at most MAX_ROWS of each language are used. Rows without
-    letters or language are left out. Without any rows the model knows no language."""
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("lang is not null and text is not null")
-    by_hash = Window.partitionBy("lang").orderBy("order", "doc_id")  # row_number() <= n runs as a group limit
-    picked = known.select("lang", "doc_id", F.xxhash64("doc_id", F.lit("language")).alias("order")).where("doc_id is not null")
-    picked = picked.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= MAX_ROWS).select("lang", "doc_id").distinct()
-
-    def count_rows(batches):
-        for batch, texts in text_slices(batches):
-            held = [i for i, t in enumerate(texts) if _has_letter(t)]
-            langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
-            ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in held], pa.int64()), pa.array([langs[i] for i in held], pa.string()), pa.array([counts(texts[i]).astype("<u2", casting="unsafe").tobytes() for i in held], pa.binary())], names=["doc_id", "lang", "counts"])
+    letters, id or language are left out. Without any rows the model knows no language.
 
+    Each language is clustered in a task of its own. The driver gets per language its centroids, one count per cell
+    and a cosine per row: some hundred kilobytes. ``folder`` must be shared by all executors.
+    """
+    spark, folder = docs.sparkSession, folder or new_workspace(docs.sparkSession, "language")
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("lang is not null and text is not null and doc_id is not null")
     # the picked ids are few, by the bound on rows and the number of languages
-    rows = known.join(F.broadcast(picked), ["lang", "doc_id"]).select("doc_id", "lang", "text").mapInArrow(count_rows, "doc_id long, lang string, counts binary")
-    rows = sorted(rows.collect(), key=lambda r: (r["lang"], r["doc_id"], bytes(r["counts"])))
-    if not rows:
+    rows = known.join(F.broadcast(_drawn(known)), ["lang", "doc_id"]).select("doc_id", "lang", "text").mapInArrow(_count_rows, "doc_id long, lang string, counts binary")
+    rows = stored(rows, f"{folder}/rows")
+    per_language = rows.groupBy("lang").applyInArrow(_seen, "lang string, n long, seen binary").collect()
+    if not per_language:
         return Model((), b"", b"", (), ())
-    vectors = [np.frombuffer(r["counts"], "<u2").astype(np.int64) for r in rows]
-    seen = np.array([v > 0 for v in vectors]).sum(axis=0)
-    idf = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
-    x = _vectors(vectors, idf)
-    languages = tuple(sorted({r["lang"] for r in rows}))
-    own = np.array([languages.index(r["lang"]) for r in rows])
-    centres, owners = [], []
-    for index in range(len(languages)):
-        found = _k_means(x[own == index], index)
-        centres.append(found)
-        owners += [index] * len(found)
-    centres = np.vstack(centres).astype(np.float32)
-    best = np.array([(x[i] @ centres[np.array(owners) == own[i]].T).max() for i in range(len(x))])
-    lengths = _length_class(vectors)
-    floors = [float(np.quantile(best[lengths == c], 0.001)) * SLACK if (lengths == c).sum() >= 20 else 0.0 for c in range(len(LENGTHS) + 1)]
-    return Model(languages, idf.tobytes(), centres.tobytes(), tuple(owners), tuple(floors))
+    n, seen = sum(r["n"] for r in per_language), sum(np.frombuffer(r["seen"], np.int64) for r in per_language)
+    idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
+    found = sorted(rows.groupBy("lang").applyInArrow(_centres(idf), "lang string, centres binary, best binary, lengths binary").collect(), key=lambda r: r["lang"])
+    owners = [i for i, r in enumerate(found) for _ in range(len(r["centres"]) // (4 * DIMENSIONS))]
+    best, lengths = np.concatenate([np.frombuffer(r["best"], "<f4") for r in found]), np.concatenate([np.frombuffer(r["lengths"], "<i8") for r in found])
+    return Model(tuple(r["lang"] for r in found), idf.tobytes(), b"".join(r["centres"] for r in found), tuple(owners), _floors(best, lengths))
 
 
 @lru_cache(maxsize=2)
@@ -145,7 +193,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 cosines = _vectors(rows, idf) @ centres.T
                 nearest = cosines.argmax(axis=1)
                 language[mine], score[mine] = owners[nearest], np.clip(cosines.max(axis=1), 0, 1)
-                rejected[mine] = score[mine] < floors[_length_class(rows)]
+                rejected[mine] = score[mine] < floors[_length_class(np.array([r.sum() for r in rows]))]
             return {"lang_pred": names[language].tolist(), "score": score, "rejected": rejected}
 
         return columns
