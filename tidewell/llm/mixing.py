@@ -25,7 +25,7 @@ MOST_PASSES = 3
 #: Words of a budget that are left to the dynamic programme; more where the documents that remain are longer.
 WINDOW = 1 << 15
 #: Documents of one source and length that are ranked together, on average.
-SLICE_ROWS = 4096
+SLICE_ROWS = 512
 #: Parts that the documents of one length are dealt to when they meet their plan.
 SALTS = 16
 #: Parts of the ordered list of sources.
@@ -160,7 +160,8 @@ def mix(docs: DataFrame, folder: str, seed: int = 1) -> DataFrame:
 
     salts = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnsRenamed({"source": "_source", "size": "_size"})
     same = one & (F.col("size") == F.col("_size")) & (F.pmod(F.xxhash64("order"), F.lit(SALTS)) == F.col("salt"))
-    planned = sized.join(salts, same).drop("_source", "_size", "salt")
+    # sorted and merged: the size of the plan's files says little of what a broadcast would take
+    planned = sized.join(salts.hint("merge"), same).drop("_source", "_size", "salt")
     slices = F.ceil(F.col("docs") / SLICE_ROWS)
     slice_of = F.floor((F.shiftrightunsigned("order", 11) / F.lit(float(1 << 53))) * slices).alias("slice")  # of equal width
     planned = planned.select("*", slice_of)
