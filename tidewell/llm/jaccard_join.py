@@ -208,10 +208,13 @@ def classes(docs: DataFrame, folder: str) -> DataFrame:
     shared = entries.repartition("shingle").sortWithinPartitions("shingle", "set_id").mapInArrow(_shared, "shingle long, set_id long, n int, place int")
     shared = stored(shared, f"{folder}/shared")
 
-    wanted = members.join(shared.select("set_id").distinct(), "set_id", "left_semi").groupBy("set_id").agg(F.min("key").alias("key"))
-    texts = keyed.select("key", "text").join(wanted, "key").select("set_id", "text")
-    sets = texts.mapInArrow(_sets, "set_id long, n int, parts array<int>, shingles binary").dropDuplicates(["set_id"])
-    sets = stored(sets, f"{folder}/sets")
+    wanted = members.join(shared.select("set_id").distinct(), "set_id", "left_semi").groupBy("set_id", "key").agg(F.count("*").alias("times"))
+    wanted = wanted.groupBy("set_id").agg(F.min(F.struct("key", "times")).alias("one")).select("set_id", "one.*")
+    texts = keyed.select("key", "text").join(wanted, "key").select("set_id", "times", "text")
+    whole = lambda rows: rows.select("set_id", "text").mapInArrow(_sets, "set_id long, n int, parts array<int>, shingles binary")
+    # a set comes from one row; only rows that share id and text bring it several times
+    once, often = whole(texts.where("times = 1")), whole(texts.where("times > 1")).dropDuplicates(["set_id"])
+    sets = stored(once.unionByName(often), f"{folder}/sets")
 
     groups = shared.select(F.col("shingle").alias("key"), F.col("set_id").alias("id"), "n", "place")
     labels = linked_groups(groups, POSSIBLE, lambda pairs: _verified(pairs, sets), folder, PIVOT_ROUNDS, "place")
