@@ -17,6 +17,7 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -187,9 +188,24 @@ def _summed_rows(rows: np.ndarray, gradients: np.ndarray) -> tuple[np.ndarray, n
     return ordered[starts], np.add.reduceat(gradients[order], starts, axis=0)
 
 
-def _classified(listed: list[list[bytes]], classes: dict[bytes, int]) -> np.ndarray:
+class _Classes(dict):
+    """The class of every word: its own, or that of its shape, which is remembered."""
+
+    def __init__(self, own: dict[bytes, int]):
+        super().__init__(own)
+        self.own = own
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= COUNTER_WORDS:
+            self.clear()
+            self.update(self.own)
+        found = self[word] = self.own[word] if word in self.own else shape(word)
+        return found
+
+
+def _classified(listed: list[list[bytes]], classes: _Classes) -> np.ndarray:
     """Classes of the tokens of some texts, one text after the other."""
-    return np.array([classes[w] if w in classes else shape(w) for words in listed for w in words], np.int32)
+    return np.fromiter(map(classes.__getitem__, chain.from_iterable(listed)), np.int32, sum(map(len, listed)))
 
 
 def _contexts(own: np.ndarray, lengths: list[int], start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,7 +225,8 @@ def train(texts: DataFrame, statistics: Statistics) -> Model:
     shared = texts.sparkSession.sparkContext.broadcast((statistics.classes, statistics.class_counts))
 
     def learn(batches):
-        classes, class_counts = shared.value
+        own_classes, class_counts = shared.value
+        classes = _Classes(own_classes)
         model, draw, seen = Model(class_counts), np.random.default_rng(TaskContext.get().partitionId()), 0
         for _, own in text_slices(batches):
             listed = [tokens(t) for t in own]
@@ -257,7 +274,8 @@ def score(docs: DataFrame, counts: DataFrame, statistics: Statistics, model: Mod
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("lm", pa.float64()), ("word", pa.binary()), ("times", pa.int64())])
 
     def look_up(batches):
-        classes, logs, norms, by_last, by_before, normalisers = shared.value
+        own_classes, logs, norms, by_last, by_before, normalisers = shared.value
+        classes = _Classes(own_classes)
         row = TaskContext.get().partitionId() << 40
         for batch, texts in text_slices(batches):
             listed = [tokens(t) for t in texts]
@@ -267,7 +285,7 @@ def score(docs: DataFrame, counts: DataFrame, statistics: Statistics, model: Mod
             logs10 = (by_last[last, own] + by_before[before, own] - normalisers[before, last]).astype(float) / math.log(10)
             of_shape = own < SHAPES
             logs10[of_shape] -= norms[own[of_shape]]
-            of_count = np.fromiter((logs.get(w, np.nan) for words in listed for w in words), float, len(own))
+            of_count = np.fromiter(map(logs.get, chain.from_iterable(listed), repeat(np.nan)), float, len(own))
             rare = np.isnan(of_count)
             of_count[rare] = 0.0
             begins = np.cumsum([0, *lengths[:-1]])
