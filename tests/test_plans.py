@@ -15,7 +15,7 @@ from tidewell.sources import sensor_views as views
 
 SF = "/root/testdata/sf0.001"
 EAGER = {
-    "json_scan_typed", "json_array_split", "gold_incremental", "upsert_single_key", "upsert_composite_key", "table_create_replace", "quarantine_append",
+    "json_scan_typed", "json_array_split", "gold_incremental", "silver_stream", "gold_stream", "colocated_recovery", "zordered_table", "upsert_single_key", "upsert_composite_key", "table_create_replace", "quarantine_append",
     "gold_from_silver", "recovery_then_vs_now", "compacted_table", "cohort_benchmarks", "level_benchmarks",
     "profile_scan", "late_sensor", "gold_export", "quality_report",
     "performance_tiers", "percent_rank_scaled",
@@ -88,6 +88,7 @@ def test_no_python_and_no_product_in_any_plan(spark, name):
         "component_correlations", "ols_strain_recovery", "pass_rate", "quality_gate", "quality_gate_summary",
         "recovery_state_distribution", "rejection_rate", "run_stats", "sleep_tier_share", "recovery_last_7d",
         "strain_category_distribution", "recovery_last_30d", "training_phase_means", "user_date_slice", "user_date_uniqueness",
+        "sketched_quartiles",
     }
 
 

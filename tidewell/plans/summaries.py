@@ -50,13 +50,14 @@ def merged_quantiles(sketches: DataFrame, by: Sequence[str], shares: dict[str, f
 
 
 def ranks_of(rows: DataFrame, value: str, quantiles: DataFrame, shares: dict[str, float]) -> DataFrame:
-    """Per share of one row of quantiles: the exact shares of values below it, and at or below it."""
-    long = quantiles.unpivot([], list(shares), "name", "quantile")
-    known = rows.where(F.col(value).isNotNull()).select(F.col(value).alias("_value"))
-    beside = known.join(F.broadcast(long), F.lit(True))  # a row per share asked for
-    ranks = beside.groupBy("name").agg(F.avg((F.col("_value") < F.col("quantile")).cast("double")).alias("below"), F.avg((F.col("_value") <= F.col("quantile")).cast("double")).alias("up_to"))
-    asked = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
-    return ranks.select("name", asked[F.col("name")].alias("share"), "below", "up_to")
+    """Per share of one row of quantiles: the exact shares of values below it, and at or below it, in one pass."""
+    found = quantiles.first()  # a number per share
+    at = {name: F.lit(found[name] if found else None).cast("double") for name in shares}
+    mean = lambda condition: F.avg(condition.cast("double"))
+    known = rows.where(F.col(value).isNotNull())
+    one = known.agg(*(mean(F.col(value) < q).alias(f"below_{n}") for n, q in at.items()), *(mean(F.col(value) <= q).alias(f"up_to_{n}") for n, q in at.items()))
+    told = [F.struct(F.lit(n).alias("name"), F.lit(share).alias("share"), F.col(f"below_{n}").alias("below"), F.col(f"up_to_{n}").alias("up_to")) for n, share in shares.items()]
+    return one.select(F.inline(F.array(*told)))
 
 
 def numbered(users: DataFrame, known: DataFrame | None = None) -> DataFrame:
