@@ -235,3 +235,38 @@ def test_short_lines_at_the_threshold_are_found(spark, workspace):
     word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
     lines = [" ".join(word() for _ in range(5)) for _ in range(400)]
     assert share_linked(spark, workspace, [(line, f"{word()} {line}") for line in lines]) >= 0.93
+
+
+def test_jaccard_with_blocks_of_few_sets(spark, workspace, copies, monkeypatch):
+    docs = spark.createDataFrame(copies * 2, "doc_id long, text string").repartition(5)
+    want = {(i, n, c) for i, n, c in jaccard_join.classes(docs, workspace).collect()}
+    monkeypatch.setattr(jaccard_join, "OWNED", 16)
+    got = jaccard_join.classes(docs, f"{workspace}-few", block_sets=7).collect()
+    assert len(got) == 2 * len(copies) and {tuple(r) for r in got} == want
+
+
+def test_blocks_get_their_shared_shingles_or_give_all(tmp_path, copies):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    order = SimpleNamespace(value=np.zeros(jaccard_join.BUCKETS, np.int64))
+    texts = [t for _, t in copies]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[i::3]}) for i in range(3)]
+
+    def found(folder):
+        rows = [r for b in batches for out in jaccard_join._apply(order, folder, 9)([b]) for r in out.to_pylist()]
+        return sorted((r["shingle"], r["set_id"], r["n"], r["place"]) for r in rows if r["shingle"] is not None)
+
+    everything = found(f"file://{tmp_path}")
+    sent = pa.Table.from_batches([out for b in batches for out in jaccard_join._send(order, 4, 9)([b])]).to_pandas()
+    answers = [jaccard_join._answer(pa.Table.from_pandas(g, preserve_index=False)) for _, g in sent.groupby(["kind", "owner"])]
+    answers = pa.concat_tables([a.cast(answers[0].schema) for a in answers]).to_pandas()
+    for _, g in answers.groupby("block"):
+        jaccard_join._keep(f"file://{tmp_path}")(pa.Table.from_pandas(g, preserve_index=False))
+    some = found(f"file://{tmp_path}")
+    sets = defaultdict(set)
+    for shingle, set_id, _, _ in everything:
+        sets[shingle].add(set_id)
+    assert set(some) >= {r for r in everything if len(sets[r[0]]) > 1} and set(some) <= set(everything)
+    assert len(some) == len(set(some)) < len(set(everything)) < len(everything)  # each set comes from one block
