@@ -61,23 +61,24 @@ def linked_groups(shared: DataFrame, possible: str, verify: Callable[[DataFrame]
     spark, kept = shared.sparkSession, shared.columns
     labels = spark.createDataFrame([], "id long, label long")
     tried = spark.createDataFrame([], "a long, b long")
-    turn = 0
+    row = F.struct(*[c for c in kept if c != "key"], "label")
+    now, turn = shared.withColumn("label", F.col("id")), 0
     while True:
-        now = shared.join(labels, "id", "left").select(*kept, F.coalesce("label", "id").alias("label"))
-        row = F.struct(*[c for c in kept if c != "key"], "label")
         pivots = now.groupBy("key").agg(
             F.min(F.struct(F.expr(central if turn < 2 else "0").alias("rank"), F.xxhash64("id", F.lit(turn)).alias("order"), row.alias("row"))).alias("first"),
             F.min("label").alias("low"),
             F.max("label").alias("high"),
         )
-        pivots = pivots.where("low < high").select("key", "first.row.*")
+        # a key whose members are in one component is done for good: the next rounds read the other ones only
+        opened = now.join(pivots.where("low < high").select("key", F.col("first.row").alias("pivot")), "key")
+        opened = stored(opened.select("key", row.alias("x"), F.col("pivot").alias("y")), f"{folder}/open-{turn}")
         if turn < rounds:
-            against, apart = pivots, "x.label <> y.label"
+            found = opened.where(f"x.label <> y.label and {possible}")
         else:
-            against, apart = now.join(pivots.select("key"), "key", "left_semi"), "x.label < y.label"
-        found = now.alias("x").join(against.alias("y"), "key").where(f"{apart} and {possible}")
+            found = opened.select("key", "x").join(opened.select("key", F.col("x").alias("y")), "key").where(f"x.label < y.label and {possible}")
         pairs = found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), f"{folder}/pairs-{turn}")
+        now = opened.select("key", "x.*")
         if pairs.isEmpty():
             if turn >= rounds:
                 return labels
@@ -94,4 +95,6 @@ def linked_groups(shared: DataFrame, possible: str, verify: Callable[[DataFrame]
         if turn >= rounds:
             return labels
         tried = tried.union(pairs)
+        again = now.drop("label").join(labels, "id", "left").select(*kept, F.coalesce("label", "id").alias("label"))
         turn += 1
+        now = stored(again, f"{folder}/now-{turn}")  # read twice
