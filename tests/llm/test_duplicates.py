@@ -151,7 +151,7 @@ def line_sets(rows):
         for at, line in enumerate((text or "").split("\n")):
             line = line.strip(" \t\r\x0b\x0c").lower()
             if len(line) >= line_dedup.MIN_CHARS:
-                sets[doc_id, at] = frozenset(m.group(1) for m in re.finditer(rf"(?<![^ ])(?=([^ ].{{0,{line_dedup.SHINGLE - 1}}}))", line))
+                sets[doc_id, at] = frozenset(line[i : i + line_dedup.CHARS] for i in range(len(line) - line_dedup.CHARS + 1))
     return sets
 
 
@@ -171,7 +171,7 @@ def test_line_classes_are_those_of_brute_force(spark, workspace):
     got = {(r.doc_id, r.line_no): r for r in line_dedup.line_classes(spark.createDataFrame(rows, "doc_id long, text string"), workspace).collect()}
     assert set(got) == set(sets) and links > 100
     wrong = [k for k in sets if (got[k].class_doc_id, got[k].class_line_no) != union.find(k)]
-    assert len(wrong) <= 0.03 * len(sets), wrong  # banding finds a pair at the threshold with probability 0.99
+    assert len(wrong) <= 0.03 * len(sets), wrong  # banding finds a pair at the threshold with probability 0.96, one at 0.85 with 0.99
     assert all(r.kept == ((r.doc_id, r.line_no) == (r.class_doc_id, r.class_line_no)) for r in got.values())
     # what is linked is linked by true links only
     assert all(union.find((r.class_doc_id, r.class_line_no)) == union.find(k) for k, r in got.items())
