@@ -25,11 +25,15 @@ LENGTH = 2048
 DIMENSIONS, GRID_BITS = 4, 8
 #: Rows of the projection; ids beyond share rows.
 PROJECTION_ROWS = 1 << 16
+#: Bytes of ids in a range, so that a task's work stays the same at any input size; fewer on small inputs, so that all
+#: cores have one, but not so few that the padding at a range's end counts.
+RANGE_BYTES, LEAST_RANGE = 64 << 20, 4 << 20
 
 
 @lru_cache(maxsize=1)
 def _projection() -> np.ndarray:
-    return np.random.default_rng(20240101).standard_normal((PROJECTION_ROWS, DIMENSIONS), np.float32)
+    """A row of values per dimension."""
+    return np.random.default_rng(20240101).standard_normal((DIMENSIONS, PROJECTION_ROWS), np.float32)
 
 
 def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
@@ -56,10 +60,13 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def curve_keys(ids: list[np.ndarray]) -> np.ndarray:
-    """The curve positions of documents."""
-    table = _projection()
-    vectors = np.array([table[i & (PROJECTION_ROWS - 1)].sum(axis=0) for i in ids]).reshape(len(ids), DIMENSIONS)
+def curve_keys(ids: list[bytes]) -> np.ndarray:
+    """The curve positions of documents, each of at least one id."""
+    if not ids:
+        return np.zeros(0, np.int64)
+    starts = np.cumsum([0, *(len(i) // 4 for i in ids[:-1])])
+    rows = np.frombuffer(b"".join(ids), "<u4") & (PROJECTION_ROWS - 1)
+    vectors = np.stack([np.add.reduceat(values.take(rows), starts) for values in _projection()], axis=1).astype(np.float64)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     return hilbert_index(np.clip((vectors + 1) / 2 * (1 << GRID_BITS), 0, (1 << GRID_BITS) - 1), GRID_BITS)
 
@@ -103,13 +110,16 @@ def pack(docs: DataFrame, path: str, folder: str, end_id: int, length: int = LEN
 
         def columns(texts: list) -> dict:
             ids = [own + end for own in encoder.many(texts)]
-            return {"ids": ids, "key": curve_keys([np.frombuffer(own, "<u4") for own in ids])}
+            return {"ids": ids, "key": curve_keys(ids)}
 
         return columns
 
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("key", pa.int64())])
-    # written once: sorting by range reads it twice
-    coded = stored(documents_only(docs).mapInArrow(over_texts(make, schema), "doc_id long, ids binary, key long"), f"{folder}/coded")
-    order = [F.col("key"), F.xxhash64("ids"), F.col("doc_id")]
-    ordered = coded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+    # written once: sorting by range reads the order twice, and the ranges follow the size
+    coded = documents_only(docs).mapInArrow(over_texts(make, schema), "doc_id long, ids binary, key long")
+    coded = stored(coded.withColumns({"tie": F.xxhash64("ids"), "size": F.octet_length("ids").cast("long")}), f"{folder}/coded")
+    size = coded.agg(F.sum("size")).first()[0] or 0
+    ranges = max(1, min(docs.sparkSession.sparkContext.defaultParallelism, size // LEAST_RANGE), size // RANGE_BYTES)
+    order = ["key", "tie", "doc_id"]
+    ordered = coded.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("doc_id", "ids")
     return ordered.mapInArrow(_cut(length), "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long")

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import regex
 
-#: Words and word parts remembered by a worker. A full memory is emptied, which changes no result.
+#: Words and word parts remembered by a worker, in two halves.
 MAX_WORDS = 700_000
 MAX_PARTS = 300_000
 #: Longer words are not kept.
@@ -24,7 +24,8 @@ LONGEST = 64
 #: How the tokenizer splits a word; a fixed value of its file, here for letters below U+0250.
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-_SIMPLE = regex.compile(r"[!-~¡-ÿĀ-įĲ-ɏ]+")
+#: Characters that no normalisation touches and whose lower case does not depend on their neighbours.
+_SIMPLE = re.compile(r"[!-~¡-ÿĀ-įĲ-ɏ]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -35,6 +36,28 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class _Memory:
+    """Values by key. A full newer half becomes the older one; what is asked for again moves back from there, so words
+    that recur stay when the many that do not are dropped. What is forgotten changes no result."""
+
+    def __init__(self, most: int):
+        self.half, self.new, self.old = most // 2, {}, {}
+
+    def turn(self, asked: Callable[[], set]) -> dict:
+        """The newer half, which is what a batch of work reads and fills. If it was full, it starts with what is ``asked``
+        for now."""
+        if len(self.new) >= self.half:
+            self.old, self.new = self.new, {}
+            self.recall(asked())
+        return self.new
+
+    def recall(self, keys: set) -> list:
+        """Moves ``keys`` to the newer half; returns those that neither half has."""
+        found = keys & self.old.keys()
+        self.new.update((k, self.old[k]) for k in found)
+        return list(keys - found)
+
+
 class WordIds:
     """Calling it with a text gives the ids as little-endian 32-bit bytes."""
 
@@ -46,8 +69,7 @@ class WordIds:
         self.merges = Tokenizer(self.full.model)  # the same merges, without normalising and splitting
         self.letters = _byte_letters()
         self.special = "<|"
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = _Memory(MAX_WORDS), _Memory(MAX_PARTS)
 
     def _split(self, word: str) -> list[str] | None:
         """The parts of a word as the tokenizer splits it, in byte-level letters; None where only the library knows."""
@@ -57,21 +79,20 @@ class WordIds:
             if self.special in word or not word.isprintable():
                 return None
             return _ASCII_PARTS.findall(word.lower())
-        if self.special in word or not _SIMPLE.fullmatch(word) or not unicodedata.is_normalized("NFC", word):
+        if not _SIMPLE.fullmatch(word) or self.special in word:
             return None
-        parts = _PARTS.findall("".join(map(str.lower, word)))
+        parts = [word.lower()] if word.isalpha() else _PARTS.findall(word.lower())
         return [p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in parts]
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words not met before."""
-        if len(self.parts) >= MAX_PARTS:
-            self.parts.clear()
         texts = [w.decode() for w in words]
         split = [self._split(t) if len(t) <= LONGEST else None for t in texts]
-        fresh = list({p for parts in split if parts for p in parts if p not in self.parts})
+        parts_now = {p for parts in split if parts for p in parts}
+        known, learnt = self.parts.turn(lambda: parts_now), {}
+        fresh = self.parts.recall(parts_now - known.keys())
         for part, made in zip(fresh, self.merges.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.parts[part] = array("I", made.ids).tobytes()
-        known, learnt = self.parts, {}
+            known[part] = array("I", made.ids).tobytes()
         for word, text, parts in zip(words, texts, split, strict=True):
             if parts is None:
                 learnt[word] = array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes()
@@ -81,19 +102,25 @@ class WordIds:
                 learnt[word] = b"".join([known[p] for p in parts])
         return learnt
 
+    def _words(self, text: str) -> list[bytes]:
+        """The words of a text, split at ASCII white space only. A-Z are lower-cased, as the tokenizer does, where no
+        accent (U+0300 to U+033F) could join the letter first and no special token stand in the text."""
+        data = text.encode()
+        return (data if b"\xcc" in data or b"<|" in data else data.lower()).split()
+
     def many(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit bytes; none for NULL. Texts should be few megabytes together."""
-        words = self.words
-        if len(words) >= MAX_WORDS:
-            words.clear()
-        listed = [text.encode().split() if text else [] for text in texts]  # bytes split at ASCII white space only
+        listed = [self._words(text) if text else [] for text in texts]
+        words = self.words.turn(lambda: set().union(*listed))
         found = [list(map(words.get, one)) for one in listed]
         gaps = [(n, at) for n, ids in enumerate(found) if None in ids for at, x in enumerate(ids) if x is None]
         if gaps:
-            learnt = self._learn(list({listed[n][at] for n, at in gaps}))
-            for n, at in gaps:
-                found[n][at] = learnt[listed[n][at]]
+            fresh = self.words.recall({listed[n][at] for n, at in gaps})
+            learnt = self._learn(fresh)
             words.update((w, ids) for w, ids in learnt.items() if len(w) <= LONGEST)
+            for n, at in gaps:
+                word = listed[n][at]
+                found[n][at] = words[word] if word in words else learnt[word]
         return [b"".join(ids) for ids in found]
 
     def __call__(self, text: str) -> bytes:
