@@ -27,7 +27,7 @@ DIMENSIONS, GRID_BITS = 4, 8
 PROJECTION_ROWS = 1 << 16
 #: Bytes of ids in a range, so that a task's work stays the same at any input size; fewer on small inputs, so that all
 #: cores have one, but not so few that the padding at a range's end counts.
-RANGE_BYTES, LEAST_RANGE = 64 << 20, 4 << 20
+RANGE_BYTES, LEAST_RANGE = 16 << 20, 4 << 20
 
 
 @lru_cache(maxsize=1)

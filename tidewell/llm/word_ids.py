@@ -16,7 +16,7 @@ from functools import lru_cache
 import regex
 
 #: Words and word parts remembered by a worker, in two halves.
-MAX_WORDS = 700_000
+MAX_WORDS = 600_000
 MAX_PARTS = 300_000
 #: Longer words are not kept.
 LONGEST = 64
