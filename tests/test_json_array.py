@@ -8,8 +8,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidewell import schemas
+from tidewell import queries, schemas
 from tidewell.sources import json_array
+from tidewell.sources import sensor_views as views
 from tidewell.sources.json_feed import MALFORMED, read_feed
 
 LAYOUT = schemas.SKIN_TEMP
@@ -92,6 +93,25 @@ def test_several_tasks_read_one_file(spark, workspace):
     assert parsed.count() == 400 and stored.where(f"kind = {json_array.FRAGMENT}").count() > 2
 
 
+def test_splits_grow_with_the_file(spark, workspace):
+    """The size asked for is the least one: no more than so many splits per core."""
+    write(spark, workspace, json.dumps(list(records(4000))))
+    with json_array._fixed_splits(spark, 256):
+        blocks = json_array._pieces(spark, [workspace]).select("block").distinct().count()
+    assert blocks <= json_array._SPLITS_PER_CORE * spark.sparkContext.defaultParallelism + 1
+
+
+def test_deliveries_of_several_files(spark, workspace, monkeypatch):
+    """Every record is delivered, the smallest one as often as it is there."""
+    columns = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    events = spark.range(2000).selectExpr("greatest(id, 5) as event_id", "timestamp_ntz'2024-01-01 10:00:00' as ts", "if(id < 5, 1, 2 + id % 7) as user_id", "'view' as event_type", "if(id < 5, 1, id) / 8 as value", "'' as props")
+    events.to(events.sparkSession.createDataFrame([], columns).schema).write.parquet(f"{workspace}/events.parquet")
+    want = rows(views.hrv_raw(spark, workspace).select(*schemas.HRV.names))
+    monkeypatch.setattr(queries, "_ARRAY_RECORDS", 900)
+    got = queries.json_array_split(spark, workspace)
+    assert rows(got) == want and len(want) == 2000
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet='a"\\{}[]é', max_size=40), st.booleans())
 def test_structure_by_a_plain_walk(text, inside):

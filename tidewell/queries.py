@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,17 +125,21 @@ def json_scan_typed(spark: SparkSession, sf: str) -> DataFrame:
     return read_feed(spark, f"{path}/*", schemas.HRV)
 
 
+#: Records of an array file that one task writes.
+_ARRAY_RECORDS = 250_000
+
+
 def json_array_split(spark: SparkSession, sf: str) -> DataFrame:
-    """All HRV records delivered as one array in a single file, read by many tasks."""
+    """All HRV records delivered as one array in a single file, or in a file per 250,000 records, each read by many tasks."""
     path, raw = f"{new_workspace(spark, 'array')}/hrv.json", views.hrv_raw(spark, sf).select(*HRV_COLUMNS)
     note = F.struct(F.concat(F.lit('ends in }, "{'), F.col("date")).alias("text"), F.array(F.struct(F.lit(1).alias("deep"))).alias("more"))
-    records = raw.select(F.to_json(F.struct(*HRV_COLUMNS, note.alias("note"))).alias("value"))
-    least = records.agg(F.min("value").alias("value"))
-    first = least.select(F.lit(0).alias("place"), F.concat(F.lit("["), "value").alias("value"))
-    others = records.where(F.col("value") > least.scalar()).select(F.lit(1).alias("place"), F.concat(F.lit(", "), "value").alias("value"))
-    end = spark.range(1).select(F.lit(2).alias("place"), F.lit("]").alias("value"))
-    ordered = first.unionByName(others).unionByName(end).coalesce(1).sortWithinPartitions("place")
-    ordered.select("value").write.option("lineSep", " ").text(path)
+    files = max(1, raw.count() // _ARRAY_RECORDS)
+    records = raw.select(F.to_json(F.struct(*HRV_COLUMNS, note.alias("note"))).alias("value"), F.monotonically_increasing_id().alias("place"))
+    in_file = Window.partitionBy("file").orderBy("place")
+    before = F.when(F.row_number().over(in_file) == 1, "[").otherwise(", ")
+    after = F.when(F.lead("place").over(in_file).isNull(), " ]").otherwise("")
+    written = records.withColumn("file", F.col("place") % files).select("file", F.concat(before, "value", after).alias("value"))
+    written.write.option("lineSep", " ").partitionBy("file").text(path)
     return read_feed(spark, path, schemas.HRV, split_bytes=1 << 18)
 
 

@@ -24,16 +24,25 @@ QUOTE, BACKSLASH = 34, 92
 _STEP = np.zeros(256, np.int8)
 _STEP[[ord("{"), ord("[")]], _STEP[[ord("}"), ord("]")]] = 1, -1
 _BLANK = b" \t\r\n"
+#: Splits per core where files are large: enough to keep cores busy, few enough that starting them does not count.
+_SPLITS_PER_CORE = 32
 #: What the second pass gives out.
 RECORD, FRAGMENT, FOREIGN = 0, 1, 2
 
 
 @contextmanager
 def _fixed_splits(spark: SparkSession, split_bytes: int | None):
-    """Both passes cut files in the same places, whatever the cluster does meanwhile."""
-    wanted = {"spark.sql.files.minPartitionNum": str(spark.sparkContext.defaultParallelism)}
+    """Both passes cut files in the same places, whatever the cluster does meanwhile. ``split_bytes`` is the least of a
+    split: larger files have larger ones, up to what the session reads in a task, and not more of them."""
+    cores = spark.sparkContext.defaultParallelism
+    wanted = {"spark.sql.files.minPartitionNum": str(cores)}
     if split_bytes:
-        wanted["spark.sql.files.maxPartitionBytes"] = wanted["spark.sql.files.openCostInBytes"] = str(split_bytes)
+        most = max(split_bytes, int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()))
+        wanted = {
+            "spark.sql.files.minPartitionNum": str(_SPLITS_PER_CORE * cores),
+            "spark.sql.files.maxPartitionBytes": str(most),
+            "spark.sql.files.openCostInBytes": str(split_bytes),
+        }
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)

@@ -27,13 +27,14 @@ def files_by_layout(spark: SparkSession, path: str) -> tuple[list[str], dict[str
     """The files of a feed with one record per line, and those that are one JSON array, with their size.
 
     The first character that is not blank decides, for each file by itself; all the driver sees of a file is its
-    name and that character. A file that starts with neither fails: nothing of it could be read as a record.
+    name and that character. A file that starts with neither fails: nothing of it could be read as a record. Text is
+    cut after closing braces: an array may be a single line.
     """
-    lines = spark.read.text(path).select(
+    lines = spark.read.option("lineSep", "}").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("place"),
         F.col("_metadata.file_size").alias("size"),
-        F.substring(F.ltrim("value"), 1, 1).alias("first"),
+        F.substring(F.ltrim("value", F.lit(" \r\n")), 1, 1).alias("first"),
     )
     firsts = lines.where("first <> ''").groupBy("file").agg(F.min_by("first", "place").alias("first"), F.max("size").alias("size")).collect()
     odd = sorted(r["file"] for r in firsts if r["first"] not in "{[")
@@ -54,8 +55,9 @@ def read_feed(
 
     A feed that declares its layout is read in one pass. Without a declaration, its files are told apart first,
     and a folder may mix both kinds. Record-per-line files split over tasks; so do array files of more than
-    ``split_bytes`` (by default what the session reads in a task), smaller ones are a task each. NaN becomes NULL on
-    the way in: it would compare above every limit later on.
+    ``split_bytes`` (by default what the session reads in a task), smaller ones are a task each. Splits have
+    ``split_bytes`` at least, more where that would make very many. NaN becomes NULL on the way in: it would compare
+    above every limit later on.
 
     With ``keep_malformed``, text that is no record stays in the column ``_malformed``, for the quarantine;
     otherwise such a record has NULL in every column.
