@@ -1,8 +1,10 @@
 """Streams started anew for every delivery give what a batch run gives."""
 
+import copy
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from tidewell.plans import gold, incremental, silver
 from tidewell.plans.pipeline import Lakehouse
 from tidewell.sources.json_feed import write_records
 from tidewell.streaming import silver_stream
-from tidewell.streaming.gold_stream import stream_gold
+from tidewell.streaming.gold_stream import _FRESH, DAY_MS, History, group_frames, stream_gold
 from tidewell.streaming.silver_stream import stream_silver, take_batch
 
 FIRST = dt.date(2024, 1, 1)
@@ -119,3 +121,47 @@ def test_gold_stream_equals_batch(spark, workspace, seed):
     assert plain(incremental.read_gold(house, "sleep_analytics").select(*figures)) == plain(gold.sleep_metrics(nights.where(closed)).select(*figures))
     stream_gold(house)  # nothing new
     assert plain(incremental.read_gold(house, "daily_recovery").select(*recovery.columns)) == plain(recovery)
+
+
+class State:
+    """The state of one group, with a watermark of the test's choice."""
+
+    exists, get, timer = False, (None,), None
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+    def setTimeoutTimestamp(self, at):
+        assert at > self.watermark
+        self.timer = at
+
+
+def test_many_users_in_one_step():
+    """One step brings up all users of a group as each by itself, and by a timer those that deliver no more."""
+    r, state, alone, got, want = random.Random(3), State(), {}, [], []
+    for turn in range(6):
+        days = range(4 * turn, 4 * turn + 4)
+        batch = [(f"u{u}", d, kind, r.uniform(20, 90), r.uniform(70, 99), r.uniform(45, 70)) for u in range(60) for d in days for kind in ("hrv", "sleep") if u % 3 or turn < 2]
+        state.watermark = max(0, days[0] - 2) * DAY_MS
+        got += [f for f in group_frames((7,), [pd.DataFrame(batch, columns=["user_id", "day", "kind", "a", "b", "c"])] if turn < 4 else [], state)]
+        for user, day, kind, a, b, c in batch if turn < 4 else []:
+            alone.setdefault(user, History(copy.deepcopy(_FRESH))).hold(day, **({"sleep": [a, b, c]} if kind == "sleep" else {"hrv": a}))
+        want += [{"user_id": user, **row} for user, one in alone.items() for row in one.close(days[0] - 3)]
+    found = pd.concat(got)
+    assert len(got) <= 6 and len(found) == len(want) > 60 * 8
+    columns = ["user_id", "day", "kind", "_recent", "_all", "_debt"]
+    assert repr(found[columns].values.tolist()) == repr(pd.DataFrame(want, columns=found.columns).astype(found.dtypes)[columns].values.tolist())
+
+
+def test_a_timer_is_behind_the_day_that_it_closes():
+    """The watermark stands at the ends of days, and a timer goes off only when it is past."""
+    state = State()
+    state.watermark = 4 * DAY_MS
+    list(group_frames((0,), [pd.DataFrame([("a", 5, "sleep", 7.0, 90.0, 50.0)], columns=["user_id", "day", "kind", "a", "b", "c"])], state))
+    assert state.timer < 6 * DAY_MS
+    state.watermark = 6 * DAY_MS
+    (closed,) = group_frames((0,), [], state)
+    assert closed[["user_id", "day", "kind"]].values.tolist() == [["a", 5, "sleep"]]

@@ -7,7 +7,8 @@ frame; a timer brings a user up whose days close without new rows. Each step ret
 that became final, and again those of rows whose fallback moved; the scores come from the same expressions as in a
 batch run, and rows are merged into the Gold tables by key.
 
-The state of a user has a fixed size but for the days that fall back, usually three.
+The state of a user has a fixed size but for the days that fall back, usually three. Users are stepped in groups by
+their hash, as starting a step costs far more than a user's rows; a step reads and writes the state of its group.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from tidewell.sources.merged_table import delete_path
 from tidewell.streaming.silver_stream import DELAY_DAYS, log_path
 
 DAY_MS = 86_400_000
+#: Groups of users. The state of a stream holds to it, so the place of its progress names it.
+GROUPS = 1024
 _FIGURES = ("_hrv_rows", "_recent", "_recent_spread", "_rhr_rows", "_recent_rhr", "_all", "_all_spread", "_all_rhr", "_debt", "_spread", "_efficiency")
 _OUT = "user_id string, day int, kind string, " + ", ".join(f"{c} double" for c in _FIGURES)
 _NAMES = ["user_id", "day", "kind", *_FIGURES]
@@ -112,23 +115,27 @@ def _known(value) -> float | None:
     return None if value is None or pd.isna(value) else float(value)
 
 
-def user_frames(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The step of one user: take what came, close the days that the watermark has passed."""
-    memory = json.loads(state.get[0]) if state.exists else json.loads(json.dumps(_FRESH))
-    history = History(memory)
+def group_frames(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The step of a group of users: take what came, close the days that the watermark has passed."""
+    memory = json.loads(state.get[0]) if state.exists else {}
     for batch in batches:
         for row in batch.itertuples(index=False):
+            if row.user_id not in memory:
+                memory[row.user_id] = json.loads(json.dumps(_FRESH))
+            history = History(memory[row.user_id])
             if row.kind == "sleep":
                 history.hold(int(row.day), sleep=[_known(row.a), _known(row.b), _known(row.c)])
             else:
                 history.hold(int(row.day), hrv=_known(row.a))
     watermark = state.getCurrentWatermarkMs()
-    found = history.close(watermark // DAY_MS - 1)  # a day closes when the watermark reaches its end
+    until = watermark // DAY_MS - 1  # a day closes when the watermark reaches its end
+    found = [{"user_id": user, **row} for user, own in memory.items() for row in History(own).close(until)]
     state.update((json.dumps(memory),))
-    if memory["pending"]:
-        first = (min(int(d) for d in memory["pending"]) + 1) * DAY_MS
-        state.setTimeoutTimestamp(max(first, watermark + 1))
-    yield pd.DataFrame([{"user_id": key[0], **row} for row in found], columns=_NAMES).astype(dict.fromkeys(_FIGURES, float) | {"day": int})
+    pending = [int(d) for own in memory.values() for d in own["pending"]]
+    if pending:  # a timer goes off when the watermark is behind it
+        state.setTimeoutTimestamp(max((min(pending) + 1) * DAY_MS - 1, watermark + 1))
+    if found:
+        yield pd.DataFrame(found, columns=_NAMES).astype(dict.fromkeys(_FIGURES, float) | {"day": int})
 
 
 def _merge(house: Lakehouse, figures: DataFrame) -> None:
@@ -175,10 +182,11 @@ def stream_gold(house: Lakehouse, delay_days: int = DELAY_DAYS) -> None:
         return log.select("user_id", day.alias("day"), kind, *values, end).withWatermark("end", f"{delay_days + 1} days")
 
     both = rows(silver.HRV, "hrv_rmssd_ms", None, None).unionByName(rows(silver.SLEEP, "total_sleep_hours", "sleep_efficiency_pct", "resting_hr_bpm"))
-    figures = both.groupBy("user_id").applyInPandasWithState(user_frames, _OUT, "memory string", "append", GroupStateTimeout.EventTimeTimeout)
+    grouped = both.withColumn("group", F.pmod(F.hash("user_id"), F.lit(GROUPS)))
+    figures = grouped.groupBy("group").applyInPandasWithState(group_frames, _OUT, "memory string", "append", GroupStateTimeout.EventTimeTimeout)
     query = (
         figures.writeStream.trigger(availableNow=True)
-        .option("checkpointLocation", f"{house.root}/progress/gold-frames")
+        .option("checkpointLocation", f"{house.root}/progress/gold-frames-{GROUPS}")
         .foreachBatch(lambda batch, _: _merge(house, batch))
         .start()
     )
