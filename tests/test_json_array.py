@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewell import queries, schemas
-from tidewell.sources import json_array
+from tidewell.sources import json_array, json_feed
 from tidewell.sources import sensor_views as views
 from tidewell.sources.json_feed import MALFORMED, read_feed
 
@@ -112,6 +112,24 @@ def test_deliveries_of_several_files(spark, workspace, monkeypatch):
     assert rows(got) == want and len(want) == 2000
 
 
+@pytest.mark.parametrize("most", [1000, 0])
+def test_files_are_told_apart(spark, workspace, monkeypatch, most):
+    """By their first bytes, or by tasks: the same layouts; only what starts in another way is read."""
+    texts = {"lines": '{"record_id": "a"}\n{"record_id": "b"}', "array": '[{"record_id": "c"}]', "blank": " \n  ", "late": " " * 300 + '[{"record_id": "d"}]', "marked": '\ufeff{"record_id": "e"}', "spaced": '\r\n {"record_id": "f"}'}
+    for name, text in texts.items():
+        write(spark, f"{workspace}/in/kind={name}", text)
+    monkeypatch.setattr(json_feed, "_FILES_ASKED", most)
+    by_line, arrays = json_feed.files_by_layout(spark, f"{workspace}/in")
+    name = lambda f: f.split("kind=")[1].split("/")[0]
+    assert sorted(map(name, by_line)) == ["lines", "marked", "spaced"] and sorted(map(name, arrays)) == ["array", "late"]
+    assert sorted(r["record_id"] for r in json_feed.read_feed(spark, f"{workspace}/in", LAYOUT).collect()) == list("abcdef")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("told", "told")
+    json_feed.files_by_layout(spark, f"{workspace}/in/kind=array")
+    assert bool(jobs.getJobIdsForGroup("told")) == (most == 0)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet='a"\\{}[]é', max_size=40), st.booleans())
 def test_structure_by_a_plain_walk(text, inside):

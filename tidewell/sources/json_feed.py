@@ -23,14 +23,48 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 MALFORMED = "_malformed"
 
 
+#: Files whose first bytes the driver asks for; more of them are looked at by tasks.
+_FILES_ASKED = 1000
+#: Bytes of a file in which its opening bracket is looked for, before tasks read the file.
+_BLANKS_READ = 64
+
+
+def _by_first_byte(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, int]]:
+    """The opening bracket and size of the files that start with one behind blanks, by reading no more than that."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = {}
+    for file in files:
+        where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        fs = where.getFileSystem(conf)
+        stream, first = fs.open(where), " "
+        try:
+            for _ in range(_BLANKS_READ):
+                if first not in " \r\n" or (byte := stream.read()) < 0:
+                    break
+                first = chr(byte)
+        finally:
+            stream.close()
+        if first in "{[":
+            found[file] = (first, fs.getFileStatus(where).getLen())
+    return found
+
+
 def files_by_layout(spark: SparkSession, path: str) -> tuple[list[str], dict[str, int]]:
     """The files of a feed with one record per line, and those that are one JSON array, with their size.
 
     The first character that is not blank decides, for each file by itself; all the driver sees of a file is its
-    name and that character. A file that starts with neither fails: nothing of it could be read as a record. Text is
-    cut after closing braces: an array may be a single line.
+    name and that character. A file that starts with neither fails: nothing of it could be read as a record.
+
+    Files are only opened where they are few; others, and those that start in another way (with many blanks, a byte
+    order mark, compressed), are read by tasks. Their text is cut after closing braces: an array may be a single line.
     """
-    lines = spark.read.option("lineSep", "}").text(path).select(
+    files = list(spark.read.text(path).inputFiles())
+    told = _by_first_byte(spark, files) if len(files) <= _FILES_ASKED else {}
+    by_line, arrays = sorted(f for f, (first, _) in told.items() if first == "{"), {f: size for f, (first, size) in told.items() if first == "["}
+    rest = [f for f in files if f not in told]
+    if not rest:
+        return by_line, arrays
+    lines = spark.read.option("lineSep", "}").text(rest if told else path).select(
         F.col("_metadata.file_path").alias("file"),
         F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("place"),
         F.col("_metadata.file_size").alias("size"),
@@ -40,7 +74,7 @@ def files_by_layout(spark: SparkSession, path: str) -> tuple[list[str], dict[str
     odd = sorted(r["file"] for r in firsts if r["first"] not in "{[")
     if odd:
         raise ValueError(f"neither records nor an array: {', '.join(odd[:5])}")
-    return sorted(r["file"] for r in firsts if r["first"] == "{"), {r["file"]: r["size"] for r in firsts if r["first"] == "["}
+    return sorted([*by_line, *(r["file"] for r in firsts if r["first"] == "{")]), arrays | {r["file"]: r["size"] for r in firsts if r["first"] == "["}
 
 
 def read_feed(
