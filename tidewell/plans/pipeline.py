@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from tidewell.operators.quality import gate_summary, run_gate
 from tidewell.operators.validate import REASON, quarantine_rows, union_all, valid_rows
 from tidewell.plans import gold, silver
 from tidewell.plans.bronze import add_audit_columns
-from tidewell.session import new_workspace
+from tidewell.session import at_once, new_workspace
 from tidewell.sources.json_feed import MALFORMED, path_exists, read_feed, write_records
 from tidewell.sources.merged_table import MergedTable, delete_path
 from tidewell.sources.versioned_table import VersionedTable
@@ -55,26 +56,38 @@ class Lakehouse:
         return VersionedTable(self.spark, f"{self.root}/gold/{name}")
 
 
+def _into_bronze(house: Lakehouse, feed: silver.Feed, raw: DataFrame, run_id: str, stage: str) -> DataFrame:
+    """Upsert delivered records; returns the quarantine's rows of those that are no record or have no key."""
+    raw.write.parquet(stage)  # parsed once, read for both
+    parsed = house.spark.read.schema(raw.schema).parquet(stage)
+    keyed = F.col(feed.key).isNotNull() & F.col(MALFORMED).isNull()
+    house.bronze(feed).create_if_absent().upsert(add_audit_columns(parsed.where(keyed).drop(MALFORMED), run_id))
+    reason = F.when(F.col(MALFORMED).isNotNull(), F.lit("record is malformed")).otherwise(F.lit("record key is missing"))
+    unkeyed = parsed.where(~keyed).withColumn(REASON, reason).withColumn(feed.key, F.lit(None).cast("string"))
+    return quarantine_rows(unkeyed, feed.key, feed.source_table)
+
+
 def load_bronze(house: Lakehouse, feed: silver.Feed, raw: DataFrame, run_id: str) -> None:
     """Upsert delivered records; what is no record or has no key goes to the quarantine with its text."""
     stage = new_workspace(house.spark, "bronze-stage")
-    raw.write.parquet(stage)  # parsed once, read for both
     try:
-        parsed = house.spark.read.schema(raw.schema).parquet(stage)
-        keyed = F.col(feed.key).isNotNull() & F.col(MALFORMED).isNull()
-        house.bronze(feed).create_if_absent().upsert(add_audit_columns(parsed.where(keyed).drop(MALFORMED), run_id))
-        reason = F.when(F.col(MALFORMED).isNotNull(), F.lit("record is malformed")).otherwise(F.lit("record key is missing"))
-        unkeyed = parsed.where(~keyed).withColumn(REASON, reason).withColumn(feed.key, F.lit(None).cast("string"))
-        house.quarantine().create_if_absent().upsert(quarantine_rows(unkeyed, feed.key, feed.source_table))
+        house.quarantine().create_if_absent().upsert(_into_bronze(house, feed, raw, run_id, stage))
     finally:
         delete_path(house.spark, stage)
 
 
 def run_bronze(house: Lakehouse, data_dir: str, run_id: str) -> None:
-    """Load every delivered feed file; loading a file again changes nothing but the audit columns."""
-    for feed in silver.FEEDS:
-        raw = read_feed(house.spark, f"{data_dir}/{FILES[feed.name]}", feed.layout, keep_malformed=True)
-        load_bronze(house, feed, raw, run_id)
+    """Load every delivered feed file; loading a file again changes nothing but the audit columns.
+
+    Feeds are loaded side by side, and what is wrong in any of them goes to the quarantine in one upsert."""
+    # told apart one after the other: reading large arrays holds a setting of the session
+    raws = [read_feed(house.spark, f"{data_dir}/{FILES[feed.name]}", feed.layout, keep_malformed=True) for feed in silver.FEEDS]
+    stage_root = new_workspace(house.spark, "bronze-stage")
+    try:
+        loads = (partial(_into_bronze, house, feed, raw, run_id, f"{stage_root}/{feed.name}") for feed, raw in zip(silver.FEEDS, raws, strict=True))
+        house.quarantine().create_if_absent().upsert(union_all(at_once(*loads)))
+    finally:
+        delete_path(house.spark, stage_root)
     # a sensor that joins later: its table appears with its first file
     late = f"{data_dir}/skin_temp.json"
     if path_exists(house.spark, late):
@@ -92,29 +105,31 @@ def run_silver(house: Lakehouse, since: str | None = None, track: bool = False)
     The judged rows are written once and both outcomes are read back from there, so the
     deduplication behind them runs a single time and the counts come along with the write.
     """
-    spark, counts, rejected = house.spark, {}, []
+    spark = house.spark
     stage_root = new_workspace(spark, "silver-stage")
-    try:
-        for feed in silver.FEEDS:
-            judged = silver.judged(house.bronze(feed).read(since), feed)
-            seen, stage = Observation(), f"{stage_root}/{feed.name}"
-            (
-                judged.observe(
-                    seen,
-                    F.count_if(F.col(REASON).isNull()).alias("valid"),
-                    F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
-                )
-                .write.parquet(stage)
+
+    def cleaned(feed: silver.Feed) -> tuple[dict[str, int], DataFrame]:
+        judged = silver.judged(house.bronze(feed).read(since), feed)
+        seen, stage = Observation(), f"{stage_root}/{feed.name}"
+        (
+            judged.observe(
+                seen,
+                F.count_if(F.col(REASON).isNull()).alias("valid"),
+                F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
             )
-            counts[feed.name] = seen.get
-            staged = spark.read.schema(judged.schema).parquet(stage)
-            house.silver(feed).create_if_absent().upsert(feed.transform(valid_rows(staged)), house.new_changes(feed) if track else None)
-            rejected.append(quarantine_rows(staged, feed.key, feed.source_table))
+            .write.parquet(stage)
+        )
+        staged = spark.read.schema(judged.schema).parquet(stage)
+        house.silver(feed).create_if_absent().upsert(feed.transform(valid_rows(staged)), house.new_changes(feed) if track else None)
+        return seen.get, quarantine_rows(staged, feed.key, feed.source_table)
+
+    try:
+        counts, rejected = zip(*at_once(*(partial(cleaned, feed) for feed in silver.FEEDS)), strict=True)
         # by record rather than appended: a second run reports each bad record once
-        house.quarantine().create_if_absent().upsert(union_all(rejected))
+        house.quarantine().create_if_absent().upsert(union_all(list(rejected)))
     finally:
         delete_path(spark, stage_root)
-    return counts
+    return dict(zip((feed.name for feed in silver.FEEDS), counts, strict=True))
 
 
 @contextmanager
@@ -132,16 +147,21 @@ def _shared_user_hash(spark: SparkSession):
 def run_gold(house: Lakehouse, users: DataFrame) -> dict[str, int]:
     """Replace the four Gold tables; returns the version of each."""
     hrv, sleep, activity = (house.silver(feed).read() for feed in silver.FEEDS)
-    versions = {}
+
+    def replaced(name: str, rows: DataFrame) -> int:
+        return house.gold(name).replace(gold.stamped(rows))
+
+    def recovery() -> tuple[int, int]:
+        version = replaced("daily_recovery", gold.daily_recovery(hrv, sleep, colocate=True))
+        return version, replaced("cohort_benchmarks", gold.cohort_benchmarks(house.gold("daily_recovery").read()))
+
     with _shared_user_hash(house.spark):
-        recovery = gold.daily_recovery(hrv, sleep, colocate=True)
-        versions["daily_recovery"] = house.gold("daily_recovery").replace(gold.stamped(recovery))
-    strain = gold.strain_scores(activity, users)
-    versions["user_strain_summary"] = house.gold("user_strain_summary").replace(gold.stamped(strain))
-    versions["sleep_analytics"] = house.gold("sleep_analytics").replace(gold.stamped(gold.sleep_metrics(sleep)))
-    stored = house.gold("daily_recovery").read()
-    versions["cohort_benchmarks"] = house.gold("cohort_benchmarks").replace(gold.stamped(gold.cohort_benchmarks(stored)))
-    return versions
+        (days, cohorts), strain, nights = at_once(
+            recovery,
+            lambda: replaced("user_strain_summary", gold.strain_scores(activity, users)),
+            lambda: replaced("sleep_analytics", gold.sleep_metrics(sleep)),
+        )
+    return {"daily_recovery": days, "user_strain_summary": strain, "sleep_analytics": nights, "cohort_benchmarks": cohorts}
 
 
 def run_gate_report(house: Lakehouse, data_dir: str, report_path: str) -> DataFrame:

@@ -227,9 +227,12 @@ def compacted_table(spark: SparkSession, sf: str) -> DataFrame:
 def gold_from_silver(spark: SparkSession, sf: str) -> DataFrame:
     """All three layers with their writes, from JSON feeds to the stored recovery table."""
     root = new_workspace(spark, "house")
-    for feed in silver.FEEDS:
+
+    def deliver(feed: silver.Feed) -> None:
         raw = _raw(feed, spark, sf).select(*feed.layout.names)
         write_records(raw, f"{root}/raw/{pipeline.FILES[feed.name]}")
+
+    at_once(*(partial(deliver, feed) for feed in silver.FEEDS))
     house = pipeline.Lakehouse(spark, root)
     pipeline.run_bronze(house, f"{root}/raw", run_id="run-1")
     pipeline.run_silver(house)
