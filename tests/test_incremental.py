@@ -160,3 +160,27 @@ def test_nothing_yet(spark, workspace):
     load(house, [reading("a", 1, 0)], parts=(1, 2))
     incremental.update_gold(house, profiles)
     assert_up_to_date(house, profiles)
+
+
+def test_no_search_goes_on_when_every_day_is_read(spark, workspace):
+    changed = spark.createDataFrame([("u", FIRST + dt.timedelta(days=d)) for d in (3, 9)], "user_id string, date date")
+    spans = spark.createDataFrame([("u", FIRST, FIRST + dt.timedelta(days=12))], "user_id string, first_day date, last_day date")
+
+    def keys(_):
+        raise AssertionError("rows are looked at though no day is left")
+
+    assert incremental.days_to_read(keys, changed, spans, 7, workspace) == [FIRST + dt.timedelta(days=d) for d in range(13)]
+
+
+def test_merge_notes_the_changed_user_days(spark, workspace):
+    house = Lakehouse(spark, workspace)
+    table = house.silver(silver.HRV).create_if_absent()
+
+    def merged(**values):
+        changes = house.new_changes(silver.HRV)
+        table.merge(rows(spark, silver.HRV.silver_layout, [{"user_id": u, "date": FIRST, "hrv_rmssd_ms": v} for u, v in values.items()]), changes)
+        return sorted(r["user_id"] for r in spark.read.parquet(changes).collect())
+
+    assert merged(a=1.0, b=2.0, c=None) == ["a", "b", "c"]
+    assert merged(a=1.0, b=3.0, c=None, d=4.0) == ["b", "d"]
+    assert {r["user_id"]: r["hrv_rmssd_ms"] for r in table.read().collect()} == {"a": 1.0, "b": 3.0, "c": None, "d": 4.0}

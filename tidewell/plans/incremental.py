@@ -122,13 +122,16 @@ def days_to_read(keys: Callable[[list], DataFrame], changed: DataFrame, spans: D
     """The days on which ``rows`` rows before and after every changed user-day lie, or all of them that there are.
 
     ``keys`` reads the user-days of given days, ``spans`` has the first and last day of every changed user. Around
-    user-days with too few rows in reach the search goes on twice as far, around the others it does not.
+    user-days with too few rows in reach the search goes on twice as far, around the others it does not, and it ends
+    when no day is left.
     """
     known = spans.agg(F.min("first_day"), F.max("last_day")).first()
     wanted: set[dt.date] = set()
     open_, reach, turn = changed, 2 * rows, 0
     while True:
         wanted |= {d for d in _around(_days(open_), reach) if known[0] <= d <= known[1]}
+        if len(wanted) > (known[1] - known[0]).days:
+            return sorted(wanted)
         seen = keys(sorted(wanted)).join(spans.select("user_id", "first_day", "last_day"), "user_id")
         seen = seen.join(open_.select(*USER_DAY, F.lit(True).alias("_open")), USER_DAY, "left")
         order = "partition by user_id order by datediff(date, date'1970-01-01') range between"

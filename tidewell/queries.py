@@ -255,13 +255,16 @@ def gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
     slips = {"hrv_readings": "hrv_rmssd_ms", "sleep_records": "total_sleep_hours", "activity_records": "zone2_minutes"}
 
     def load(sync: int, feed: silver.Feed) -> None:
-        rows, slip = _clean(feed, spark, sf), slips[feed.name]
+        delivered, slip = f"{house.root}/clean/{feed.name}", slips[feed.name]
+        if sync == 1:  # cleaned once for both, a row per user and day
+            _clean(feed, spark, sf).select(*feed.silver_layout.names).write.parquet(delivered)
+        rows = spark.read.schema(schemas.as_nullable(feed.silver_layout)).parquet(delivered)
         if sync == 1:
             kind = feed.silver_layout[slip].dataType
             rows = rows.where(~late).withColumn(slip, F.when(wrong, F.col(slip) + 1).otherwise(F.col(slip)).cast(kind))
         else:
             rows = rows.where(late | wrong | again)
-        house.silver(feed).create_if_absent().upsert(rows, house.new_changes(feed))
+        house.silver(feed).create_if_absent().merge(rows, house.new_changes(feed))
 
     for sync in (1, 2):
         at_once(*(partial(load, sync, feed) for feed in silver.FEEDS))

@@ -129,23 +129,28 @@ class MergedTable:
                 raise ValueError(f"{seen.get['incomplete']} rows without a complete key ({', '.join(keys)})")
             days = [*seen.get["days"], *([None] if seen.get["no_day"] else [])]
             incoming = self.spark.read.schema(newest.schema).parquet(stage)
-            if changes_to:
-                self._changed(incoming, days).write.mode("overwrite").parquet(changes_to)
-            self._merge(incoming, days)
+            self._noted(incoming, days, changes_to)
         finally:
             delete_path(self.spark, stage)
 
     def _changed(self, incoming: DataFrame, days: list) -> DataFrame:
         """The keys of incoming rows that the table does not hold with these values, on tables whose keys fix the day."""
         keys = list(self.keys)
+        if self._is_empty():
+            return incoming.select(*keys)
         values = F.struct(*(c for c in self.layout.names if c not in keys and c not in RECENCY))
         known = self._stored().filter(self._on_dates(days)).select(*keys, values.alias("_held"))
         beside = incoming.select(*keys, values.alias("_values")).join(known, keys, "left")
         return beside.filter(~F.col("_values").eqNullSafe(F.col("_held"))).select(*keys)
 
-    def merge(self, rows: DataFrame) -> None:
+    def merge(self, rows: DataFrame, changes_to: str | None = None) -> None:
         """Upsert rows that are stored elsewhere already and have distinct and complete keys."""
-        self._merge(rows, self._dates(rows))
+        self._noted(rows, self._dates(rows), changes_to)
+
+    def _noted(self, incoming: DataFrame, days: list, changes_to: str | None) -> None:
+        if changes_to:
+            self._changed(incoming, days).write.mode("overwrite").parquet(changes_to)
+        self._merge(incoming, days)
 
     def _merge(self, incoming: DataFrame, new_dates: list) -> None:
         keys, left = list(self.keys), []
