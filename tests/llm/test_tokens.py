@@ -32,6 +32,20 @@ def odd_texts(n, seed):
         yield text + draw.choice(["=", "a", "ha", " ", " \n", "é", "中"]) * draw.randint(1, 80) if k % 3 == 0 else text
 
 
+def test_a_merge_looks_only_at_the_pairs_beside_it():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    transducer = byte_bpe.Transducer({bytes((b,)): b for b in range(256)} | {b"aa": 256, b"aaaa": 257, b"ba": 258})
+    transducer.ranks = Counted(transducer.ranks)
+    assert transducer.merge(b"b" + b"a" * 403) == [b"b", *[b"aaaa"] * 100, b"aa", b"a"]
+    assert Counted.asked <= 3 * 404
+
+
 def test_byte_bpe_agrees_with_the_library(reference):
     encoder, machine = byte_bpe._encoder(BYTE_PATH, public_tokenizers.PATTERN), byte_bpe._machine(BYTE_PATH)
     for text in odd_texts(1500, 1):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from tidewell.llm.batches import documents_only, over_texts
 
-NONE = -1
+NONE, UNRANKED = -1, 1 << 60
 
 #: Table sizes; a full table is emptied and filled anew, which changes no result.
 MAX_STATES = 400_000
@@ -57,12 +57,18 @@ class Transducer:
 
     def merge(self, piece: bytes) -> list[bytes]:
         """BPE by its definition: the lowest-ranked neighbouring pair first, the leftmost of equals."""
+        rank = self.ranks.get
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: (self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i))
-            if parts[best] + parts[best + 1] not in self.ranks:
-                break
+        # of every neighbouring pair; only those beside a merge change
+        pairs = [rank(piece[i : i + 2], UNRANKED) for i in range(len(piece) - 1)]
+        while pairs and (lowest := min(pairs)) != UNRANKED:
+            best = pairs.index(lowest)
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
+            del pairs[best]
+            if best < len(pairs):
+                pairs[best] = rank(parts[best] + parts[best + 1], UNRANKED)
+            if best:
+                pairs[best - 1] = rank(parts[best - 1] + parts[best], UNRANKED)
         return parts
 
     def follows(self, left: int, right: int) -> bool:
