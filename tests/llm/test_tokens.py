@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from tidewell.llm import byte_bpe, packing, token_files
+from tidewell.llm import byte_bpe, packing, token_files, word_ids
 from tidewell.llm.word_ids import WordIds
 
 BYTE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -89,6 +89,32 @@ def test_word_ids_agree_with_the_library():
         assert np.frombuffer(words(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_word_ids_of_batches_with_a_small_memory(monkeypatch):
+    monkeypatch.setattr(word_ids, "MAX_WORDS", 40)
+    monkeypatch.setattr(word_ids, "MAX_PARTS", 20)
+    monkeypatch.setattr(word_ids, "TOGETHER", 7)
+    words, library = WordIds(WORD_PATH), Tokenizer.from_file(WORD_PATH)
+    latin = "".join(chr(c) for c in range(0x250))  # with every control character and letter that is simple
+    texts = [None, "", " ", *odd_texts(600, 5), *latin, latin, "x" * 65, "Ċ ĊĊ ċ\nƁƁ ȺȾ's", None]
+    for at in range(0, len(texts), 50):
+        batch = texts[at : at + 50]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in words.many(batch)] == [library.encode(t or "", add_special_tokens=False).ids for t in batch]
+    assert words.many([]) == []
+
+
+def test_new_words_are_merged_in_few_calls():
+    words, passed = WordIds(WORD_PATH), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, real=words.merges, **how):
+            passed.extend(texts)
+            return real.encode_batch_fast(texts, **how)
+
+    words.merges = Counted()
+    ids = words.many([" ".join(f"abc{chr(97 + i % 26)}{chr(97 + i // 26)}q" for i in range(600))])
+    assert len(ids[0]) > 4 * 600 and len(passed) == 1
+
+
 def test_simple8b_round_trip():
     draw = np.random.default_rng(0)
     for high in (1, 2, 10, 300, 50_000, 1 << 31, 1 << 62):

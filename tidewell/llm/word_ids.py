@@ -12,7 +12,11 @@ import re
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import compress, pairwise
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Words and word parts remembered by a worker, in two halves.
@@ -21,11 +25,23 @@ MAX_PARTS = 300_000
 #: Longer words are not kept.
 LONGEST = 64
 
-#: How the tokenizer splits a word; a fixed value of its file, here for letters below U+0250.
-_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 #: Characters that no normalisation touches and whose lower case does not depend on their neighbours.
-_SIMPLE = re.compile(r"[!-~¡-ÿĀ-įĲ-ɏ]+")
+_SIMPLE = "!-~¡-ÿĀ-įĲ-ɏ"
+_ODD = re.compile(rf"[^\n{_SIMPLE}]|<\|")
+
+
+def _lower_case(kind: str) -> str:
+    """The characters of a Unicode class among the lower-case forms of the simple ones."""
+    simple = re.compile(f"[{_SIMPLE}]")
+    return "".join(sorted({c.lower() for c in map(chr, range(0x250)) if simple.match(c) and regex.match(kind, c.lower())}))
+
+
+#: How the tokenizer splits a word; a fixed value of its file, here for lower-cased simple characters and a line break
+#: between words.
+_LETTERS, _NUMBERS = _lower_case(r"\p{L}"), _lower_case(r"\p{N}")
+_PARTS = re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\n{_LETTERS}{_NUMBERS}]+")
+#: Parts that the library merges in one call.
+TOGETHER = 2_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -58,70 +74,92 @@ class _Memory:
         return list(keys - found)
 
 
+def _joined(values: list[bytes], places: pa.Array, bounds: np.ndarray) -> list[bytes]:
+    """The ``values`` at ``places``, joined from each of the ``bounds`` among these to the next one."""
+    taken = pa.array(values, pa.large_binary()).take(places)
+    starts, data = np.frombuffer(taken.buffers()[1], np.int64), taken.buffers()[2]
+    ends, data = starts[bounds].tolist(), data.to_pybytes() if data else b""
+    return [data[a:b] for a, b in pairwise(ends)]
+
+
 class WordIds:
     """Calling it with a text gives the ids as little-endian 32-bit bytes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.full = Tokenizer.from_file(path)
-        self.merges = Tokenizer(self.full.model)  # the same merges, without normalising and splitting
         self.letters = _byte_letters()
-        self.special = "<|"
+        self.stop = self.letters[10]  # a line break, which is in no word
+        self.merges = Tokenizer(self.full.model)  # the same merges, without normalising and splitting
+        self.merges.pre_tokenizer = pre_tokenizers.Split(self.stop, "isolated")
+        self.stop_ids = self.merges.encode(self.stop, add_special_tokens=False).ids
         self.words, self.parts = _Memory(MAX_WORDS), _Memory(MAX_PARTS)
 
-    def _split(self, word: str) -> list[str] | None:
-        """The parts of a word as the tokenizer splits it, in byte-level letters; None where only the library knows."""
-        if word.isascii():
-            if word.isalpha():
-                return [word.lower()]
-            if self.special in word or not word.isprintable():
-                return None
-            return _ASCII_PARTS.findall(word.lower())
-        if not _SIMPLE.fullmatch(word) or self.special in word:
-            return None
-        parts = [word.lower()] if word.isalpha() else _PARTS.findall(word.lower())
+    def _merged(self, parts: list[str]) -> list[bytes]:
+        """The ids of word parts, with a line break after each, as a call for every part costs as much as its merges."""
+        if len(self.stop_ids) != 1:  # a vocabulary without it
+            return [array("I", made.ids).tobytes() for made in self.merges.encode_batch_fast(self._spelt(parts), add_special_tokens=False)]
+        merged, spelt = [], self._spelt(parts)
+        for at in range(0, len(spelt), TOGETHER):
+            text = self.stop.join([*spelt[at : at + TOGETHER], ""])
+            ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends, data = (4 * np.flatnonzero(ids == self.stop_ids[0])).tolist(), ids.tobytes()
+            merged += [data[a:b] for a, b in zip([0, *(end + 4 for end in ends[:-1])], ends, strict=True)]
+        return merged
+
+    def _spelt(self, parts: list[str]) -> list[str]:
+        """Word parts in byte-level letters."""
         return [p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in parts]
 
+    def _part_ids(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct word parts; a line break between words has none."""
+        asked = set(parts)
+        known = self.parts.turn(lambda: asked)
+        fresh = self.parts.recall(asked - known.keys() - {"\n"})
+        known.update(zip(fresh, self._merged(fresh), strict=True))
+        return [b"" if p == "\n" else known[p] for p in parts]
+
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words not met before."""
-        texts = [w.decode() for w in words]
-        split = [self._split(t) if len(t) <= LONGEST else None for t in texts]
-        parts_now = {p for parts in split if parts for p in parts}
-        known, learnt = self.parts.turn(lambda: parts_now), {}
-        fresh = self.parts.recall(parts_now - known.keys())
-        for part, made in zip(fresh, self.merges.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            known[part] = array("I", made.ids).tobytes()
-        for word, text, parts in zip(words, texts, split, strict=True):
-            if parts is None:
-                learnt[word] = array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes()
-            elif len(parts) == 1:
-                learnt[word] = known[parts[0]]
-            else:
-                learnt[word] = b"".join([known[p] for p in parts])
+        text = b"\n".join(words).decode()
+        texts, odd = text.split("\n"), _ODD.search(text) is not None
+        unsure = [len(t) > LONGEST or (odd and _ODD.search(t) is not None) for t in texts]  # only the library splits these
+        learnt = {w: array("I", self.full.encode(t, add_special_tokens=False).ids).tobytes() for w, t in compress(zip(words, texts, strict=True), unsure)} if any(unsure) else {}
+        plain = [w for w in words if w not in learnt]
+        if plain:
+            text = b"\n".join(plain).decode() if learnt else text
+            coded = pa.array(_PARTS.findall(text.lower()), pa.string()).dictionary_encode()
+            parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            breaks = np.flatnonzero(coded.indices.to_numpy() == parts.index("\n")) if len(plain) > 1 else np.empty(0, np.int64)
+            learnt.update(zip(plain, _joined(self._part_ids(parts), coded.indices, np.concatenate([[0], breaks, [len(coded)]])), strict=True))
         return learnt
 
-    def _words(self, text: str) -> list[bytes]:
-        """The words of a text, split at ASCII white space only. A-Z are lower-cased, as the tokenizer does, where no
-        accent (U+0300 to U+033F) could join the letter first and no special token stand in the text."""
-        data = text.encode()
-        return (data if b"\xcc" in data or b"<|" in data else data.lower()).split()
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
+        known = self.words.turn(lambda: set(words))
+        found = list(map(known.get, words))
+        gaps = [n for n, ids in enumerate(found) if ids is None]
+        if gaps:
+            learnt = self._learn(self.words.recall({words[n] for n in gaps}))
+            known.update((w, ids) for w, ids in learnt.items() if len(w) <= LONGEST)
+            for n in gaps:
+                found[n] = known[words[n]] if words[n] in known else learnt[words[n]]
+        return found
 
     def many(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit bytes; none for NULL. Texts should be few megabytes together."""
-        listed = [self._words(text) if text else [] for text in texts]
-        words = self.words.turn(lambda: set().union(*listed))
-        found = [list(map(words.get, one)) for one in listed]
-        gaps = [(n, at) for n, ids in enumerate(found) if None in ids for at, x in enumerate(ids) if x is None]
-        if gaps:
-            fresh = self.words.recall({listed[n][at] for n, at in gaps})
-            learnt = self._learn(fresh)
-            words.update((w, ids) for w, ids in learnt.items() if len(w) <= LONGEST)
-            for n, at in gaps:
-                word = listed[n][at]
-                found[n][at] = words[word] if word in words else learnt[word]
-        return [b"".join(ids) for ids in found]
+        """The ids of each text as little-endian 32-bit bytes; none for NULL. Texts should be few megabytes together.
+
+        Texts are split at ASCII white space only; what is empty beside it is a word without ids. A-Z are lower-cased, as
+        the tokenizer does, where no accent (U+0300 to U+033F) could join the letter first and no special token stand in
+        the text."""
+        data = [text.encode() if text else b"" for text in texts]
+        data = [d if b"\xcc" in d or b"<|" in d else d.lower() for d in data]
+        split = pc.ascii_split_whitespace(pa.array(data, pa.large_binary()).cast(pa.large_string()))
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        return _joined(self._ids(words), coded.indices, split.offsets.to_numpy())
 
     def __call__(self, text: str) -> bytes:
         return self.many([text])[0]
