@@ -2,6 +2,7 @@
 
 import base64
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from tidewell.llm import byte_bpe, packing, token_files, word_ids
+from tidewell.llm import byte_bpe, language, packing, token_files, word_ids
 from tidewell.llm.word_ids import WordIds
 
 BYTE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -115,6 +116,13 @@ def test_new_words_are_merged_in_few_calls():
     assert len(ids[0]) > 4 * 600 and len(passed) == 1
 
 
+def test_a_worker_holds_the_tables_of_one_operator():
+    first = weakref.ref(word_ids.word_ids(WORD_PATH))
+    assert word_ids.word_ids(WORD_PATH) is first()
+    language._arrays(language.Model(("en",), bytes(4 * language.DIMENSIONS), bytes(4 * language.DIMENSIONS), (0,), (0.0,) * 5))
+    assert first() is None
+
+
 def test_simple8b_round_trip():
     draw = np.random.default_rng(0)
     for high in (1, 2, 10, 300, 50_000, 1 << 31, 1 << 62):

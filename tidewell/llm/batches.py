@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text handed on in one output batch; bounds a worker's memory whatever the row count.
 SLICE_BYTES = 4 << 20
+#: What the worker holds between tasks: nothing, or a maker, its key and what it made.
+_HELD: list[tuple] = []
 
 
 def documents_only(docs: DataFrame) -> DataFrame:
@@ -32,6 +34,19 @@ def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
             yield batch.slice(start), texts[start:]
 
 
+def held_alone(make: Callable) -> Callable:
+    """``make`` with its last result kept for the tasks to come. A worker keeps one result in all: the tables of one
+    operator go before another operator builds its own in the same worker, as in a pipeline."""
+
+    def get(key):
+        if not _HELD or _HELD[0][0] is not make or _HELD[0][1] != key:
+            _HELD.clear()
+            _HELD.append((make, key, make(key)))
+        return _HELD[0][2]
+
+    return get
+
+
 @contextmanager
 def steady_heap() -> Iterator[None]:
     """No search for reference cycles meanwhile: there are none, and it would walk the workers' large tables."""

@@ -8,7 +8,6 @@ language and script around the middle half of all texts.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.batches import over_texts
+from tidewell.llm.batches import held_alone, over_texts
 
 #: Words remembered by a worker, and the longest remembered.
 MEMORY, LONGEST = 600_000, 64
@@ -109,7 +108,7 @@ def script_of(text: str) -> str:
     return max(found, key=found.get) if found else "other"
 
 
-@lru_cache(maxsize=2)
+@held_alone
 def _pieces(path: str) -> Pieces:
     return Pieces(path)
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.batches import documents_only, over_texts, text_slices
+from tidewell.llm.batches import documents_only, held_alone, over_texts, text_slices
 from tidewell.llm.components import stored
 from tidewell.session import new_workspace
 
@@ -167,7 +166,7 @@ def fit(docs: DataFrame, folder: str | None = None) -> Model:
     return Model(tuple(r["lang"] for r in found), idf.tobytes(), b"".join(r["centres"] for r in found), tuple(owners), _floors(best, lengths))
 
 
-@lru_cache(maxsize=2)
+@held_alone
 def _arrays(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(model.idf, np.float32), np.frombuffer(model.centroids, np.float32).reshape(-1, DIMENSIONS), np.array(model.owners)
 

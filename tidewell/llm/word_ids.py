@@ -11,7 +11,6 @@ import os
 import re
 from array import array
 from collections.abc import Callable
-from functools import lru_cache
 from itertools import compress, pairwise
 
 import numpy as np
@@ -19,9 +18,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from tidewell.llm.batches import held_alone
+
 #: Words and word parts remembered by a worker, in two halves.
-MAX_WORDS = 600_000
-MAX_PARTS = 300_000
+MAX_WORDS = 200_000
+MAX_PARTS = 200_000
 #: Longer words are not kept.
 LONGEST = 64
 
@@ -165,6 +166,6 @@ class WordIds:
         return self.many([text])[0]
 
 
-@lru_cache(maxsize=2)
+@held_alone
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
