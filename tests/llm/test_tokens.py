@@ -90,6 +90,24 @@ def test_word_ids_agree_with_the_library():
         assert np.frombuffer(words(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_batch_asks_the_memory_once_for_each_of_its_words():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    memory = word_ids._Memory(4)
+    assert memory.recall(["a", "b"]) == ([None, None], ["a", "b"])
+    memory.new.update(a=1, b=2)  # full: the next batch moves them to the older half
+    memory.new = Counted(memory.new)
+    assert memory.recall(["c", "b", "d"]) == ([None, 2, None], ["c", "d"])
+    assert memory.new == {"b": 2} and Counted.asked == 3
+    memory.new = Counted(memory.new, c=3)
+    assert memory.recall(["c", "a"]) == ([3, None], ["a"])  # two halves ago
+
+
 def test_word_ids_of_batches_with_a_small_memory(monkeypatch):
     monkeypatch.setattr(word_ids, "MAX_WORDS", 40)
     monkeypatch.setattr(word_ids, "MAX_PARTS", 20)

@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Callable
 from itertools import compress, pairwise
 
 import numpy as np
@@ -60,19 +59,19 @@ class _Memory:
     def __init__(self, most: int):
         self.half, self.new, self.old = most // 2, {}, {}
 
-    def turn(self, asked: Callable[[], set]) -> dict:
-        """The newer half, which is what a batch of work reads and fills. If it was full, it starts with what is ``asked``
-        for now."""
+    def recall(self, keys: list) -> tuple[list, list]:
+        """The values of distinct ``keys``, None where neither half has one, and the keys of these, in order. All that is
+        found is in the newer half afterwards."""
         if len(self.new) >= self.half:
             self.old, self.new = self.new, {}
-            self.recall(asked())
-        return self.new
-
-    def recall(self, keys: set) -> list:
-        """Moves ``keys`` to the newer half; returns those that neither half has."""
-        found = keys & self.old.keys()
-        self.new.update((k, self.old[k]) for k in found)
-        return list(keys - found)
+        values = list(map(self.new.get, keys))
+        missing = list(compress(keys, [v is None for v in values])) if self.new else keys
+        older = list(map(self.old.get, missing)) if self.old else []
+        unknown = [v is None for v in older]
+        if not all(unknown):
+            self.new.update(compress(zip(missing, older, strict=True), [not u for u in unknown]))
+            values = list(map(self.new.get, keys))
+        return values, list(compress(missing, unknown)) if older else missing
 
 
 def _joined(values: list[bytes], places: pa.Array, bounds: np.ndarray) -> list[bytes]:
@@ -116,11 +115,12 @@ class WordIds:
 
     def _part_ids(self, parts: list[str]) -> list[bytes]:
         """Ids of distinct word parts; a line break between words has none."""
-        asked = set(parts)
-        known = self.parts.turn(lambda: asked)
-        fresh = self.parts.recall(asked - known.keys() - {"\n"})
-        known.update(zip(fresh, self._merged(fresh), strict=True))
-        return [b"" if p == "\n" else known[p] for p in parts]
+        values, fresh = self.parts.recall(parts)
+        fresh = [p for p in fresh if p != "\n"]
+        learnt = dict(zip(fresh, self._merged(fresh), strict=True))
+        self.parts.new.update(learnt)
+        learnt["\n"] = b""
+        return [learnt[p] if v is None else v for p, v in zip(parts, values, strict=True)]
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words not met before."""
@@ -139,15 +139,12 @@ class WordIds:
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         """Ids of distinct words."""
-        known = self.words.turn(lambda: set(words))
-        found = list(map(known.get, words))
-        gaps = [n for n, ids in enumerate(found) if ids is None]
-        if gaps:
-            learnt = self._learn(self.words.recall({words[n] for n in gaps}))
-            known.update((w, ids) for w, ids in learnt.items() if len(w) <= LONGEST)
-            for n in gaps:
-                found[n] = known[words[n]] if words[n] in known else learnt[words[n]]
-        return found
+        values, fresh = self.words.recall(words)
+        if fresh:
+            learnt = self._learn(fresh)
+            values = [learnt[w] if v is None else v for w, v in zip(words, values, strict=True)]
+            self.words.new.update(compress(learnt.items(), [len(w) <= LONGEST for w in learnt]))
+        return values
 
     def many(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit bytes; none for NULL. Texts should be few megabytes together.
