@@ -270,3 +270,24 @@ def test_blocks_get_their_shared_shingles_or_give_all(tmp_path, copies):
         sets[shingle].add(set_id)
     assert set(some) >= {r for r in everything if len(sets[r[0]]) > 1} and set(some) <= set(everything)
     assert len(some) == len(set(some)) < len(set(everything)) < len(everything)  # each set comes from one block
+
+
+@pytest.mark.parametrize("cells", [1 << 24, 1 << 16])
+def test_only_texts_that_pairs_ask_for_are_moved(spark, monkeypatch, cells):
+    monkeypatch.setattr(jaccard_join, "CELLS", cells)
+    rows = spark.range(-3000, 3000).selectExpr("id as set_id", "cast(cast(id as string) as binary) as text")
+    ids = spark.range(-3000, 3000, 60).union(spark.range(2990, 2991)).union(spark.range(5000, 5001))
+    found = jaccard_join._likely(rows, ids)
+    got = {r.set_id for r in found.collect()}
+    wanted = {r.id for r in ids.collect()} - {5000}
+    assert wanted <= got and len(got) < len(wanted) + 6000 * 110 / cells * 2 + 1
+    assert found.columns == ["set_id", "text"] and found.count() == len(got)
+
+
+def test_groups_without_links_have_no_labels(spark, tmp_path):
+    shared = spark.createDataFrame([(1, 10), (1, 20), (2, 30)], "key long, id long")
+    labels = components.linked_groups(shared, "true", lambda pairs: pairs.where("a < 0"), f"file://{tmp_path}", 2)
+    assert labels.columns == ["id", "label"] and labels.count() == 0
+    seen = []
+    labels = components.linked_groups(shared, "true", lambda pairs: seen.append(pairs.collect()) or pairs, f"file://{tmp_path}", 2)
+    assert [tuple(r) for r in labels.collect()] == [(20, 10)] and [[tuple(r) for r in s] for s in seen] == [[(10, 20)]]

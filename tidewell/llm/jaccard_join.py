@@ -45,6 +45,8 @@ BLOCK_SETS, BLOCK_CHARS = 1 << 16, 16 << 20
 OWNED = 1 << 18
 #: Bytes of sets that a task remembers while it verifies pairs.
 REMEMBERED = 64 << 20
+#: Bits of the bitmap of sets whose texts are wanted: 2 MB.
+CELLS = 1 << 24
 #: Parts of the hash space that the suffix filter compares.
 PARTS = 32
 #: Rounds of pivots before the remaining pairs are listed.
@@ -290,6 +292,16 @@ def _linked(batches):
 POSSIBLE = "5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n) and 9 * least(x.n - x.place, y.n - y.place) >= 4 * (x.n + y.n)"
 
 
+def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``set_id`` is among ``ids``, and a few others: a bitmap of hashed numbers goes to every task,
+    where a semi join would shuffle all texts to drop most. Its size is fixed; more numbers let more others through."""
+    bits = ids.select(F.expr(f"xxhash64(id) & {CELLS - 1}").alias("cell")).groupBy(F.expr("cell div 32768").alias("part")).agg(F.bitmap_construct_agg(F.expr("cell % 32768")).alias("bits"))
+    cells = rows.withColumn("cell", F.expr(f"xxhash64(set_id) & {CELLS - 1}"))
+    byte = "cast(conv(hex(substring(bits, cast(cell % 32768 div 8 + 1 as int), 1)), 16, 10) as int)"
+    marked = cells.join(F.broadcast(bits), F.expr("cell div 32768") == F.col("part")).where(f"getbit({byte}, cast(cell % 8 as int)) = 1")
+    return marked.select(*rows.columns)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, path: str) -> DataFrame:
     """The pairs ``a``, ``b`` that link; the suffix filter looks at the sizes of parts before texts are moved, and
     only texts of pairs that pass it are."""
@@ -300,8 +312,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, path: str) -> DataFrame:
     left = stored(left, path)
     whole = left
     for c in ("a", "b"):
-        texts = sets.select(F.col("set_id").alias(c), F.col("text").alias(f"text_{c}"))
-        whole = whole.join(texts.join(left.select(c).distinct(), c, "left_semi"), c)
+        texts = _likely(sets.select("set_id", "text"), left.select(F.col(c).alias("id")))
+        whole = whole.join(texts.select(F.col("set_id").alias(c), F.col("text").alias(f"text_{c}")), c)
     return whole.mapInArrow(_linked, "a long, b long")
 
 
