@@ -3,6 +3,8 @@
 import copy
 import datetime as dt
 import random
+import time
+from functools import partial
 
 import pandas as pd
 import pytest
@@ -11,7 +13,9 @@ from pyspark.sql import functions as F
 from tidewell import schemas
 from tidewell.plans import gold, incremental, silver
 from tidewell.plans.pipeline import Lakehouse
+from tidewell.session import at_once
 from tidewell.sources.json_feed import write_records
+from tidewell.sources.merged_table import MergedTable
 from tidewell.streaming import silver_stream
 from tidewell.streaming.gold_stream import _FRESH, DAY_MS, History, group_frames, stream_gold
 from tidewell.streaming.silver_stream import stream_silver, take_batch
@@ -88,6 +92,27 @@ def test_malformed_records_and_empty_batches(spark, workspace):
     assert sorted(reasons(house).values()) == ["record is malformed", "record key is missing", "user_id is missing"]
 
 
+def test_feeds_taken_side_by_side_share_the_quarantine(spark, workspace, monkeypatch):
+    """Two feeds reject records of the same days at once: none gets lost, and no file goes while the other reads it."""
+    house, r, write, begun = Lakehouse(spark, workspace), random.Random(2), MergedTable._write, []
+
+    def waiting(table, *args):  # for the other feed to begin its write, should it not have to wait itself
+        if table.path.endswith("quarantine"):
+            begun.append(table.path)
+            until = time.time() + 5
+            while len(begun) % 2 and time.time() < until:
+                time.sleep(0.05)
+        write(table, *args)
+
+    monkeypatch.setattr(MergedTable, "_write", waiting)
+    for turn in range(2):
+        users, day = [f"{turn}{u}" for u in range(3)], turn
+        batches = [(silver.HRV, [hrv(u, day, 300.0) for u in users]), (silver.SLEEP, [sleep(u, day, r) | {"spo2_avg_pct": 20.0} for u in users])]
+        made = [(feed, rows(spark, silver_stream.with_malformed(schemas.as_nullable(feed.layout)), values)) for feed, values in batches]
+        at_once(*(partial(take_batch, house, feed, batch, turn, "run", 99) for feed, batch in made))
+        assert house.quarantine().read().count() == 6 * (turn + 1)
+
+
 def plain(df):
     return sorted(([round(v, 9) if isinstance(v, float) else v for v in r] for r in df.collect()), key=repr)
 

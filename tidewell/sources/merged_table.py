@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,6 +14,9 @@ from tidewell.operators.latest import RECENCY, latest_per_key
 from tidewell.schemas import as_nullable
 from tidewell.session import new_workspace
 
+#: Of every table that this process has changed, by its path, what lets one change run at a time.
+_TURNS: dict[str, threading.RLock] = {}
+
 
 def delete_path(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -29,7 +33,8 @@ class MergedTable:
 
     An upsert rewrites only the dates it touches, by dynamic partition overwrite: new files are
     staged and moved in at job commit, so lost tasks are simply run again, and repeating an upsert
-    gives the same table.  One writer at a time.  Should the driver die while a commit moves files, a
+    gives the same table.  Changes that threads of one driver ask for side by side take turns, as each reads the
+    days that it writes again; several drivers must not write to one table.  Should the driver die while a commit moves files, a
     day can be left without its old rows: run the upsert again from its source, and for days that other
     sources brought, theirs as well.
 
@@ -52,6 +57,9 @@ class MergedTable:
             return T.StructType(fields)
         return T.StructType([*fields, T.StructField(self.partition, T.DateType())])
 
+    def _turn(self) -> threading.RLock:
+        return _TURNS.setdefault(self.path, threading.RLock())
+
     def create_if_absent(self) -> "MergedTable":
         where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         where.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(where)
@@ -148,9 +156,10 @@ class MergedTable:
         self._noted(rows, self._dates(rows), changes_to)
 
     def _noted(self, incoming: DataFrame, days: list, changes_to: str | None) -> None:
-        if changes_to:
-            self._changed(incoming, days).write.mode("overwrite").parquet(changes_to)
-        self._merge(incoming, days)
+        with self._turn():
+            if changes_to:
+                self._changed(incoming, days).write.mode("overwrite").parquet(changes_to)
+            self._merge(incoming, days)
 
     def _merge(self, incoming: DataFrame, new_dates: list) -> None:
         keys, left = list(self.keys), []
@@ -180,4 +189,5 @@ class MergedTable:
 
     def compact(self) -> None:
         """Rewrite every day with rebalanced files, rows of a key next to each other."""
-        self._write(self._stored(), sort_by=[self.partition, *self.keys])
+        with self._turn():
+            self._write(self._stored(), sort_by=[self.partition, *self.keys])
