@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewell.llm import components, exact_dedup, jaccard_join, line_dedup
 
@@ -291,3 +293,22 @@ def test_groups_without_links_have_no_labels(spark, tmp_path):
     seen = []
     labels = components.linked_groups(shared, "true", lambda pairs: seen.append(pairs.collect()) or pairs, f"file://{tmp_path}", 2)
     assert [tuple(r) for r in labels.collect()] == [(20, 10)] and [[tuple(r) for r in s] for s in seen] == [[(10, 20)]]
+
+
+def shuffle_files(spark):
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = manager.getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark, tmp_path):
+    """What a write has shuffled goes with it, the setting is as before, and a frame that is stored again is whole."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting, made = shuffle_files(spark), spark.conf.get(key), spark.range(5000).groupBy((F.col("id") % 70).alias("k")).count()
+    for name in ("a", "b"):
+        found = components.stored(made, f"{tmp_path}/{name}")
+        assert sorted(tuple(r) for r in found.collect()) == [(k, 72 if k < 30 else 71) for k in range(70)]
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key) == setting
