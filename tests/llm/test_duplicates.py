@@ -312,3 +312,16 @@ def test_a_stored_table_leaves_no_shuffle_files(spark, tmp_path):
     while (left := shuffle_files(spark) - before) and time.time() < until:
         time.sleep(0.1)
     assert not left and spark.conf.get(key) == setting
+
+
+def test_shingles_cut_from_bytes_have_the_hashes_of_the_shingles(spark):
+    """Characters of one to four bytes, alone and mixed, lines at and below the length of a shingle, bytes that are no text."""
+    r = random.Random(5)
+    kinds = ["abc xy.", "äöß é", "日本語 漢", "\U0001f600\U0001f389 a", "\u0301\u200d", "\ufffd\u0000\x7f\x80\u07ff\u0800\uffff"]
+    texts = ["".join(r.choice(kinds[i % 6]) for _ in range(i % 50)) for i in range(300)] + ["".join(r.choice(r.choice(kinds)) for _ in range(40)) for _ in range(300)]
+    given = spark.createDataFrame([*enumerate([*texts, None])], "id long, line string")
+    broken = spark.sql("select 1000 + id as id, lower(cast(concat(unhex('80C3E4FFF09F98'), encode('an É in a line', 'UTF-8'), unhex('E6C3')) as string)) as line from range(2)")
+    given = given.union(broken)
+    want = given.select("id", F.explode(line_dedup._shingles(F.col("line"))).alias("shingle")).select("id", F.xxhash64("shingle").alias("hash"))
+    got = line_dedup.shingle_hashes(given)
+    assert want.count() > 10_000 and not got.exceptAll(want).count() and not want.exceptAll(got).count()
