@@ -293,3 +293,17 @@ def test_occurrences(spark, awkward, empty):
 def test_mining_query_matches_sql(spark, name):
     outcome = check.compare(spark, check.connect(SF), SF, name)
     assert outcome.startswith("ok") and "types" not in outcome and not outcome.startswith("ok 0"), outcome
+
+
+def test_many_tiles_come_from_few_ranges(spark, monkeypatch):
+    """Tiles follow the order, hold so many rows at most, and a task cuts several of them."""
+    rows = spark.sql("select id, id % 3 as label, int(id % 5) as cell, id / 7.0D as angle from range(1000)")
+    tiled = hard_negatives._in_tiles(rows, 1000, 100, ("label", "cell", "angle", "id"))
+    ranges = -(-100 // hard_negatives.TILES_A_TASK)
+    assert tiled.rdd.getNumPartitions() <= ranges < 100
+    found = tiled.collect()
+    by_tile = {}
+    for r in found:
+        by_tile.setdefault(r["tile"], []).append((r["label"], r["cell"], r["angle"], r["id"]))
+    assert len(found) == 1000 and 100 <= len(by_tile) <= 100 + ranges and max(map(len, by_tile.values())) <= 10
+    assert [x for t in sorted(by_tile) for x in sorted(by_tile[t])] == sorted(x for own in by_tile.values() for x in own)
